@@ -1,6 +1,6 @@
 """Data-quality checks (Q1-Q4) and the gate (Q5).
 
-Each check is a one-row DataFrame ``(check, ok, violations)`` where ``ok`` is 1 (pass) or 0.  Checks
+Each check is a one-row DataFrame ``(check_name, ok, violations)`` where ``ok`` is 1 (pass) or 0.  Checks
 never pull data to the driver; only the gate collects, and it collects one row per check.
 
 The fact side is aggregated per key before any join (partial aggregation absorbs a hot key inside
@@ -24,13 +24,13 @@ class QualityGateError(RuntimeError):
 
     def __init__(self, failed: list[dict]):
         self.failed = failed
-        super().__init__("data-quality checks failed: " + ", ".join(f["check"] for f in failed))
+        super().__init__("data-quality checks failed: " + ", ".join(f["check_name"] for f in failed))
 
 
 def _result(name: str, violations: Column, spark) -> DataFrame:
     v = F.coalesce(violations.cast("long"), F.lit(0).cast("long"))
     return spark.range(1).select(
-        F.lit(name).alias("check"),
+        F.lit(name).alias("check_name"),
         F.when(v == 0, F.lit(1)).otherwise(F.lit(0)).alias("ok"),
         v.alias("violations"),
     )
@@ -86,8 +86,10 @@ def dq_recent_raw_has_effect(raw: DataFrame, staging: DataFrame, as_of, *,
     carries an ingest time inside the window.  Two scalar subqueries; the time predicates reach the
     parquet scans as pushed filters."""
     since = as_of_col(as_of) - F.expr(f"INTERVAL {window}")
-    recent_raw = (raw.where((F.col("ingested_at") >= since) & (payload_size("payload") > 0))
-                     .agg(F.count(F.lit(1))).scalar())
+    recent = raw.where(F.col("ingested_at") >= since)
+    if "ingest_date" in raw.columns:  # warehouse raw tables: prune ingest-date directories too
+        recent = recent.where(F.col("ingest_date") >= F.to_date(since))
+    recent_raw = (recent.where(payload_size("payload") > 0).agg(F.count(F.lit(1))).scalar())
     recent_stg = (staging.where(F.col(staging_ts_col) >= since)
                          .agg(F.count(F.lit(1))).scalar())
     violations = F.when(recent_raw == 0, F.lit(0)).when(recent_stg > 0, F.lit(0)).otherwise(recent_raw)
