@@ -12,9 +12,10 @@ A source with the same key twice is an error (PostgreSQL's "cannot affect row a
 
 Physical strategy, chosen per call:
 
-* ``broadcast``: the source has at most ``broadcast_rows`` rows (proven by a bounded ``limit`` count).
-  The target is streamed once through a broadcast left join (no target shuffle); new keys are the
-  source keys not met in a key-only semi join of the target against the broadcast source keys;
+* ``broadcast``: the source is measured (rows and bytes, one aggregate job that also checks the keys
+  for duplicates) and found within ``broadcast_rows`` / ``broadcast_bytes``.  The target is streamed
+  once through a broadcast left join (no target shuffle); new keys are the source keys not met in a
+  key-only semi join of the target against the broadcast source keys;
 * ``shuffle``: one full outer sort-merge join on the keys.  Keys are unique on both sides, so the
   join cannot be skewed by a hot key.
 """
@@ -26,7 +27,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.frames import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from ..functions.frames import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, profile
 from .constraints import check_unique
 from .dedup import latest_per_key
 from .keys import assign_keys
@@ -71,6 +72,7 @@ def upsert(
     surrogate_key: str | None = None,
     strategy: str = "auto",
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """New state of ``target`` after merging ``source`` on ``keys``; see the module doc.
 
@@ -101,13 +103,17 @@ def upsert(
         if dedup_order is None:
             raise ValueError("on_duplicate='latest' needs dedup_order")
         source = latest_per_key(source, keys, dedup_order)
-    elif on_duplicate == "error":
-        if not assume_unique:
-            dups = check_unique(source, keys, raise_error=False)
-            if dups:
-                raise DuplicateKeyError(f"source holds keys more than once: {dups}")
-    else:
+        assume_unique = True
+    elif on_duplicate != "error":
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
+    # one job answers both questions: are the keys unique, and is the source small enough to
+    # broadcast (a bounded scan when uniqueness is already known)
+    prof = None
+    if not assume_unique:
+        prof = profile(source, broadcast_rows, keys=keys)
+        if prof.max_per_key and prof.max_per_key > 1:
+            dups = check_unique(source, keys, raise_error=False)
+            raise DuplicateKeyError(f"source holds keys more than once: {dups}")
 
     src_cols = [c for c in source.columns if c in tcols and c not in keys]
     s = _prep_source(source, keys, src_cols, on_update, on_insert)
@@ -145,7 +151,9 @@ def upsert(
         return df.select(*[value(c).cast(types[c]).alias(c) for c in tcols])
 
     if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(source, broadcast_rows) else "shuffle"
+        if prof is None:
+            prof = profile(source, broadcast_rows)
+        strategy = "broadcast" if prof.fits(broadcast_rows, broadcast_bytes) else "shuffle"
 
     if strategy == "broadcast":
         kept = project(t.join(F.broadcast(s), keys, "left"), matched_value)

@@ -16,6 +16,7 @@ status and root cause from ``run_outcome`` and is written before the gate raises
 from __future__ import annotations
 
 import datetime as _dt
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -55,6 +56,7 @@ class RunResult:
     error_message: str | None
     checks: list[dict]
     tasks: list[tuple[str, str]]
+    seconds: dict[str, float] = field(default_factory=dict)
 
 
 TASKS = (
@@ -87,11 +89,13 @@ def run(
     states: dict[str, str] = {}
     check_rows: list[dict] = []
     errors: list[tuple[str, Exception]] = []
+    seconds: dict[str, float] = {}
 
     def step(task: str, fn: Callable[[], None], after_failure_skip: bool = True) -> bool:
         if after_failure_skip and any(s in ("failed", "upstream_failed") for s in states.values()):
             states[task] = "upstream_failed"
             return False
+        t0 = time.perf_counter()
         try:
             if fail_at == task:
                 raise RuntimeError(f"injected failure in {task}")
@@ -102,6 +106,8 @@ def run(
             states[task] = "failed"
             errors.append((task, ex))
             return False
+        finally:
+            seconds[task] = round(time.perf_counter() - t0, 3)
 
     def init():
         wh.ensure_tables()
@@ -209,7 +215,7 @@ def run(
                                            as_of, pipeline=pipeline))
     out = outcome.first()
     result = RunResult(run_id, out["status"], out["error_message"], check_rows,
-                       [(t, states.get(t)) for t in TASKS])
+                       [(t, states.get(t)) for t in TASKS], seconds)
     if raise_on_failure and result.status != "SUCCESS":
         failed_checks = [r for r in check_rows if r["ok"] == 0]
         if failed_checks:
