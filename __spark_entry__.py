@@ -183,6 +183,24 @@ _ORACLES = {
         union all select 'orders', count(*) from orders
         union all select 'lineitem', count(*) from lineitem
         union all select 'events', count(*) from events""",
+    "pipeline_run_log": """
+        select 'github_etl' pipeline_name, 'github_etl' dag_id, r.run_id, 'SUCCESS' status,
+               cast(null as varchar) error_message,
+               (select count(*) from customer) stg_repos_rows,
+               (select count(*) from orders o join customer c on c.c_custkey = o.o_custkey
+                where r.run_id = 'run2' or o.o_orderdate < timestamp '1998-01-01') stg_commits_rows,
+               (select count(*) from customer) dim_repository_rows,
+               (select count(*) from orders o join customer c on c.c_custkey = o.o_custkey
+                where r.run_id = 'run2' or o.o_orderdate < timestamp '1998-01-01') fact_commits_rows
+        from (select 'run1' run_id union all select 'run2') r""",
+    "pipeline_marks": """
+        select 'github_commits' pipeline_name, c.c_name entity_name,
+               max(o.o_orderdate) watermark_ts
+        from orders o join customer c on c.c_custkey = o.o_custkey group by c.c_name""",
+    "stream_staging": """
+        select cast(o.o_orderkey as varchar) sha, c.c_name repo_full_name,
+               o.o_orderdate committed_at, o.o_orderpriority commit_message
+        from orders o join customer c on c.c_custkey = o.o_custkey""",
 }
 
 

@@ -27,20 +27,20 @@ class QualityGateError(RuntimeError):
         super().__init__("data-quality checks failed: " + ", ".join(f["check_name"] for f in failed))
 
 
-def _result(name: str, violations: Column, spark) -> DataFrame:
-    v = F.coalesce(violations.cast("long"), F.lit(0).cast("long"))
-    return spark.range(1).select(
+def _result(name: str, one_row: DataFrame) -> DataFrame:
+    """``one_row`` is a global aggregate with column ``v`` (always exactly one row)."""
+    v = F.coalesce(F.col("v").cast("long"), F.lit(0).cast("long"))
+    return one_row.select(v.alias("v")).select(
         F.lit(name).alias("check_name"),
-        F.when(v == 0, F.lit(1)).otherwise(F.lit(0)).alias("ok"),
-        v.alias("violations"),
+        F.when(F.col("v") == 0, F.lit(1)).otherwise(F.lit(0)).alias("ok"),
+        F.col("v").alias("violations"),
     )
 
 
 def dq_not_null(fact: DataFrame, col: str = "repo_id",
                 name: str = "dq_fact_repo_id_not_null") -> DataFrame:
     """Q1: no NULL in ``col`` (reads that one column only)."""
-    n = fact.select(col).where(F.col(col).isNull()).agg(F.count(F.lit(1))).scalar()
-    return _result(name, n, fact.sparkSession)
+    return _result(name, fact.select(col).where(F.col(col).isNull()).agg(F.count(F.lit(1)).alias("v")))
 
 
 def dq_foreign_key(fact: DataFrame, dim: DataFrame, fact_col: str = "repo_id",
@@ -53,8 +53,7 @@ def dq_foreign_key(fact: DataFrame, dim: DataFrame, fact_col: str = "repo_id",
     per_key = fact.groupBy(F.col(fact_col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     keys = dim.select(F.col(dim_col).alias("_k"))
     orphans = per_key.join(keys, "_k", "left_anti")
-    n = orphans.agg(F.sum("_n")).scalar()
-    return _result(name, n, fact.sparkSession)
+    return _result(name, orphans.agg(F.sum("_n").alias("v")))
 
 
 def watermark_vs_fact(marks: DataFrame, dim: DataFrame, fact: DataFrame, *,
@@ -75,7 +74,7 @@ def dq_watermark_not_ahead(marks: DataFrame, dim: DataFrame, fact: DataFrame,
     """Q3: no mark ahead of the fact; a mark without dimension/fact match or a NULL max fails too."""
     t = watermark_vs_fact(marks, dim, fact, **kw)
     bad = t.where(F.col("max_fact").isNull() | (F.col("max_fact") < F.col("watermark_ts")))
-    return _result(name, bad.agg(F.count(F.lit(1))).scalar(), marks.sparkSession)
+    return _result(name, bad.agg(F.count(F.lit(1)).alias("v")))
 
 
 def dq_recent_raw_has_effect(raw: DataFrame, staging: DataFrame, as_of, *,
@@ -83,17 +82,18 @@ def dq_recent_raw_has_effect(raw: DataFrame, staging: DataFrame, as_of, *,
                              staging_ts_col: str = "raw_ingested_at",
                              name: str = "dq_last_raw_batches_have_effect") -> DataFrame:
     """Q4: if a non-empty raw batch landed within ``window`` before ``as_of``, some staging row
-    carries an ingest time inside the window.  Two scalar subqueries; the time predicates reach the
+    carries an ingest time inside the window.  One aggregate plus one scalar subquery; the time predicates reach the
     parquet scans as pushed filters."""
     since = as_of_col(as_of) - F.expr(f"INTERVAL {window}")
     recent = raw.where(F.col("ingested_at") >= since)
     if "ingest_date" in raw.columns:  # warehouse raw tables: prune ingest-date directories too
         recent = recent.where(F.col("ingest_date") >= F.to_date(since))
-    recent_raw = (recent.where(payload_size("payload") > 0).agg(F.count(F.lit(1))).scalar())
     recent_stg = (staging.where(F.col(staging_ts_col) >= since)
                          .agg(F.count(F.lit(1))).scalar())
-    violations = F.when(recent_raw == 0, F.lit(0)).when(recent_stg > 0, F.lit(0)).otherwise(recent_raw)
-    return _result(name, violations, raw.sparkSession)
+    counts = recent.where(payload_size("payload") > 0).agg(F.count(F.lit(1)).alias("n_raw"))
+    v = (F.when(F.col("n_raw") == 0, F.lit(0)).when(recent_stg > 0, F.lit(0))
+          .otherwise(F.col("n_raw")))
+    return _result(name, counts.select(v.alias("v")))
 
 
 def run_checks(checks: Sequence[DataFrame]) -> DataFrame:

@@ -16,8 +16,8 @@ Physical strategy, chosen per call:
   for duplicates) and found within ``broadcast_rows`` / ``broadcast_bytes``.  The target is streamed
   once through a broadcast left join (no target shuffle); new keys are the source keys not met in a
   key-only semi join of the target against the broadcast source keys;
-* ``shuffle``: one full outer sort-merge join on the keys.  Keys are unique on both sides, so the
-  join cannot be skewed by a hot key.
+* ``shuffle``: the target left-joined with the source (both shuffled on the keys) plus the source
+  anti-joined with the target's key column.  Keys are unique on both sides, so no key is hot.
 """
 
 from __future__ import annotations
@@ -159,14 +159,17 @@ def upsert(
         kept = project(t.join(F.broadcast(s), keys, "left"), matched_value)
         if not insert:
             return kept
+        # keys of the target that the source touches: a key-only scan against the broadcast keys
         matched_keys = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
         new = s.join(F.broadcast(matched_keys), keys, "left_anti")
     elif strategy == "shuffle":
-        joined = t.join(s, keys, "full_outer")
-        kept = project(joined.where(F.col("_t_in").isNotNull()), matched_value)
+        # kept/updated rows: target left join source; new rows: source anti-joined with the
+        # target's keys only (Catalyst splits a full outer join into these two anyway; written
+        # out, the anti join reads one column of the target and qualifies for AQE skew splits)
+        kept = project(t.join(s, keys, "left"), matched_value)
         if not insert:
             return kept
-        new = joined.where(F.col("_t_in").isNull())
+        new = s.join(target.select(*keys), keys, "left_anti")
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 
