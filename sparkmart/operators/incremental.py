@@ -122,7 +122,7 @@ def advance_watermark(
     stamp = as_of_col(as_of)
     return upsert(marks, new, ["pipeline_name", "entity_name"], ["watermark_ts"],
                   on_update={"updated_at": stamp}, on_insert={"updated_at": stamp},
-                  assume_unique=True)
+                  assume_unique=True, stage_source=True)
 
 
 def select_entities(staging: DataFrame, k: int | None = 10, *, name_col: str = "full_name",

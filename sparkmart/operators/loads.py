@@ -53,7 +53,7 @@ def stage_latest_batch(
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
     return upsert(target, rows.drop("_pos", "batch_id"), keys, update_cols,
                   on_update={stamp_col: stamp}, on_insert={stamp_col: stamp},
-                  assume_unique=on_duplicate == "latest")
+                  assume_unique=on_duplicate == "latest", stage_source=True)
 
 
 def stage_all_batches(
@@ -85,7 +85,8 @@ def stage_all_batches(
     stamp = as_of_col(as_of)
     return upsert(target, latest, keys, update_cols,
                   on_update={stamp_col: stamp}, on_insert={stamp_col: stamp},
-                  assume_unique=True, guard_col="raw_ingested_at" if guard else None)
+                  assume_unique=True, guard_col="raw_ingested_at" if guard else None,
+                  stage_source=True)
 
 
 def load_dimension_scd1(
@@ -155,7 +156,7 @@ def load_fact(
     src = fact_source(staging_facts, staging_dims, **lookup_kw)
     stamp = as_of_col(as_of)
     return upsert(fact, src, keys, update_cols, on_update={stamp_col: stamp},
-                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key)
+                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key, stage_source=True)
 
 
 def load_fact_left_lookup(
@@ -185,4 +186,4 @@ def load_fact_left_lookup(
     src = enforce_not_null(src, [id_col], "fact")
     stamp = as_of_col(as_of)
     return upsert(fact, src, keys, update_cols, on_update={stamp_col: stamp},
-                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key)
+                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key, stage_source=True)

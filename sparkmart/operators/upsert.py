@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.frames import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, profile
+from ..session import materialize
 from .constraints import check_unique
 from .dedup import latest_per_key
 from .keys import assign_keys
@@ -73,6 +74,7 @@ def upsert(
     strategy: str = "auto",
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    stage_source: bool = False,
 ) -> DataFrame:
     """New state of ``target`` after merging ``source`` on ``keys``; see the module doc.
 
@@ -83,7 +85,9 @@ def upsert(
     * ``guard_col``: update a matched row only if ``source[guard_col] >= target[guard_col]`` (late old
       data must not beat newer rows in incremental loads);
     * ``surrogate_key``: target column numbered for inserted rows (dense, after the current maximum);
-    * ``strategy``: ``"auto"``, ``"broadcast"`` or ``"shuffle"``.
+    * ``strategy``: ``"auto"``, ``"broadcast"`` or ``"shuffle"``;
+    * ``stage_source``: write a derived source once to the checkpoint folder (``checkpoint()``), so
+      the size/duplicate pass and both joins read it instead of recomputing its plan three times.
     """
     keys = list(keys)
     on_update = dict(on_update or {})
@@ -106,6 +110,8 @@ def upsert(
         assume_unique = True
     elif on_duplicate != "error":
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
+    if stage_source:
+        source = materialize(source)
     # one job answers both questions: are the keys unique, and is the source small enough to
     # broadcast (a bounded scan when uniqueness is already known)
     prof = None

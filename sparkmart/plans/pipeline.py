@@ -96,6 +96,8 @@ def run(
             states[task] = "upstream_failed"
             return False
         t0 = time.perf_counter()
+        # jobs of a step carry its name (event logs, status tracker)
+        spark.sparkContext.setJobGroup(f"{run_id}:{task}", f"{dag_id} {run_id} {task}")
         try:
             if fail_at == task:
                 raise RuntimeError(f"injected failure in {task}")
@@ -108,6 +110,7 @@ def run(
             return False
         finally:
             seconds[task] = round(time.perf_counter() - t0, 3)
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
     def init():
         wh.ensure_tables()

@@ -14,7 +14,13 @@ RUN2 = _dt.datetime(2024, 2, 2, tzinfo=_dt.timezone.utc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table of a scale-factor folder (``<sf_dir>/<name>.parquet``)."""
+    """One input table of a scale-factor folder (``<sf_dir>/<name>.parquet``).
+
+    The library's time logic assumes a UTC session zone (zone-less test times are read as UTC and
+    written to JSON with a ``Z``); it is pinned here because callers may hand over any session.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -40,6 +40,8 @@ def get_session(
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # staged sources and lineage cuts are removed once their DataFrame is gone
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # plans of chained loads are deep; keep their logged text bounded
         "spark.sql.maxPlanStringLength": str(256 * 1024),
     }

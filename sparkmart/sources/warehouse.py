@@ -110,12 +110,13 @@ class Warehouse:
            .parquet(f"{self._table_dir(name)}/data"))
 
     def ensure_tables(self, names: Iterable[str] | None = None) -> None:
-        """Create every keyed table that has no version yet as an empty version 1."""
+        """Create the folder of every table that does not exist yet.
+
+        No data is written: a table without a committed version reads as an empty frame with its
+        declared schema, so creation needs no Spark job.
+        """
         for name in names or [t.name for t in S.ALL_TABLES]:
-            if name in APPEND_ONLY:
-                continue
-            if not self.versions(name):
-                self.replace(name, empty_table(self.spark, self.specs[name]))
+            self._fs.mkdirs(self._Path(self._table_dir(name)))
 
     def vacuum(self, name: str, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` committed versions; returns the deleted ones."""
