@@ -24,7 +24,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from sparkmart import schemas as S  # noqa: E402
 from sparkmart.functions.json import iso_utc  # noqa: E402
-from sparkmart.operators.dedup import latest_per_key  # noqa: E402
 from sparkmart.operators.incremental import advance_watermark  # noqa: E402
 from sparkmart.operators.loads import load_fact, stage_all_batches  # noqa: E402
 from sparkmart.operators.quality import (dq_foreign_key, dq_not_null,  # noqa: E402

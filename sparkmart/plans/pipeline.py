@@ -82,8 +82,14 @@ def run(
     lookback: str = S.DEFAULT_LOOKBACK,
     raise_on_failure: bool = True,
     fail_at: str | None = None,
+    checks_first: bool = False,
 ) -> RunResult:
-    """One run; ``fail_at`` injects a failure into the named step (for tests of the mark rule)."""
+    """One run.
+
+    ``checks_first`` runs the checks that do not read the marks (Q1, Q2, Q4) before the marks move,
+    so a failed check leaves the marks where they were (the reference moves them first).
+    ``fail_at`` injects a failure into the named step (tests of the mark rule).
+    """
     if as_of.tzinfo is None:
         as_of = as_of.replace(tzinfo=_dt.timezone.utc)
     states: dict[str, str] = {}
@@ -182,25 +188,38 @@ def run(
         ("load_fact_commits", fact_load),
         ("update_watermark_after_load", marks),
     ]
-    for task, fn in plan:
-        step(task, fn)
-    # the four checks run side by side after the marks: each is independent of the others
-    pre_failed = any(s != "success" for s in states.values())
     checks = [
         ("dq_fact_repo_id_not_null", lambda: dq_not_null(fact())),
         ("dq_fact_repo_fk_dim", lambda: dq_foreign_key(fact(), dim())),
-        ("dq_watermark_not_ahead_of_fact",
-         lambda: dq_watermark_not_ahead(wh.read(S.ETL_WATERMARK.name), dim(), fact(),
-                                        pipeline=marks_pipeline)),
         ("dq_last_raw_batches_have_effect",
          lambda: dq_recent_raw_has_effect(wh.read(S.RAW_COMMITS.name),
                                           wh.read(S.STG_COMMITS.name), as_of)),
+        ("dq_watermark_not_ahead_of_fact",
+         lambda: dq_watermark_not_ahead(wh.read(S.ETL_WATERMARK.name), dim(), fact(),
+                                        pipeline=marks_pipeline)),
     ]
-    for task, builder in checks:
-        if pre_failed:
-            states[task] = "upstream_failed"
-        else:
-            step(task, check(builder), after_failure_skip=False)
+
+    def run_checks(items) -> None:
+        # checks run side by side: each is independent of the others' outcome
+        blocked = any(s != "success" for s in states.values())
+        for task, builder in items:
+            if blocked:
+                states[task] = "upstream_failed"
+            else:
+                step(task, check(builder), after_failure_skip=False)
+
+    if not checks_first:
+        # the reference's order: marks move right after the fact load, then the four checks
+        for task, fn in plan:
+            step(task, fn)
+        run_checks(checks)
+    else:
+        # option: the checks that do not read the marks gate the marks; the mark check follows
+        for task, fn in plan[:-1]:
+            step(task, fn)
+        run_checks(checks[:3])
+        step(*plan[-1])
+        run_checks(checks[3:])
 
     # run end: outcome from the task states, layer counts, update of the run row
     task_rows = [(dag_id, run_id, t, states.get(t)) for t in TASKS if t != "log_run_start"]

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.frames import to_ntz
 from ..functions.json import iso_utc, json_field, lenient_timestamp, parse_payload
-from ..operators.constraints import default_columns  # noqa: F401  (re-exported for users)
 from ..operators.dedup import latest_batch, latest_per_key, top_k
 from ..operators.incremental import filter_incremental, resolve_since
 from ..operators.keys import assign_keys

@@ -37,5 +37,13 @@ def test_query_matches_oracle_sf0001(spark, con, name):
     exp = sorted(tuple(str(r[i]) for i in order) for r in res.fetchall())
     assert sorted(df.columns) == sorted(cols)
     assert len(got) == len(exp)
-    if name not in ("json_flatten",):  # float text forms differ (23.0 vs 23.0); covered by tools/
-        assert got == exp
+    assert got == exp
+
+
+@pytest.mark.parametrize("name", ["json_flatten", "upsert", "run_status", "paging", "fact_commits",
+                                  "incremental", "dq_recent"])
+def test_no_python_evaluation_in_plans(spark, name):
+    df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+        assert node not in plan

@@ -84,3 +84,19 @@ def test_uncommitted_version_is_ignored(spark):
     v = wh.replace("etl_watermark", wh.read("etl_watermark"))
     assert v == 1 and wh.read("etl_watermark").count() == 0
     assert wh.read("etl_watermark").schema == S.ETL_WATERMARK.schema
+
+
+def test_checks_first_keeps_marks_on_failed_check(spark, sf001):
+    wh = _wh(spark)
+    run(spark, wh, tpch_feeds(spark, sf001, until=dt.datetime(1998, 1, 1)),
+        dt.datetime(2024, 2, 1, tzinfo=UTC), "run1", lookback=HISTORY)
+    marks_before = sorted(tuple(r) for r in wh.read("etl_watermark").collect())
+    with pytest.raises(Exception):
+        run(spark, wh, tpch_feeds(spark, sf001), dt.datetime(2024, 2, 2, tzinfo=UTC), "run2",
+            lookback=HISTORY, checks_first=True, fail_at="dq_fact_repo_fk_dim")
+    assert sorted(tuple(r) for r in wh.read("etl_watermark").collect()) == marks_before
+    log = {r.run_id: r for r in wh.read("etl_run_log").collect()}
+    assert log["run2"].error_message == "FAILED task: dq_fact_repo_fk_dim"
+    r3 = run(spark, wh, tpch_feeds(spark, sf001), dt.datetime(2024, 2, 3, tzinfo=UTC), "run3",
+             lookback=HISTORY, checks_first=True)
+    assert r3.status == "SUCCESS" and len(r3.checks) == 4
