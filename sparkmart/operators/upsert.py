@@ -75,6 +75,7 @@ def upsert(
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
     stage_source: bool = False,
+    changes_only: bool = False,
 ) -> DataFrame:
     """New state of ``target`` after merging ``source`` on ``keys``; see the module doc.
 
@@ -87,7 +88,10 @@ def upsert(
     * ``surrogate_key``: target column numbered for inserted rows (dense, after the current maximum);
     * ``strategy``: ``"auto"``, ``"broadcast"`` or ``"shuffle"``;
     * ``stage_source``: write a derived source once to the checkpoint folder (``checkpoint()``), so
-      the size/duplicate pass and both joins read it instead of recomputing its plan three times.
+      the size/duplicate pass and both joins read it instead of recomputing its plan three times;
+    * ``changes_only``: return only the rows that change (updated + inserted), in the target's
+      schema, for a sink that merges or overwrites partitions in place instead of writing the whole
+      next version (untouched rows are then never rewritten).
     """
     keys = list(keys)
     on_update = dict(on_update or {})
@@ -161,8 +165,17 @@ def upsert(
             prof = profile(source, broadcast_rows)
         strategy = "broadcast" if prof.fits(broadcast_rows, broadcast_bytes) else "shuffle"
 
+    # untouched target rows are dropped from the output when only changes are asked for
+    keep_how = "inner" if changes_only else "left"
+
+    def keep_filter(df: DataFrame) -> DataFrame:
+        if changes_only and guard_col is not None:
+            return df.where(F.col(f"_t_{guard_col}").isNull()
+                            | (F.col(f"_s_{guard_col}") >= F.col(f"_t_{guard_col}")))
+        return df
+
     if strategy == "broadcast":
-        kept = project(t.join(F.broadcast(s), keys, "left"), matched_value)
+        kept = project(keep_filter(t.join(F.broadcast(s), keys, keep_how)), matched_value)
         if not insert:
             return kept
         # keys of the target that the source touches: a key-only scan against the broadcast keys
@@ -172,7 +185,7 @@ def upsert(
         # kept/updated rows: target left join source; new rows: source anti-joined with the
         # target's keys only (Catalyst splits a full outer join into these two anyway; written
         # out, the anti join reads one column of the target and qualifies for AQE skew splits)
-        kept = project(t.join(s, keys, "left"), matched_value)
+        kept = project(keep_filter(t.join(s, keys, keep_how)), matched_value)
         if not insert:
             return kept
         new = s.join(target.select(*keys), keys, "left_anti")

@@ -132,3 +132,18 @@ def test_left_lookup_loader_raises_on_missing_id(spark):
     ok = load_fact_left_lookup(empty(spark, S.FACT_COMMITS),
                                stg_c.where(F.col("sha") != "c9"), stg_r, dim, ts(2024, 1, 1))
     assert sorted(r.sha for r in ok.collect()) == ["c1", "c2"]
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_changes_only(spark, strategy):
+    target = spark.createDataFrame([(1, "a", ts(2024, 1, 5)), (2, "b", ts(2024, 1, 1)),
+                                    (3, "c", ts(2024, 1, 1))], "k long, v string, t timestamp")
+    source = spark.createDataFrame([(1, "old", ts(2024, 1, 2)), (2, "new", ts(2024, 1, 2)),
+                                    (4, "ins", ts(2024, 1, 2))], "k long, v string, t timestamp")
+    out = upsert(target, source, ["k"], ["v", "t"], guard_col="t", changes_only=True,
+                 strategy=strategy)
+    assert {r.k: r.v for r in out.collect()} == {2: "new", 4: "ins"}
+    full = upsert(target, source, ["k"], ["v", "t"], guard_col="t", strategy=strategy)
+    merged = {r.k: r.v for r in target.collect()}
+    merged.update({r.k: r.v for r in out.collect()})
+    assert {r.k: r.v for r in full.collect()} == merged
