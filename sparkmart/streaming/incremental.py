@@ -28,6 +28,7 @@ from ..operators.loads import load_fact, stage_all_batches
 from ..operators.upsert import upsert
 from ..sources.payload import flatten
 from ..sources.raw import as_of_col
+from ..session import materialize
 from ..sources.warehouse import Warehouse
 
 # raw files as written by ``Warehouse.append`` (ingest-date partition column included)
@@ -39,21 +40,30 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc)
 
 
-def apply_commit_batch(wh: Warehouse, batch: DataFrame, as_of: _dt.datetime,
-                       marks_pipeline: str = S.MARKS_PIPELINE) -> None:
-    """One micro-batch of raw commit rows -> staging, fact and marks (each a new table version)."""
+def stage_commit_delta(wh: Warehouse, batch: DataFrame, as_of: _dt.datetime) -> DataFrame:
+    """Raw commit rows of one delta -> staging (guarded upsert); returns the touched keys."""
     batch = batch.select(*S.RAW_COMMITS.columns)
-    stg_old = wh.read(S.STG_COMMITS.name)
-    stg_new = stage_all_batches(stg_old, batch, as_of, guard=True)
-    wh.replace(S.STG_COMMITS.name, stg_new)
+    wh.replace(S.STG_COMMITS.name, stage_all_batches(wh.read(S.STG_COMMITS.name), batch, as_of,
+                                                     guard=True))
+    return flatten(batch, [("sha", S.COMMIT_KEY_PATH, "string")],
+                   key_path=S.COMMIT_KEY_PATH).select("sha")
+
+
+def load_fact_delta(wh: Warehouse, touched: DataFrame, as_of: _dt.datetime) -> DataFrame:
+    """Fact load for the touched commits plus staging commits still missing from the fact (their
+    repository may have arrived since); returns the keys handed to the fact load."""
     stg = wh.read(S.STG_COMMITS.name)
-    touched = flatten(batch, [("sha", S.COMMIT_KEY_PATH, "string")], key_path=S.COMMIT_KEY_PATH)
     fact = wh.read(S.FACT_COMMITS.name)
     pending = stg.select("sha").join(fact.select("sha"), "sha", "left_anti")
-    todo = touched.select("sha").unionByName(pending).distinct()
+    todo = materialize(touched.unionByName(pending).distinct())
     src = stg.join(todo, "sha", "left_semi")
     wh.replace(S.FACT_COMMITS.name, load_fact(fact, src, wh.read(S.STG_REPOS.name), as_of))
-    # marks of the entities whose facts changed, recomputed from the loaded fact
+    return todo
+
+
+def advance_marks_delta(wh: Warehouse, todo: DataFrame, as_of: _dt.datetime,
+                        marks_pipeline: str = S.MARKS_PIPELINE) -> None:
+    """Marks of the entities whose facts changed, recomputed from the loaded fact."""
     fact = wh.read(S.FACT_COMMITS.name)
     dim = wh.read(S.DIM_REPOSITORY.name)
     touched_ids = fact.join(todo, "sha", "left_semi").select("repo_id").distinct()
@@ -63,7 +73,16 @@ def apply_commit_batch(wh: Warehouse, batch: DataFrame, as_of: _dt.datetime,
     stamp = as_of_col(as_of)
     wh.replace(S.ETL_WATERMARK.name, upsert(
         wh.read(S.ETL_WATERMARK.name), new, ["pipeline_name", "entity_name"], ["watermark_ts"],
-        on_update={"updated_at": stamp}, on_insert={"updated_at": stamp}, assume_unique=True))
+        on_update={"updated_at": stamp}, on_insert={"updated_at": stamp}, assume_unique=True,
+        stage_source=True))
+
+
+def apply_commit_batch(wh: Warehouse, batch: DataFrame, as_of: _dt.datetime,
+                       marks_pipeline: str = S.MARKS_PIPELINE) -> None:
+    """One micro-batch of raw commit rows -> staging, fact and marks (each a new table version)."""
+    touched = stage_commit_delta(wh, batch, as_of)
+    todo = load_fact_delta(wh, touched, as_of)
+    advance_marks_delta(wh, todo, as_of, marks_pipeline)
 
 
 def stream_commits(spark: SparkSession, wh: Warehouse, checkpoint: str, *,

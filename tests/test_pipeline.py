@@ -100,3 +100,15 @@ def test_checks_first_keeps_marks_on_failed_check(spark, sf001):
     r3 = run(spark, wh, tpch_feeds(spark, sf001), dt.datetime(2024, 2, 3, tzinfo=UTC), "run3",
              lookback=HISTORY, checks_first=True)
     assert r3.status == "SUCCESS" and len(r3.checks) == 4
+
+
+def test_incremental_runs_equal_full_reprocessing(spark, sf001, two_runs):
+    full, _, _ = two_runs
+    wh = _wh(spark)
+    run(spark, wh, tpch_feeds(spark, sf001, until=dt.datetime(1998, 1, 1)),
+        dt.datetime(2024, 2, 1, tzinfo=UTC), "run1", lookback=HISTORY, incremental=True)
+    r2 = run(spark, wh, tpch_feeds(spark, sf001), dt.datetime(2024, 2, 2, tzinfo=UTC), "run2",
+             lookback=HISTORY, incremental=True)
+    assert r2.status == "SUCCESS"
+    for n in ("stg_commits", "fact_commits", "etl_watermark"):
+        assert _strip(wh.read(n), *STAMPS) == _strip(full.read(n), *STAMPS), n
