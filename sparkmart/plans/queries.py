@@ -30,12 +30,12 @@ from ..sources.raw import pack_batches
 from .star import Star, build_star
 from .tables import RUN1, empty, table
 
-_STARS: dict[tuple[int, str], Star] = {}
+_STARS: dict[tuple[str, str], Star] = {}
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
     """The in-memory warehouse of ``sf_dir``, built once per session (layers are checkpointed)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STARS:
         _STARS[key] = build_star(spark, sf_dir)
     return _STARS[key]
@@ -318,7 +318,7 @@ def pipeline_two_runs(spark: SparkSession, sf_dir: str):
     (built once per session and scale folder)."""
     from .pipeline import run, tpch_feeds
 
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key in _PIPELINES:
         return _PIPELINES[key]
     wh = _scratch_warehouse(spark, "pipeline")
