@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 1024
 
 
-def _base_frame(start_after: int | Column | DataFrame, key_col: str, spark) -> DataFrame:
+def _base(start_after: int | Column | DataFrame, key_col: str) -> Column:
+    """The key to count from, as a literal or an uncorrelated scalar subquery (no join needed)."""
     if isinstance(start_after, DataFrame):
-        return start_after.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("long").alias("_base"))
+        return start_after.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("long")).scalar()
     if isinstance(start_after, Column):
-        return spark.range(1).select(start_after.cast("long").alias("_base"))
-    return spark.range(1).select(F.lit(int(start_after)).cast("long").alias("_base"))
+        return start_after.cast("long")
+    return F.lit(int(start_after)).cast("long")
 
 
 def assign_keys(
@@ -42,7 +43,6 @@ def assign_keys(
     ``start_after`` may be a number, or the existing table (its ``max(key_col)`` is used, 0 if empty).
     ``natural_keys`` must be unique in ``df``; they fix the numbering, so a rerun gives the same keys.
     """
-    spark = df.sparkSession
     nat = [F.col(c) for c in natural_keys]
     rows = df.withColumn("_kb", F.pmod(F.xxhash64(*nat), F.lit(buckets)).cast("int"))
     rows = rows.withColumn("_krn", F.row_number().over(Window.partitionBy("_kb").orderBy(*nat)))
@@ -55,11 +55,9 @@ def assign_keys(
             x["_kb"].alias("_kb"),
             F.aggregate(F.slice("_a", 1, i), F.lit(0).cast("long"),
                         lambda acc, y: acc + y["_kc"]).alias("_koff")),
-    )).alias("_o")).select("_o._kb", "_o._koff")
-    base = _base_frame(start_after, key_col, spark)
-    offsets = (offsets.withColumn("_one", F.lit(1))
-                      .join(base.withColumn("_one", F.lit(1)), "_one")
-                      .select("_kb", (F.col("_base") + F.col("_koff")).alias("_kstart")))
+    )).alias("_o")).select(
+        F.col("_o._kb").alias("_kb"),
+        (_base(start_after, key_col) + F.col("_o._koff")).alias("_kstart"))
     out = rows.join(F.broadcast(offsets), "_kb", "inner")
     return (out.withColumn(key_col, (F.col("_kstart") + F.col("_krn")).cast("long"))
                .drop("_kb", "_krn", "_kstart"))
