@@ -30,6 +30,7 @@ def run_start(run_log: DataFrame, as_of, *, pipeline: str, dag_id: str, run_id:
          else F.lit(None).cast("timestamp")).alias("logical_date"),
         F.lit("RUNNING").alias("status"), as_of_col(as_of).alias("start_ts"),
         F.lit(None).cast("timestamp").alias("end_ts"), F.lit(None).cast("string").alias("error_message"))
+    # the source is a single row: broadcasting it needs no measurement
     return upsert(run_log, src, list(RUN_KEYS), ["status", "start_ts", "end_ts", "error_message"],
                   assume_unique=True, strategy="broadcast")
 
@@ -118,4 +119,5 @@ def run_end(run_log: DataFrame, outcome: DataFrame, metric_tables: Mapping[str,
         *[df.agg(F.count(F.lit(1)).cast("long")).scalar().alias(name)
           for name, df in metric_tables.items()])
     cols = ["end_ts", "status", "error_message"] + list(metric_tables)
-    return update_by_key(run_log, src, list(RUN_KEYS), cols, assume_unique=True, strategy="broadcast")
+    # one row per run in ``outcome``: the size check decides between broadcast and shuffle
+    return update_by_key(run_log, src, list(RUN_KEYS), cols, assume_unique=True)
