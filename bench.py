@@ -62,8 +62,15 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     reps = int(os.environ.get("BENCH_REPS", "3"))
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times for later reading, in a scratch folder
+        import tempfile
+
+        log_dir = tempfile.mkdtemp(prefix="sparkmart-events-", dir="/tmp")
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_dir}"}
+        print(f"event log: {log_dir}", file=sys.stderr)
     spark = get_session(f"local[{cpus}]", app_name="sparkmart-bench",
-                        shuffle_partitions=int(cpus) * 2, driver_memory="16g")
+                        shuffle_partitions=int(cpus) * 2, driver_memory="16g", extra=extra)
     scratch = checkpoint_root(spark)
 
     # -- prepared inputs (not timed) ---------------------------------------------------------

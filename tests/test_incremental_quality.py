@@ -161,3 +161,10 @@ def test_run_start_restart_and_end(spark):
     other = run_outcome(_states(spark, [("zz", "t", "success")]))
     log3 = run_end(log2, other, tables, ts(2024, 1, 3), pipeline="p")
     assert log3.count() == 1
+
+
+def test_q2_is_planned_as_anti_join(spark):
+    fact = spark.range(100).select((F.col("id") % 7).alias("repo_id"))
+    dim = spark.range(5).select(F.col("id").alias("repo_id"))
+    plan = dq_foreign_key(fact, dim)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "LeftOuter" not in plan
