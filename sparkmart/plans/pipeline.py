@@ -40,7 +40,7 @@ class Feeds:
     """Where records come from (the API pages of the reference, here any Spark tables).
 
     * ``repos``: ``(org_or_user, repo_id, rec)``, one repository object per row;
-    * ``commits``: ``(org_or_user, repo_full_name, <ts_col>, <order cols>, rec)``;
+    * ``commits``: ``(repo_full_name, <ts_col>, <order cols>, rec)``;
     * ``commit_ts``: record time used against the marks; ``commit_order``: payload order.
     """
 
@@ -137,9 +137,16 @@ def run(
         raw = pack_batches(feeds.repos, ["org_or_user"], F.col("rec"), ["repo_id"], as_of)
         wh.append(S.RAW_REPOS.name, raw)
 
+    def this_run(raw: DataFrame) -> DataFrame:
+        # the run's own batches: one ingest-date directory, pruned at the scan
+        return raw.where((F.col("ingest_date") == F.to_date(as_of_col(as_of)))
+                         & (F.col("ingested_at") == as_of_col(as_of)))
+
     def repos_to_stg():
+        raw = wh.read(S.RAW_REPOS.name)
+        # delta mode: the newest batch of every scope landed by this run is in its partition
         wh.replace(S.STG_REPOS.name, stage_latest_batch(
-            wh.read(S.STG_REPOS.name), wh.read(S.RAW_REPOS.name), as_of, scope=scope))
+            wh.read(S.STG_REPOS.name), this_run(raw) if incremental else raw, as_of, scope=scope))
 
     def load_dim():
         wh.replace(S.DIM_REPOSITORY.name, load_dimension_scd1(
@@ -151,24 +158,19 @@ def run(
         since = resolve_since(chosen, wh.read(S.ETL_WATERMARK.name), as_of,
                               pipeline=marks_pipeline, lookback=lookback)
         recs = _incremental(feeds, since)
-        # every chosen repository gets a batch, ``[]`` when nothing is new
-        entities = (chosen.withColumnRenamed("entity_name", "repo_full_name")
-                          .join(feeds.commits.select("repo_full_name", "org_or_user").distinct(),
-                                "repo_full_name", "left")
-                          .select(F.coalesce("org_or_user", F.lit(scope or S.DEFAULT_SCOPE))
-                                  .alias("org_or_user"), "repo_full_name"))
-        raw = pack_batches(recs, ["org_or_user", "repo_full_name"], F.col("rec"),
-                           feeds.commit_order or [feeds.commit_ts], as_of, scopes=entities)
+        # one batch per chosen repository, ``[]`` when nothing is new; like the reference, every
+        # commit batch carries the run's configured organisation
+        raw = pack_batches(recs, ["repo_full_name"], F.col("rec"),
+                           feeds.commit_order or [feeds.commit_ts], as_of,
+                           scopes=chosen.withColumnRenamed("entity_name", "repo_full_name"))
+        raw = raw.withColumn("org_or_user", F.lit(scope or S.DEFAULT_SCOPE))
         wh.append(S.RAW_COMMITS.name, raw)
 
     delta: dict[str, DataFrame] = {}
 
     def commits_to_stg():
         if incremental:
-            raw = wh.read(S.RAW_COMMITS.name)
-            this_run = raw.where((F.col("ingest_date") == F.to_date(as_of_col(as_of)))
-                                 & (F.col("ingested_at") == as_of_col(as_of)))
-            delta["touched"] = stage_commit_delta(wh, this_run, as_of)
+            delta["touched"] = stage_commit_delta(wh, this_run(wh.read(S.RAW_COMMITS.name)), as_of)
             return
         wh.replace(S.STG_COMMITS.name, stage_all_batches(
             wh.read(S.STG_COMMITS.name), wh.read(S.RAW_COMMITS.name), as_of))
