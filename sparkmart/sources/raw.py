@@ -61,8 +61,10 @@ def pack_batches(
                   .select(*scope_cols, "_chunk",
                           F.to_json(F.transform("_items", lambda x: x["_r"])).alias("_text")))
     if scopes is not None:
+        # scopes without records: anti join with the per-scope counts (one small row per scope),
+        # not with the grouped payloads, which would be aggregated a second time
         empty = (scopes.select(*scope_cols).distinct()
-                       .join(grouped.select(*scope_cols), scope_cols, "left_anti")
+                       .join(counts.select(*scope_cols), scope_cols, "left_anti")
                        .select(*scope_cols, F.lit(0).cast("long").alias("_chunk"),
                                F.lit("[]").alias("_text")))
         grouped = grouped.unionByName(empty)
