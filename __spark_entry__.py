@@ -80,8 +80,7 @@ _ORACLES = {
     "json_flatten": "select l_orderkey, l_linenumber, l_quantity, l_shipdate from lineitem",
     "json_get": "select event_id, cast(json_extract_string(props, '$.k') as bigint) k from events",
     "batch_stats": """
-        select c.c_name repo_full_name, cast(ceil(count(*) / 1000.0) as bigint) batches,
-               count(*) records
+        select c.c_name repo_full_name, cast(1 as bigint) batches, count(*) records
         from orders o join customer c on c.c_custkey = o.o_custkey group by c.c_name""",
     "dedup_latest": """
         select distinct on (user_id) event_id, user_id, ts, event_type from events

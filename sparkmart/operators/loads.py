@@ -43,15 +43,16 @@ def stage_latest_batch(
     """
     flt = F.col(scope_col) == F.lit(scope) if scope is not None else None
     newest = latest_batch(raw, [scope_col], "ingested_at", flt)
-    rows = flatten(newest, fields, keep=[("ingested_at", "raw_ingested_at"), "batch_id"],
+    rows = flatten(newest, fields, keep=[("ingested_at", "raw_ingested_at"), "batch_id", "chunk"],
                    key_path=key_path, with_position=True)
     rows = enforce_not_null(rows, [c for c in not_null if c in rows.columns], "staging")
     stamp = as_of_col(as_of)
     if on_duplicate == "latest":
-        rows = latest_per_key(rows, keys, [F.col("batch_id").desc(), F.col("_pos").desc()])
+        rows = latest_per_key(rows, keys, [F.col("batch_id").desc(), F.col("chunk").desc(),
+                                           F.col("_pos").desc()])
     elif on_duplicate != "error":
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    return upsert(target, rows.drop("_pos", "batch_id"), keys, update_cols,
+    return upsert(target, rows.drop("_pos", "batch_id", "chunk"), keys, update_cols,
                   on_update={stamp_col: stamp}, on_insert={stamp_col: stamp},
                   assume_unique=on_duplicate == "latest", stage_source=True)
 
@@ -72,16 +73,18 @@ def stage_all_batches(
 ) -> DataFrame:
     """Raw commits -> staging: every batch re-read, latest element per key, upserted (W1 + L1).
 
-    Ties on ``raw_ingested_at`` are broken by entity name, batch id and position (last element wins),
+    Ties on ``raw_ingested_at`` are broken by entity name, batch id, chunk and position (last element
+    wins),
     so the result does not depend on file or partition order.  ``guard=True`` keeps a newer staging
     row against an older late batch (incremental form, T1).
     """
-    rows = flatten(raw, fields, keep=[entity_col, ("ingested_at", "raw_ingested_at"), "batch_id"],
+    rows = flatten(raw, fields, keep=[entity_col, ("ingested_at", "raw_ingested_at"), "batch_id",
+                                      "chunk"],
                    key_path=key_path, with_position=True)
     rows = enforce_not_null(rows, [c for c in not_null if c in rows.columns], "staging")
     order = [F.col("raw_ingested_at").desc(), F.col(entity_col).asc(), F.col("batch_id").desc(),
-             F.col("_pos").desc()]
-    latest = latest_per_key(rows, keys, order).drop("_pos", "batch_id")
+             F.col("chunk").desc(), F.col("_pos").desc()]
+    latest = latest_per_key(rows, keys, order).drop("_pos", "batch_id", "chunk")
     stamp = as_of_col(as_of)
     return upsert(target, latest, keys, update_cols,
                   on_update={stamp_col: stamp}, on_insert={stamp_col: stamp},

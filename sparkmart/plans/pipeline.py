@@ -249,8 +249,9 @@ def run(
     ts_df = spark.createDataFrame(task_rows, S.TASK_STATES.schema)
     outcome = run_outcome(ts_df)
     metric_tables = {
-        "raw_repos_batches": wh.read(S.RAW_REPOS.name),
-        "raw_commits_batches": wh.read(S.RAW_COMMITS.name),
+        # chunks of one batch share batch_id: count batches, not rows
+        "raw_repos_batches": wh.read(S.RAW_REPOS.name).select("batch_id").distinct(),
+        "raw_commits_batches": wh.read(S.RAW_COMMITS.name).select("batch_id").distinct(),
         "stg_repos_rows": wh.read(S.STG_REPOS.name),
         "stg_commits_rows": wh.read(S.STG_COMMITS.name),
         "dim_repository_rows": wh.read(S.DIM_REPOSITORY.name),

@@ -41,18 +41,18 @@ def _struct(*cols: tuple[str, T.DataType]) -> T.StructType:
 
 
 # --- fixed values: table layouts, defaults and constraints of the reference warehouse -------------
-# raw layer: one row per extraction batch, payload is a JSON array
+# raw layer: one row per extraction batch (per chunk of it), payload is a JSON array
 RAW_REPOS = TableSpec(
     "raw_repos",
     _struct(("ingested_at", TS), ("source", STR), ("org_or_user", STR), ("batch_id", STR),
-            ("payload", VARIANT)),
+            ("chunk", INT), ("payload", VARIANT)),
     not_null=("ingested_at", "source", "org_or_user", "payload"),
     defaults={"source": "'github_api'", "ingested_at": "AS_OF"},
 )
 RAW_COMMITS = TableSpec(
     "raw_commits",
     _struct(("ingested_at", TS), ("source", STR), ("org_or_user", STR), ("repo_full_name", STR),
-            ("batch_id", STR), ("payload", VARIANT)),
+            ("batch_id", STR), ("chunk", INT), ("payload", VARIANT)),
     not_null=("ingested_at", "source", "org_or_user", "repo_full_name", "payload"),
     defaults={"source": "'github_api'", "ingested_at": "AS_OF"},
 )

@@ -1,10 +1,12 @@
 """Raw layer: land record batches as JSON-array payloads.
 
 A batch is one extraction of one scope (an organisation, or one entity such as a repository): a row
-``(ingested_at, source, <scope columns>, batch_id, payload)`` whose payload is a JSON array of records.
+``(ingested_at, source, <scope columns>, batch_id, chunk, payload)`` whose payload is a JSON array of
+records.
 Records are grouped set-wise for all scopes at once.  A hot scope must not become one giant row built by
 one task, so a scope with ``n`` records is cut into ``ceil(n / chunk_size)`` chunks by a hash of the
-record's order key; the chunks share ``ingested_at`` and are told apart by ``batch_id``.
+record's order key; the chunks share ``ingested_at`` and ``batch_id`` and are numbered by ``chunk``,
+so counting batches means counting distinct ``batch_id``.
 """
 
 from __future__ import annotations
@@ -70,12 +72,13 @@ def pack_batches(
         grouped = grouped.unionByName(empty)
     ts = as_of_col(as_of)
     batch_id = F.concat_ws("/", *[F.col(c).cast("string") for c in scope_cols],
-                           F.date_format(ts, ISO_MICROS), F.col("_chunk").cast("string"))
+                           F.date_format(ts, ISO_MICROS))
     return grouped.select(
         ts.alias("ingested_at"),
         F.lit(source).alias("source"),
         *scope_cols,
         batch_id.alias("batch_id"),
+        F.col("_chunk").cast("int").alias("chunk"),
         parse_payload("_text").alias("payload"),
     )
 
@@ -94,7 +97,8 @@ def append_entity_batches(records: DataFrame, entities: DataFrame, scope_cols: S
 
 
 def batch_stats(raw: DataFrame, scope_cols: Sequence[str]) -> DataFrame:
-    """Batches and records per scope (``{"org","count"}`` / ``total_commits``)."""
+    """Batches (distinct ``batch_id``, chunks of one batch count once) and records per scope
+    (``{"org","count"}`` / ``total_commits``)."""
     return (raw.groupBy(*scope_cols)
                .agg(F.count_distinct("batch_id").alias("batches"),
                     F.sum(payload_size("payload")).cast("long").alias("records")))

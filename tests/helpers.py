@@ -19,6 +19,7 @@ def raw_commits(spark, batches):
     df = spark.createDataFrame(rows, "ingested_at timestamp, source string, org_or_user string, "
                                      "repo_full_name string, batch_id string, text string")
     return df.select("ingested_at", "source", "org_or_user", "repo_full_name", "batch_id",
+                     F.lit(0).alias("chunk"),
                      F.parse_json("text").alias("payload"))
 
 
@@ -29,7 +30,7 @@ def raw_repos(spark, batches):
         rows.append((ing, "github_api", org, f"r{i}", text))
     df = spark.createDataFrame(rows, "ingested_at timestamp, source string, org_or_user string, "
                                      "batch_id string, text string")
-    return df.select("ingested_at", "source", "org_or_user", "batch_id",
+    return df.select("ingested_at", "source", "org_or_user", "batch_id", F.lit(0).alias("chunk"),
                      F.parse_json("text").alias("payload"))
 
 
