@@ -196,6 +196,9 @@ _ORACLES = {
         select 'github_commits' pipeline_name, c.c_name entity_name,
                max(o.o_orderdate) watermark_ts
         from orders o join customer c on c.c_custkey = o.o_custkey group by c.c_name""",
+    "stream_marks": """
+        select c.c_name entity_name, max(o.o_orderdate) watermark_ts
+        from orders o join customer c on c.c_custkey = o.o_custkey group by c.c_name""",
     "stream_staging": """
         select cast(o.o_orderkey as varchar) sha, c.c_name repo_full_name,
                o.o_orderdate committed_at, o.o_orderpriority commit_message

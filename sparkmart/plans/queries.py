@@ -366,7 +366,24 @@ def q_stream_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      "commit_message"))
 
 
+def q_stream_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stateful running max per repository over the landed raw commit files, fed run by run
+    (the state store carries the max across the two available-now executions)."""
+    from ..streaming.incremental import stream_marks
+    from .star import land_two_runs
+
+    wh = _scratch_warehouse(spark, "stream-marks")
+    _, raw_commits = land_two_runs(spark, sf_dir)
+    ckpt = f"{wh.root}/_checkpoints/marks"
+    for ingested in sorted({r[0] for r in raw_commits.select("ingested_at").distinct().collect()}):
+        wh.append(S.RAW_COMMITS.name, raw_commits.where(F.col("ingested_at") == F.lit(ingested)))
+        stream_marks(spark, f"{wh.root}/{S.RAW_COMMITS.name}/data", wh, ckpt,
+                     clock=lambda: RUN1 + _dt.timedelta(days=2))
+    return to_ntz(wh.read("stream_marks").select("entity_name", "watermark_ts"))
+
+
 QUERIES.update({
+    "stream_marks": q_stream_marks,
     "pipeline_run_log": q_pipeline_run_log,
     "pipeline_marks": q_pipeline_marks,
     "stream_staging": q_stream_staging,
