@@ -270,7 +270,10 @@ def run(
     # run end: outcome from the task states, layer counts, update of the run row
     task_rows = [(dag_id, run_id, t, states.get(t)) for t in TASKS if t != "log_run_start"]
     ts_df = spark.createDataFrame(task_rows, S.TASK_STATES.schema)
-    outcome = run_outcome(ts_df)
+    # one run -> one outcome row: collected once, reused for the log and the result
+    outcome_df = run_outcome(ts_df)
+    out = outcome_df.first()
+    outcome = spark.createDataFrame([out], outcome_df.schema)
     metric_tables = {
         # chunks of one batch share batch_id: count batches, not rows
         "raw_repos_batches": wh.read(S.RAW_REPOS.name).select("batch_id").distinct(),
@@ -281,8 +284,7 @@ def run(
         "fact_commits_rows": wh.read(S.FACT_COMMITS.name),
     }
     wh.replace(S.ETL_RUN_LOG.name, run_end(wh.read(S.ETL_RUN_LOG.name), outcome, metric_tables,
-                                           as_of, pipeline=pipeline))
-    out = outcome.first()
+                                           as_of, pipeline=pipeline, strategy="broadcast"))
     result = RunResult(run_id, out["status"], out["error_message"], check_rows,
                        [(t, states.get(t)) for t in TASKS], seconds)
     if raise_on_failure and result.status != "SUCCESS":
