@@ -18,7 +18,7 @@ from ..sources.payload import FieldSpec, flatten
 from ..sources.raw import as_of_col
 from .constraints import enforce_not_null
 from .dedup import latest_batch, latest_per_key
-from .upsert import upsert
+from .upsert import DuplicateKeyError, upsert
 
 
 def stage_latest_batch(
@@ -154,12 +154,24 @@ def load_fact(
     """Fact upsert from staging with the id lookup; ``repo_key`` is left as it is.
 
     Two dimension rows sharing a name fan a fact row out to two rows with one key: that raises (the
-    reference's upsert aborts on it too).
+    reference's upsert aborts on it too).  Staging facts are unique by key, so a duplicate can only
+    come from such a name; it is found on the small side (names repeated in the lookup table that
+    some fact references) instead of grouping the whole fact source by key.
     """
+    fact_name = lookup_kw.get("fact_name_col", "repo_full_name")
+    lookup_name = lookup_kw.get("lookup_name_col", "full_name")
+    repeated = (staging_dims.groupBy(F.col(lookup_name).alias("_name"))
+                            .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+                            .select("_name"))
+    fanned = (staging_facts.join(repeated, F.col(fact_name) == F.col("_name"), "left_semi")
+                           .select(*keys).limit(5).collect())
+    if fanned:
+        raise DuplicateKeyError(f"lookup names repeat, facts would load twice: {fanned}")
     src = fact_source(staging_facts, staging_dims, **lookup_kw)
     stamp = as_of_col(as_of)
     return upsert(fact, src, keys, update_cols, on_update={stamp_col: stamp},
-                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key, stage_source=True)
+                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key, stage_source=True,
+                  assume_unique=True)
 
 
 def load_fact_left_lookup(
