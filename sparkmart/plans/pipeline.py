@@ -20,7 +20,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -31,6 +31,7 @@ from ..operators.quality import (QualityGateError, dq_foreign_key, dq_not_null,
                                  dq_recent_raw_has_effect, dq_watermark_not_ahead, gate)
 from ..operators.quality import run_checks as union_checks
 from ..operators.runlog import run_end, run_outcome, run_start
+from ..functions.json import payload_size
 from ..sources.raw import as_of_col, pack_batches
 from ..sources.warehouse import Warehouse
 from ..streaming.incremental import advance_marks_delta, load_fact_delta, stage_commit_delta
@@ -59,6 +60,8 @@ class RunResult:
     checks: list[dict]
     tasks: list[tuple[str, str]]
     seconds: dict[str, float] = field(default_factory=dict)
+    # What the extract steps landed, observed during their writes
+    landed: dict[str, dict] = field(default_factory=dict)
 
 
 TASKS = (
@@ -104,6 +107,16 @@ def run(
     check_rows: list[dict] = []
     errors: list[tuple[str, Exception]] = []
     seconds: dict[str, float] = {}
+    landed: dict[str, dict] = {}
+
+    def observed_append(task: str, table: str, raw: DataFrame) -> None:
+        # batch and record counts gathered by the write itself (no extra job)
+        obs = Observation(task)
+        # (observed metrics allow no DISTINCT: chunks are counted; a batch has >= 1 chunk)
+        raw = raw.observe(obs, F.count(F.lit(1)).alias("chunks"),
+                          F.sum(payload_size("payload")).cast("long").alias("records"))
+        wh.append(table, raw)
+        landed[task] = dict(obs.get)
 
     def step(task: str, fn: Callable[[], None], after_failure_skip: bool = True) -> bool:
         if after_failure_skip and any(s in ("failed", "upstream_failed") for s in states.values()):
@@ -136,7 +149,7 @@ def run(
 
     def land_repos():
         raw = pack_batches(feeds.repos, ["org_or_user"], F.col("rec"), ["repo_id"], as_of)
-        wh.append(S.RAW_REPOS.name, raw)
+        observed_append("extract_repos_to_raw", S.RAW_REPOS.name, raw)
 
     def this_run(raw: DataFrame) -> DataFrame:
         # the run's own batches: one ingest-date directory, pruned at the scan
@@ -165,7 +178,7 @@ def run(
                            feeds.commit_order or [feeds.commit_ts], as_of,
                            scopes=chosen.withColumnRenamed("entity_name", "repo_full_name"))
         raw = raw.withColumn("org_or_user", F.lit(scope or S.DEFAULT_SCOPE))
-        wh.append(S.RAW_COMMITS.name, raw)
+        observed_append("extract_commits_to_raw", S.RAW_COMMITS.name, raw)
 
     delta: dict[str, DataFrame] = {}
 
@@ -286,7 +299,7 @@ def run(
     wh.replace(S.ETL_RUN_LOG.name, run_end(wh.read(S.ETL_RUN_LOG.name), outcome, metric_tables,
                                            as_of, pipeline=pipeline, strategy="broadcast"))
     result = RunResult(run_id, out["status"], out["error_message"], check_rows,
-                       [(t, states.get(t)) for t in TASKS], seconds)
+                       [(t, states.get(t)) for t in TASKS], seconds, landed)
     if raise_on_failure and result.status != "SUCCESS":
         failed_checks = [r for r in check_rows if r["ok"] == 0]
         if failed_checks:

@@ -45,6 +45,10 @@ def test_two_runs_load_everything(spark, sf001, two_runs):
     log = {r.run_id: r for r in wh.read("etl_run_log").collect()}
     assert log["run1"].fact_commits_rows < log["run2"].fact_commits_rows == orders.count()
     assert all(c["ok"] == 1 for c in r2.checks) and len(r2.checks) == 4
+    # Landed counts observed by the writes; one commit batch per repository per run
+    customers = spark.read.parquet(f"{sf001}/customer.parquet").count()
+    assert r2.landed["extract_commits_to_raw"]["chunks"] == customers  # <= 1,000 records each
+    assert r1.landed["extract_repos_to_raw"]["records"] == customers
 
 
 def test_rerun_is_idempotent(spark, sf001, two_runs):
