@@ -88,8 +88,8 @@ def stage_all_batches(
     stamp = as_of_col(as_of)
     return upsert(target, latest, keys, update_cols,
                   on_update={stamp_col: stamp}, on_insert={stamp_col: stamp},
-                  assume_unique=True, guard_col="raw_ingested_at" if guard else None,
-                  stage_source=True)
+                  assume_unique=True, stage_source=True,
+                  guard_order=[("raw_ingested_at", "desc"), (entity_col, "asc")] if guard else None)
 
 
 def load_dimension_scd1(

@@ -57,6 +57,16 @@ def _prep_target(target: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _source_first(order: Sequence[tuple[str, str]]) -> Column:
+    """Source row precedes or ties the target row under ``order`` (a NULL target value loses)."""
+    result: Column = F.lit(True)  # tie on every column: the source wins
+    for col, direction in reversed(list(order)):
+        s, t = F.col(f"_s_{col}"), F.col(f"_t_{col}")
+        better = s > t if direction == "desc" else s < t
+        result = t.isNull() | better | (s.eqNullSafe(t) & result)
+    return result
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -70,6 +80,7 @@ def upsert(
     dedup_order: Sequence[str | Column] | None = None,
     assume_unique: bool = False,
     guard_col: str | None = None,
+    guard_order: Sequence[tuple[str, str]] | None = None,
     surrogate_key: str | None = None,
     strategy: str = "auto",
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
@@ -84,7 +95,10 @@ def upsert(
     * ``on_duplicate``: ``"error"`` (default) or ``"latest"`` (keep the first row per key under
       ``dedup_order``); ``assume_unique`` skips the check when the caller already deduplicated;
     * ``guard_col``: update a matched row only if ``source[guard_col] >= target[guard_col]`` (late old
-      data must not beat newer rows in incremental loads);
+      data must not beat newer rows in incremental loads); ``guard_order`` generalises it to a
+      lexicographic order ``[(col, "desc"|"asc"), ...]``: the source row wins when it comes first
+      under that order or ties on every column (use the same order as the dedup, so incremental
+      and batch loads agree on ties);
     * ``surrogate_key``: target column numbered for inserted rows (dense, after the current maximum);
     * ``strategy``: ``"auto"``, ``"broadcast"`` or ``"shuffle"``;
     * ``stage_source``: write a derived source once to the checkpoint folder (``checkpoint()``), so
@@ -126,6 +140,9 @@ def upsert(
             raise DuplicateKeyError(f"source holds keys more than once: {dups}")
 
     src_cols = [c for c in source.columns if c in tcols and c not in keys]
+    if guard_order is None and guard_col is not None:
+        guard_order = [(guard_col, "desc")]
+    guard = _source_first(guard_order) if guard_order else None
     s = _prep_source(source, keys, src_cols, on_update, on_insert)
     t = _prep_target(target, keys)
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -143,9 +160,8 @@ def upsert(
         if upd is None:
             return F.col(f"_t_{c}")
         cond = F.col("_s_in").isNotNull()
-        if guard_col is not None:
-            cond = cond & (F.col(f"_t_{guard_col}").isNull()
-                           | (F.col(f"_s_{guard_col}") >= F.col(f"_t_{guard_col}")))
+        if guard is not None:
+            cond = cond & guard
         return F.when(cond, upd).otherwise(F.col(f"_t_{c}"))
 
     def inserted_value(c: str) -> Column:
@@ -169,9 +185,8 @@ def upsert(
     keep_how = "inner" if changes_only else "left"
 
     def keep_filter(df: DataFrame) -> DataFrame:
-        if changes_only and guard_col is not None:
-            return df.where(F.col(f"_t_{guard_col}").isNull()
-                            | (F.col(f"_s_{guard_col}") >= F.col(f"_t_{guard_col}")))
+        if changes_only and guard is not None:
+            return df.where(guard)
         return df
 
     if strategy == "broadcast":

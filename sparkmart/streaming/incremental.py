@@ -5,7 +5,11 @@
   upserted into staging with the ingest-time guard, then the fact is loaded for the commits changed in
   the micro-batch plus staging commits still missing from the fact (their repository may have arrived
   since), and the marks advance for the touched entities.  Any split of the raw files into
-  micro-batches gives the batch result (the guard keeps a newer row against an older late file).
+  micro-batches, in any arrival order, gives the batch result: the guard applies the dedup's own
+  order (ingest time desc, entity asc), so an older late file never beats a newer row and ties go
+  the same way as in batch (property-tested).  Ties inside one batch (same time and entity) are
+  settled by chunk and position when the batch's files arrive in one micro-batch, which holds
+  unless ``maxFilesPerTrigger`` splits one landing's files.
 * ``stream_marks`` (T2): a stateful streaming ``max`` per entity over the flattened commits, in update
   mode; the state store (checkpointed) survives restarts, and an older late row cannot lower a mark.
 

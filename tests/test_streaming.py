@@ -64,3 +64,29 @@ def test_stream_equals_batch_and_guards_late_files(spark):
     stream_marks(spark, f"{wh.root}/raw_commits/data", wh, f"{root}/ck2", clock=clock)
     got = {r.entity_name: r.watermark_ts.day for r in wh.read("stream_marks").collect()}
     assert got == {"apache/a": 2, "apache/b": 5}
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+BATCHES = [
+    (ts(2024, 1, 1), "apache/a", [commit("c1", msg="1a"), commit("c2", msg="2a")]),
+    (ts(2024, 1, 2), "apache/a", [commit("c1", msg="1b")]),
+    (ts(2024, 1, 2), "apache/b", [commit("c3", msg="3b"), commit("c1", msg="1c")]),
+    (ts(2024, 1, 3), "apache/b", [commit("c2", msg="2d"), commit("c2", msg="2e")]),
+    (ts(2024, 1, 4), "apache/a", []),
+]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(order=st.permutations(range(len(BATCHES))), cuts=st.sets(st.integers(1, len(BATCHES) - 1)))
+def test_any_split_and_arrival_order_gives_the_batch_result(spark, order, cuts):
+    """T1's guarded staging over micro-batches = one batch over every file."""
+    want = stage_all_batches(empty(spark, S.STG_COMMITS), raw_commits(spark, BATCHES), ts(2024, 2, 1))
+    arrived = [BATCHES[i] for i in order]
+    bounds = [0, *sorted(cuts), len(arrived)]
+    stg = empty(spark, S.STG_COMMITS)
+    for lo, hi in zip(bounds, bounds[1:]):
+        stg = stage_all_batches(stg, raw_commits(spark, arrived[lo:hi]), ts(2024, 2, 1), guard=True)
+        stg = spark.createDataFrame(stg.collect(), S.STG_COMMITS.schema)  # tiny fixture state
+    assert _rows(stg, *STAMPS) == _rows(want, *STAMPS)
