@@ -68,7 +68,8 @@ def cap_oldest(records: DataFrame, *, entity_col: str, ts_col: str, cap: int,
     (ties at the boundary included), so the mark advanced from them cannot pass unread rows.
 
     ``rank() <= cap`` is planned as a partial ``WindowGroupLimit`` before the shuffle, so a hot
-    entity sends at most ``cap`` rows (plus ties) per map task.
+    entity sends at most ``cap`` rows (plus ties) per map task (for caps up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, raised by ``session.get_session``).
     """
     w = Window.partitionBy(entity_col).orderBy(F.col(ts_col).asc(), *[F.col(c) for c in tie_cols])
     return records.withColumn("_rk", F.rank().over(w)).where(F.col("_rk") <= cap).drop("_rk")

@@ -40,6 +40,9 @@ def get_session(
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # per-key top-k (paging, capped reads) keeps its map-side partial limit up to this k;
+        # Spark's default (1000) would drop it for larger caps and sort hot keys in one task
+        "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
         # staged sources and lineage cuts are removed once their DataFrame is gone
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # plans of chained loads are deep; keep their logged text bounded

@@ -22,7 +22,9 @@ def number_pages(records: DataFrame, entity_col: str, order_by: Sequence[str | C
 
     Only the first ``per_page * max_pages`` records of an entity can land on a page the rule keeps,
     so the numbering is a top-k per entity: ``row_number() <= k`` runs as a partial
-    ``WindowGroupLimit`` before the shuffle, and a hot entity ships at most ``k`` rows per map task.
+    ``WindowGroupLimit`` before the shuffle, and a hot entity ships at most ``k`` rows per map task
+    (Spark applies it up to ``spark.sql.optimizer.windowGroupLimitThreshold``, raised by
+    ``session.get_session``).
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     w = Window.partitionBy(entity_col).orderBy(*order)

@@ -45,3 +45,12 @@ def test_hot_key_foreign_key_check(spark):
     dim = spark.range(1, 1001).select(F.col("id").alias("k"))
     r = dq_foreign_key(fact, dim, "k", "k").first()
     assert r.ok == 0 and r.violations == N // 3
+
+
+def test_large_cap_keeps_partial_limit(spark):
+    from sparkmart.operators.incremental import cap_oldest
+
+    df = _skewed(spark)
+    out = cap_oldest(df, entity_col="k", ts_col="id", cap=5000)
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+    assert out.where("k = 0").count() == 5000
