@@ -33,7 +33,7 @@ from ..operators.quality import run_checks as union_checks
 from ..operators.runlog import run_end, run_outcome, run_start
 from ..functions.json import payload_size
 from ..sources.raw import as_of_col, pack_batches
-from ..sources.warehouse import Warehouse
+from ..sources.warehouse import APPEND_ONLY, Warehouse
 from ..streaming.incremental import advance_marks_delta, load_fact_delta, stage_commit_delta
 
 
@@ -89,6 +89,7 @@ def run(
     fail_at: str | None = None,
     checks_first: bool = False,
     incremental: bool = False,
+    keep_versions: int | None = 2,
 ) -> RunResult:
     """One run.
 
@@ -99,6 +100,9 @@ def run(
 
     ``checks_first`` runs the checks that do not read the marks (Q1, Q2, Q4) before the marks move,
     so a failed check leaves the marks where they were (the reference moves them first).
+    ``keep_versions``: after a successful run, every keyed table keeps only its newest versions
+    (the current one and one to roll back to by default; ``None`` keeps all).  A failed run deletes
+    nothing.
     ``fail_at`` injects a failure into the named step (tests of the mark rule).
     """
     if as_of.tzinfo is None:
@@ -300,6 +304,10 @@ def run(
                                            as_of, pipeline=pipeline, strategy="broadcast"))
     result = RunResult(run_id, out["status"], out["error_message"], check_rows,
                        [(t, states.get(t)) for t in TASKS], seconds, landed)
+    if result.status == "SUCCESS" and keep_versions is not None:
+        for spec in S.ALL_TABLES:
+            if spec.name not in APPEND_ONLY:
+                wh.vacuum(spec.name, keep=keep_versions)
     if raise_on_failure and result.status != "SUCCESS":
         failed_checks = [r for r in check_rows if r["ok"] == 0]
         if failed_checks:

@@ -119,7 +119,10 @@ class Warehouse:
             self._fs.mkdirs(self._Path(self._table_dir(name)))
 
     def vacuum(self, name: str, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` committed versions; returns the deleted ones."""
+        """Delete all but the newest ``keep`` committed versions; returns the deleted ones.
+
+        Readers still scanning a deleted version would fail, so run it after the jobs that read the
+        table (the pipeline does, at the end of a successful run)."""
         vs = self.versions(name)
         gone = vs[:-keep] if keep > 0 else vs
         for v in gone:

@@ -91,8 +91,12 @@ def apply_commit_batch(wh: Warehouse, batch: DataFrame, as_of: _dt.datetime,
 
 def stream_commits(spark: SparkSession, wh: Warehouse, checkpoint: str, *,
                    clock: Callable[[], _dt.datetime] = _now,
-                   max_files_per_trigger: int | None = None) -> int:
-    """Process every raw commit file not seen yet (available-now), return the micro-batch count."""
+                   max_files_per_trigger: int | None = None,
+                   keep_versions: int | None = 2) -> int:
+    """Process every raw commit file not seen yet (available-now), return the micro-batch count.
+
+    After each micro-batch the three tables it rewrote keep only their newest ``keep_versions``.
+    """
     reader = spark.readStream.schema(RAW_STREAM_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -102,6 +106,9 @@ def stream_commits(spark: SparkSession, wh: Warehouse, checkpoint: str, *,
     def each(df: DataFrame, epoch: int) -> None:
         batches.append(epoch)
         apply_commit_batch(wh, df, clock())
+        if keep_versions is not None:
+            for name in (S.STG_COMMITS.name, S.FACT_COMMITS.name, S.ETL_WATERMARK.name):
+                wh.vacuum(name, keep=keep_versions)
 
     q = (src.writeStream.foreachBatch(each)
             .option("checkpointLocation", checkpoint)

@@ -116,3 +116,9 @@ def test_incremental_runs_equal_full_reprocessing(spark, sf001, two_runs):
     assert r2.status == "SUCCESS"
     for n in ("stg_commits", "fact_commits", "etl_watermark"):
         assert _strip(wh.read(n), *STAMPS) == _strip(full.read(n), *STAMPS), n
+
+
+def test_successful_runs_keep_two_versions(spark, sf001, two_runs):
+    wh, _, _ = two_runs
+    for name in ("stg_commits", "fact_commits", "etl_watermark", "etl_run_log"):
+        assert len(wh.versions(name)) <= 2, name
