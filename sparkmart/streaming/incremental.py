@@ -59,10 +59,12 @@ def load_fact_delta(wh: Warehouse, touched: DataFrame, as_of: _dt.datetime) -> D
     stg = wh.read(S.STG_COMMITS.name)
     fact = wh.read(S.FACT_COMMITS.name)
     pending = stg.select("sha").join(fact.select("sha"), "sha", "left_anti")
-    todo = materialize(touched.unionByName(pending).distinct())
-    src = stg.join(todo, "sha", "left_semi")
+    todo = touched.unionByName(pending).distinct()
+    # the delta's staging rows, stored once: the fan-out check, the size check and the merge
+    # all read this copy instead of re-deriving it from staging and the fact
+    src = materialize(stg.join(todo, "sha", "left_semi"))
     wh.replace(S.FACT_COMMITS.name, load_fact(fact, src, wh.read(S.STG_REPOS.name), as_of))
-    return todo
+    return src.select("sha")
 
 
 def advance_marks_delta(wh: Warehouse, todo: DataFrame, as_of: _dt.datetime,
