@@ -69,11 +69,18 @@ def watermark_vs_fact(marks: DataFrame, dim: DataFrame, fact: DataFrame, *,
              .groupBy("entity_name", "watermark_ts").agg(F.max("_mf").alias("max_fact")))
 
 
+def watermark_violations(marks: DataFrame, dim: DataFrame, fact: DataFrame, **kw) -> DataFrame:
+    """The marks Q3 counts, as rows ``(entity_name, watermark_ts, max_fact)``: ahead of the fact,
+    or without a dimension/fact match (a renamed repository's orphan mark), or with a NULL max."""
+    t = watermark_vs_fact(marks, dim, fact, **kw)
+    return t.where(F.col("max_fact").isNull() | (F.col("max_fact") < F.col("watermark_ts")))
+
+
 def dq_watermark_not_ahead(marks: DataFrame, dim: DataFrame, fact: DataFrame,
                            name: str = "dq_watermark_not_ahead_of_fact", **kw) -> DataFrame:
-    """Q3: no mark ahead of the fact; a mark without dimension/fact match or a NULL max fails too."""
-    t = watermark_vs_fact(marks, dim, fact, **kw)
-    bad = t.where(F.col("max_fact").isNull() | (F.col("max_fact") < F.col("watermark_ts")))
+    """Q3: no mark ahead of the fact; a mark without dimension/fact match or a NULL max fails too
+    (``watermark_violations`` lists the entities)."""
+    bad = watermark_violations(marks, dim, fact, **kw)
     return _result(name, bad.agg(F.count(F.lit(1)).alias("v")))
 
 

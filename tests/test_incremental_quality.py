@@ -75,6 +75,8 @@ def test_renamed_repo_orphans_mark(spark):
     marks = _marks(spark, [("o/old-name", ts(2024, 1, 1)), ("o/a", ts(2024, 1, 7))])
     q3 = dq_watermark_not_ahead(marks, dim, fact).first()
     assert q3.ok == 0 and q3.violations == 1
+    from sparkmart.operators.quality import watermark_violations
+    assert [r.entity_name for r in watermark_violations(marks, dim, fact).collect()] == ["o/old-name"]
 
 
 def test_select_entities_nulls_last(spark):
