@@ -122,3 +122,29 @@ def test_successful_runs_keep_two_versions(spark, sf001, two_runs):
     wh, _, _ = two_runs
     for name in ("stg_commits", "fact_commits", "etl_watermark", "etl_run_log"):
         assert len(wh.versions(name)) <= 2, name
+
+
+def test_recent_check_prunes_ingest_date_partitions(spark):
+    from sparkmart.operators.quality import dq_recent_raw_has_effect
+    from tests.helpers import commit, raw_commits
+
+    wh = _wh(spark)
+    for day in (1, 2, 3):
+        wh.append("raw_commits", raw_commits(spark, [(dt.datetime(2024, 1, day, tzinfo=UTC), "o/a",
+                                                      [commit(f"c{day}")])]))
+    raw = wh.read("raw_commits")
+    stg = spark.createDataFrame([(dt.datetime(2024, 1, 3, tzinfo=UTC),)], "raw_ingested_at timestamp")
+    check = dq_recent_raw_has_effect(raw, stg, dt.datetime(2024, 1, 3, 0, 10, tzinfo=UTC))
+    assert check.first().ok == 1
+    plan = check._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan and "ingest_date" in plan
+
+
+def test_default_columns(spark):
+    from sparkmart.operators.constraints import default_columns
+
+    cols = default_columns(S.DIM_REPOSITORY.defaults, dt.datetime(2024, 1, 1, tzinfo=UTC))
+    row = spark.range(1).select(*[c.alias(n) for n, c in cols.items()]).first()
+    assert row.is_current is True and row.effective_from.year == 2024
+    with pytest.raises(ValueError):
+        default_columns(S.DIM_REPOSITORY.defaults)
