@@ -28,7 +28,7 @@ from ..sources.paging import pages_of
 from ..sources.payload import flatten
 from ..sources.raw import pack_batches
 from .star import Star, build_star
-from .tables import RUN1, empty, table
+from .tables import RUN1, RUN2, empty, table
 
 _STARS: dict[tuple[str, str], Star] = {}
 
@@ -359,7 +359,7 @@ def q_stream_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh.replace(S.DIM_REPOSITORY.name, load_dimension_scd1(
         wh.read(S.DIM_REPOSITORY.name), wh.read(S.STG_REPOS.name), RUN1))
     ckpt = f"{wh.root}/_checkpoints/commits"
-    for ingested in sorted({r[0] for r in raw_commits.select("ingested_at").distinct().collect()}):
+    for ingested in (RUN1, RUN2):  # the two landing runs of ``land_two_runs``, in order
         wh.append(S.RAW_COMMITS.name, raw_commits.where(F.col("ingested_at") == F.lit(ingested)))
         stream_commits(spark, wh, ckpt, clock=lambda: RUN1 + _dt.timedelta(days=2))
     return to_ntz(wh.read(S.STG_COMMITS.name).select("sha", "repo_full_name", "committed_at",
@@ -375,7 +375,7 @@ def q_stream_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = _scratch_warehouse(spark, "stream-marks")
     _, raw_commits = land_two_runs(spark, sf_dir)
     ckpt = f"{wh.root}/_checkpoints/marks"
-    for ingested in sorted({r[0] for r in raw_commits.select("ingested_at").distinct().collect()}):
+    for ingested in (RUN1, RUN2):  # the two landing runs of ``land_two_runs``, in order
         wh.append(S.RAW_COMMITS.name, raw_commits.where(F.col("ingested_at") == F.lit(ingested)))
         stream_marks(spark, f"{wh.root}/{S.RAW_COMMITS.name}/data", wh, ckpt,
                      clock=lambda: RUN1 + _dt.timedelta(days=2))
