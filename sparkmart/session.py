@@ -77,8 +77,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = spark.sparkContext._jsc.sc().getCheckpointDir()
-        configured = configured.get() if configured.isDefined() else None
+        configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not _is_local(spark):
@@ -92,8 +91,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable and return the folder it writes to."""
     root = checkpoint_root(spark)
-    jsc = spark.sparkContext._jsc.sc()
-    if not jsc.getCheckpointDir().isDefined():
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
