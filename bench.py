@@ -106,6 +106,13 @@ def main():
         dq_not_null(st.fact), dq_foreign_key(st.fact, st.dim),
         dq_watermark_not_ahead(st.marks, st.dim, st.fact),
         dq_recent_raw_has_effect(st.raw_commits, st.stg_commits, RUN2)]).collect(), reps)
+    # consumer query over the star (D1): commits per repository and month
+    def activity():
+        per_month = st.fact.groupBy("repo_id", F.date_trunc("month", "committed_at").alias("m")) \
+                           .agg(F.count(F.lit(1)).alias("n"))
+        noop(per_month.join(st.dim.select("repo_id", "full_name"), "repo_id")
+                      .groupBy("full_name", "m").agg(F.sum("n").alias("n_commits")))
+    queries["consumer_activity"] = timed(activity, reps)
     # 6. whole pipeline: first run (history up to 1998) and the incremental second run, in the
     #    reference's mode (staging re-reads all raw batches) and in delta mode (only this run's)
     from sparkmart.sources.warehouse import Warehouse
