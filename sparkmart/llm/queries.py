@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, sharding
+from . import fingerprints, licenses, sharding
 from .common import read
 
 
@@ -18,9 +18,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read(spark, sf_dir, "documents"), 16)
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_sharding": op2_sharding,
+    "op8_fingerprints": op8_fingerprints,
 }
 
 ORACLES: dict[str, str] = {}
