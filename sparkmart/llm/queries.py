@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, licenses, sharding
+from . import fingerprints, licenses, neardup, sharding
 from .common import read
 
 
@@ -18,6 +18,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read(spark, sf_dir, "documents"), 16)
 
 
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(read(spark, sf_dir, "documents"))
 
@@ -25,6 +29,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_sharding": op2_sharding,
+    "op7_neardup": op7_neardup,
     "op8_fingerprints": op8_fingerprints,
 }
 
