@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, licenses, neardup, sharding
+from . import fingerprints, langid, licenses, neardup, packing, sharding, toxicity
 from .common import read
 
 
@@ -18,6 +18,18 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read(spark, sf_dir, "documents"), 16)
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(read(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severities(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
 def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -29,6 +41,9 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_sharding": op2_sharding,
+    "op3_langid": op3_langid,
+    "op5_toxicity": op5_toxicity,
+    "op6_packing": op6_packing,
     "op7_neardup": op7_neardup,
     "op8_fingerprints": op8_fingerprints,
 }

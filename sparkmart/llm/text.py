@@ -37,8 +37,12 @@ def _powers(n: int) -> np.ndarray:
 _POWERS = _powers(256)
 
 
-def _words_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of every word of ``data``; texts begin at ``starts``."""
+def _words_of(data: np.ndarray, starts: np.ndarray,
+              prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word of ``data``; texts begin at ``starts``.
+
+    With ``prefixes``, further rows hold the hashes of the words' first bytes, as many each.
+    """
     low = _LOWER[data]
     is_word = _IS_WORD[low]
     opens = is_word.copy()
@@ -47,14 +51,17 @@ def _words_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
     opens[at] = is_word[at]
     here = np.flatnonzero(is_word)
     if not len(here):
-        return np.empty(0, U), here
+        return np.empty((1 + len(prefixes), 0) if prefixes else 0, U), here
     first = np.flatnonzero(opens[here])
     lengths = np.diff(np.append(first, len(here)))
     within = np.arange(len(here)) - np.repeat(first, lengths)
     longest = int(lengths.max())
     powers = _POWERS if longest <= len(_POWERS) else _powers(longest)
     terms = (low[here].astype(U) + U(1)) * powers[within]
-    return mix(np.add.reduceat(terms, first)), here[first]
+    if not prefixes:
+        return mix(np.add.reduceat(terms, first)), here[first]
+    parts = [np.add.reduceat(np.where(within < n, terms, U(0)), first) for n in prefixes]
+    return mix(np.stack([np.add.reduceat(terms, first), *parts])), here[first]
 
 
 def _pieces(data: np.ndarray) -> list[tuple[int, int]]:
@@ -83,8 +90,11 @@ def column_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a text column, and the bounds of each text among them."""
+def words(column: pa.Array, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a text column, and the bounds of each text among them.
+
+    With ``prefixes``, the hashes have a first row for the words and one for each prefix length.
+    """
     data, offsets = column_buffers(column)
     n = len(offsets) - 1
     hashes, counts = [], np.zeros(n, np.int64)
@@ -95,17 +105,18 @@ def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if end == row + 1 and hi - lo > _BLOCK:
             body = data[lo:hi]
             for a, b in _pieces(body):
-                h, _ = _words_of(body[a:b], np.zeros(1, np.int64))
+                h, _ = _words_of(body[a:b], np.zeros(1, np.int64), prefixes)
                 hashes.append(h)
-                counts[row] += len(h)
+                counts[row] += h.shape[-1]
         else:
             starts = offsets[row:end + 1] - lo
-            h, first = _words_of(data[lo:hi], starts[:-1])
+            h, first = _words_of(data[lo:hi], starts[:-1], prefixes)
             hashes.append(h)
             counts[row:end] = np.diff(np.searchsorted(first, starts))
         row = end
     bounds = np.concatenate([[0], np.cumsum(counts)])
-    return (np.concatenate(hashes) if hashes else np.empty(0, U)), bounds
+    none = np.empty((1 + len(prefixes), 0) if prefixes else 0, U)
+    return np.concatenate([none, *hashes], axis=-1), bounds
 
 
 def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
