@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, langid, licenses, neardup, packing, sharding, toxicity
+from . import ann, fingerprints, langid, licenses, neardup, packing, sharding, toxicity
 from .common import read
 
 
@@ -22,6 +22,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(read(spark, sf_dir, "documents"))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severities(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_sharding": op2_sharding,
     "op3_langid": op3_langid,
+    "op4_ann": op4_ann,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_neardup": op7_neardup,
