@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, fingerprints, langid, licenses, neardup, packing, sharding, toxicity
+from . import ann, fingerprints, langid, licenses, neardup, packing, sentencepieces, sharding, toxicity
 from .common import read
 
 
@@ -42,6 +42,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(read(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(read(spark, sf_dir, "documents"), with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_sharding": op2_sharding,
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_neardup": op7_neardup,
     "op8_fingerprints": op8_fingerprints,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {}
