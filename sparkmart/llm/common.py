@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from sparkmart.session import checkpoint_root
 
@@ -27,3 +28,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with ``name``, the row's place from 0 in the order of the columns ``order``.
+
+    Range partitions number their own rows and start at the sum of the rows before them, so no task
+    sorts more than a range.  Rows equal in all of ``order`` are placed in any order.
+    """
+    ranged = store(df.repartitionByRange(shuffle_partitions(df.sparkSession), *order)
+                   .withColumn("_part", F.spark_partition_id()), "numbered")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_part").agg(F.count("*").alias("_n")).select(  # a row per partition
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_part").orderBy(*order)
+    return (ranged.withColumn("_nth", F.row_number().over(inside)).join(F.broadcast(starts), "_part")
+            .withColumn(name, F.col("_start") + F.col("_nth") - 1).drop("_part", "_nth", "_start"))

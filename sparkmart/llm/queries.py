@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, fingerprints, langid, licenses, neardup, packing, sentencepieces, sharding, toxicity
+from . import ann, chat, fingerprints, langid, licenses, neardup, packing, sentencepieces, sharding, toxicity
 from .common import read
 
 
@@ -42,6 +42,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(read(spark, sf_dir, "documents"))
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(read(spark, sf_dir, "conversations"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(read(spark, sf_dir, "documents"), with_ids=False)
 
@@ -55,7 +59,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_neardup": op7_neardup,
     "op8_fingerprints": op8_fingerprints,
+    "op9_chat": op9_chat,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLES: dict[str, str] = {}
+#: Plain readings of the contracts over whole tables.
+ORACLES: dict[str, str] = {
+    "op9_chat": """
+        with c as (
+          select distinct conv_id, 'call-' || conv_id || '-' || turn call_id, turn, text
+          from conversations where role = 'user'),
+        r as (
+          select conv_id, 'call-' || conv_id || '-' || (turn - 1) call_id, min(turn) turn,
+                 arg_min(content, turn) content, count(*) n
+          from (select distinct conv_id, turn, text content from conversations
+                where role = 'assistant') a group by 1, 2),
+        j as (
+          select coalesce(c.conv_id, r.conv_id) conv_id, coalesce(c.call_id, r.call_id) call_id,
+                 case when c.call_id is null then r.turn else c.turn end turn,
+                 case when c.call_id is null then 'no_call' when r.call_id is null then 'no_result'
+                      else 'linked' end status,
+                 coalesce(r.n, 0) n_results,
+                 case when c.call_id is not null then length(c.text) > 0 end valid,
+                 case when c.call_id is not null and length(c.text) = 0
+                      then '$.prompt: too short' end error,
+                 '{' || case when c.call_id is not null then '"arguments":{"prompt":' ||
+                   to_json(c.text) || ',"turn":' || c.turn || '},' else '' end
+                 || '"id":' || to_json(coalesce(c.call_id, r.call_id))
+                 || case when c.call_id is not null then ',"name":"respond"' else '' end
+                 || ',"result":' || coalesce(to_json(r.content), 'null') || '}' json
+          from c full outer join r on c.call_id = r.call_id)
+        select conv_id, row_number() over (partition by conv_id order by turn, call_id) - 1 "position",
+               call_id, turn, status, n_results, valid, error, json from j""",
+}
