@@ -13,23 +13,20 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating star joins: each node's larger neighbours are linked to the smallest node around it,
     then its smaller ones, until every link leads to a root.  The number of rounds grows with the
-    logarithm of the longest path.  The smallest neighbours are stored before they are joined, so a
-    node with very many links is split as a skewed join partition.
+    logarithm of the longest path, and one small table is written in each.
     """
     def state(df: DataFrame):
         return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
     def towards(links: DataFrame) -> DataFrame:
-        least = store(links.groupBy("u").agg(F.min("v").alias("m")), "graph-least")
-        return links.join(least, "u")
+        return links.join(links.groupBy("u").agg(F.min("v").alias("m")), "u")
 
     links = store(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                   .where("u != v").distinct(), "graph-links")
     before = state(links)
     while before[0]:
         both = links.union(links.select("v", "u"))
-        large = store(towards(both).where("v > u").select(
-            F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "graph-large")
+        large = towards(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         links = store(
             towards(large).select(F.explode(F.array(
                 F.struct("u", F.col("m").alias("v")),

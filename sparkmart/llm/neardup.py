@@ -43,7 +43,7 @@ THRESHOLD = 0.8
 BANDS, BAND_ROWS = 20, 5
 COUNTER_BITS = 18
 _SLICES = 64  # rows in which a task hands on its counters
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 SKETCH = 256  # further samples of the members of crowded buckets
 SMOOTH = 100.0  # added to and upper bound of N / df
 
@@ -225,9 +225,13 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD, id_col: str = "doc
     held = texts.alias("t").join(wanted.alias("w"), F.expr("t.node = w.node and t.id <=> w.rep"))
     held = store(held.select("t.node", "t.text").dropDuplicates(["node"]), "neardup-texts")
 
-    roots = members.select("node", F.col("node").alias("root")).distinct()
-    tried, size = None, members.count()
-    for turn in range(STAR_ROUNDS + 1):
+    pairs = store(members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+                  .distinct(), "neardup-pairs")
+    links = store(_verified(pairs, held, idf, threshold), "neardup-links")
+    roots = store(held.select("node").join(components(links), "node", "left")
+                  .select("node", F.coalesce("root", "node").alias("root")), "neardup-roots")
+    tried, size = pairs, members.count()
+    for turn in range(1, STAR_ROUNDS + 1):
         parted = members.join(roots, "node").select("key", "node", "root")
         sizes = parted.groupBy("key", "root").agg(F.count("*").alias("n"))
         split = (sizes.groupBy("key").agg(
@@ -247,23 +251,21 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD, id_col: str = "doc
                                             F.expr("x.key = y.key and x.root != y.root"))
                      .select(F.least("x.node", "y.node").alias("a"),
                              F.greatest("x.node", "y.node").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = store(pairs, "neardup-pairs")
-        tried = pairs if tried is None else tried.union(pairs)
+        pairs = store(pairs.join(tried, ["a", "b"], "left_anti"), "neardup-pairs")
+        tried = tried.union(pairs)
         links = store(_verified(pairs, held, idf, threshold), "neardup-links")
         roots = _merged(roots, links)
         if every:
             break
-    linked = roots
 
-    reps = store(sampled.groupBy("node").agg(F.min("id").alias("rep")).join(linked, "node", "left")
-                 .select("node", "rep", F.coalesce("root", "node").alias("root")), "neardup-reps")
+    reps = (sampled.groupBy("node").agg(F.min("id").alias("rep")).join(roots, "node", "left")
+            .select("node", "rep", F.coalesce("root", "node").alias("root")))
+    reps = store(reps, "neardup-reps")
     named = reps.join(reps.groupBy("root").agg(F.min("rep").alias("class_id")), "root").select(
         "node", "class_id")
-    return base.select("id", "node").join(named, "node", "left").select(
-        "id", "node", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id"))
-        .alias("class_id"))
+    without = base.where("text is null").select("id", "node", F.col("id").alias("class_id"))
+    return (sampled.select("id", "node").join(named, "node").select("id", "node", "class_id")
+            .unionByName(without))
 
 
 def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, id_col: str = "doc_id",
