@@ -99,9 +99,9 @@ _ORACLES = {
     "latest_batch": "select user_id, arg_max(event_id, ts) event_id from events group by user_id",
     "topk": """
         select c.c_custkey, m.last_order from customer c left join
-          (select o_custkey, max(o_orderdate) last_order from orders where o_orderstatus = 'P'
+          (select o_custkey, max(o_orderdate) last_order from orders
            group by 1) m on m.o_custkey = c.c_custkey
-        order by m.last_order desc nulls last, c.c_custkey limit 10""",
+        order by m.last_order desc nulls last, c.c_custkey limit 1200""",
     "paging": _PAGING,
     "upsert": """
         select coalesce(s.k, t.k) k,
@@ -112,7 +112,7 @@ _ORACLES = {
               from customer where c_mktsegment in ('AUTOMOBILE', 'BUILDING', 'FURNITURE')) t
         full outer join
              (select c_custkey k, case when c_acctbal >= 0 then c_acctbal + 1 end bal
-              from customer where c_mktsegment in ('FURNITURE', 'HOUSEHOLD')) s
+              from customer where c_mktsegment in ('FURNITURE', 'HOUSEHOLD', 'MACHINERY')) s
         on s.k = t.k""",
     "surrogate_keys": """
         select count(*) n, count(*) n_distinct, cast(1 as bigint) min_key, count(*) max_key
@@ -207,6 +207,14 @@ _ORACLES = {
         select 'github_commits' pipeline_name, c.c_name entity_name,
                max(o.o_orderdate) watermark_ts
         from orders o join customer c on c.c_custkey = o.o_custkey group by c.c_name""",
+    "pipeline_delta_after_failure": """
+        select cast(o.o_orderkey as varchar) sha, c.c_name repo_full_name,
+               o.o_orderdate committed_at, c.c_custkey repo_id, true in_fact
+        from orders o join customer c on c.c_custkey = o.o_custkey
+        where o.o_orderdate >= timestamp '1998-07-01 00:00:00' - interval 800 day""",
+    "pack_chunks": """
+        select distinct on (l_returnflag, l_partkey) l_returnflag, l_partkey, l_orderkey, l_linenumber
+        from lineitem order by l_returnflag, l_partkey, l_orderkey desc, l_linenumber desc""",
     "stream_marks": """
         select c.c_name entity_name, max(o.o_orderdate) watermark_ts
         from orders o join customer c on c.c_custkey = o.o_custkey group by c.c_name""",

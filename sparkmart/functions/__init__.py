@@ -2,7 +2,7 @@
 
 from .json import (iso_utc, json_field, lenient_timestamp, parse_payload, payload_elements,
                    payload_size)
-from .frames import fits_broadcast, maybe_broadcast, to_ntz
+from .frames import to_ntz
 
 __all__ = ["iso_utc", "json_field", "lenient_timestamp", "parse_payload", "payload_elements",
-           "payload_size", "fits_broadcast", "maybe_broadcast", "to_ntz"]
+           "payload_size", "to_ntz"]

@@ -1,89 +1,11 @@
-"""Small DataFrame helpers shared by the operators: size-checked broadcast, time-type edges."""
+"""Small DataFrame helpers shared by the operators."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A side is broadcast by hand only when it is proven small: at most this many rows *and* this many
-# bytes, both measured by one bounded aggregate (``limit(max_rows + 1)`` stops the scan early).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-_FIXED = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4,
-          T.DoubleType: 8, T.BooleanType: 1, T.DateType: 4, T.TimestampType: 8,
-          T.TimestampNTZType: 8}
-
-
-def row_bytes(df: DataFrame) -> Column:
-    """Approximate in-memory size of a row: fixed widths plus the length of text/binary/nested values."""
-    parts: list[Column] = [F.lit(8 * len(df.columns))]  # null bitmap + slot per field
-    for f in df.schema.fields:
-        t = type(f.dataType)
-        if t in _FIXED:
-            continue
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
-        elif isinstance(f.dataType, T.VariantType):
-            parts.append(F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)))
-        else:  # nested or decimal: measure its JSON text
-            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0)))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total.cast("long")
-
-
-@dataclass
-class Profile:
-    rows: int
-    bytes: int
-    complete: bool  # False when the bounded scan stopped early (more rows than the bound)
-    max_per_key: int | None = None
-
-    def fits(self, max_rows: int, max_bytes: int) -> bool:
-        return self.complete and self.rows <= max_rows and self.bytes <= max_bytes
-
-
-def profile(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-            keys: Sequence[str] | None = None) -> Profile:
-    """Row count and size of ``df`` in one job.
-
-    Without ``keys`` the scan is bounded (``limit(max_rows + 1)``).  With ``keys`` it reads the whole
-    frame once, grouped by key with map-side partial aggregation, and also returns the largest number
-    of rows sharing a key (duplicate check and size check in the same pass).
-    """
-    if keys:
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"),
-                                        F.sum(row_bytes(df)).alias("_b"))
-        r = per_key.agg(F.sum("_c").alias("n"), F.sum("_b").alias("b"),
-                        F.max("_c").alias("m")).first()
-        n = int(r["n"] or 0)
-        return Profile(n, int(r["b"] or 0), True, int(r["m"] or 0))
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
-    n = int(r["n"] or 0)
-    return Profile(n, int(r["b"] or 0), n <= max_rows)
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` is proven to hold at most ``max_rows`` rows and ``max_bytes`` bytes."""
-    if max_rows <= 0:
-        return False
-    return profile(df, max_rows).fits(max_rows, max_bytes)
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only behind the size check; otherwise leave the choice to AQE, which can
-    still switch to a broadcast at runtime from measured shuffle sizes."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
-
-
 def to_ntz(df: DataFrame) -> DataFrame:
     """Cast every zone-aware timestamp column to ``timestamp_ntz`` (UTC wall clock).
 
@@ -98,13 +20,3 @@ def to_ntz(df: DataFrame) -> DataFrame:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
-
-def to_ltz(df: DataFrame) -> DataFrame:
-    """Cast every ``timestamp_ntz`` column to zone-aware ``timestamp`` (read as UTC)."""
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.TimestampNTZType):
-            cols.append(F.col(f.name).cast("timestamp").alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)

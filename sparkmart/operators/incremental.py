@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.frames import maybe_broadcast
 from ..sources.raw import as_of_col
 from .dedup import top_k
 from .upsert import upsert
@@ -53,10 +52,11 @@ def filter_incremental(
     """Records of the listed entities at or after their mark.
 
     Inclusive by default: the mark's own instant is re-read (at-least-once); the keyed upsert absorbs
-    the re-read.  The marks side has one row per entity and is broadcast only behind a row check.
+    the re-read.  The marks side has one row per entity; the join strategy is left to AQE, which knows
+    its size at run time.
     """
     s = since.select(F.col(entity_col).alias("_ent"), F.col("since").alias("_since"))
-    j = records.join(maybe_broadcast(s), F.col(entity_col) == F.col("_ent"), "inner")
+    j = records.join(s, F.col(entity_col) == F.col("_ent"), "inner")
     ts = F.col(ts_col).cast("timestamp")
     cond = ts >= F.col("_since") if inclusive else ts > F.col("_since")
     return j.where(cond).drop("_ent", "_since")
@@ -123,7 +123,7 @@ def advance_watermark(
     stamp = as_of_col(as_of)
     return upsert(marks, new, ["pipeline_name", "entity_name"], ["watermark_ts"],
                   on_update={"updated_at": stamp}, on_insert={"updated_at": stamp},
-                  assume_unique=True, stage_source=True)
+                  assume_unique=True)
 
 
 def select_entities(staging: DataFrame, k: int | None = 10, *, name_col: str = "full_name",

@@ -13,12 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.frames import maybe_broadcast
 from ..sources.payload import FieldSpec, flatten
 from ..sources.raw import as_of_col
 from .constraints import enforce_not_null
 from .dedup import latest_batch, latest_per_key
-from .upsert import DuplicateKeyError, upsert
+from .upsert import upsert
 
 
 def stage_latest_batch(
@@ -39,7 +38,8 @@ def stage_latest_batch(
     """Raw repos -> staging: newest batch of ``scope`` (all scopes when None), flattened, upserted.
 
     A repository absent from the newest batch stays in staging.  A key twice in the batch is an error
-    unless ``on_duplicate='latest'`` (then the last element of the newest chunk wins).
+    unless ``on_duplicate='latest'`` (then the last element of the batch wins; a key's records share a
+    chunk).
     """
     flt = F.col(scope_col) == F.lit(scope) if scope is not None else None
     newest = latest_batch(raw, [scope_col], "ingested_at", flt)
@@ -54,7 +54,7 @@ def stage_latest_batch(
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
     return upsert(target, rows.drop("_pos", "batch_id", "chunk"), keys, update_cols,
                   on_update={stamp_col: stamp}, on_insert={stamp_col: stamp},
-                  assume_unique=on_duplicate == "latest", stage_source=True)
+                  assume_unique=on_duplicate == "latest")
 
 
 def stage_all_batches(
@@ -73,9 +73,9 @@ def stage_all_batches(
 ) -> DataFrame:
     """Raw commits -> staging: every batch re-read, latest element per key, upserted (W1 + L1).
 
-    Ties on ``raw_ingested_at`` are broken by entity name, batch id, chunk and position (last element
-    wins),
-    so the result does not depend on file or partition order.  ``guard=True`` keeps a newer staging
+    Ties on ``raw_ingested_at`` are broken by entity name, batch id, chunk and position.  A key's
+    records of one batch share a chunk, so the last element of the batch wins and
+    the result does not depend on file or partition order.  ``guard=True`` keeps a newer staging
     row against an older late batch (incremental form, T1).
     """
     rows = flatten(raw, fields, keep=[entity_col, ("ingested_at", "raw_ingested_at"), "batch_id",
@@ -88,7 +88,7 @@ def stage_all_batches(
     stamp = as_of_col(as_of)
     return upsert(target, latest, keys, update_cols,
                   on_update={stamp_col: stamp}, on_insert={stamp_col: stamp},
-                  assume_unique=True, stage_source=True,
+                  assume_unique=True,
                   guard_order=[("raw_ingested_at", "desc"), (entity_col, "asc")] if guard else None)
 
 
@@ -132,10 +132,10 @@ def fact_source(
 ) -> DataFrame:
     """Natural name -> id by an inner join; rows with an unknown name are left for a later run.
 
-    The lookup side (one row per dimension member) is broadcast only behind a row-count check.
+    The lookup side has one row per dimension member; AQE broadcasts it when it is small at run time.
     """
     ids = lookup.select(F.col(lookup_name_col).alias("_name"), F.col(lookup_id_col).alias("_id"))
-    joined = facts.join(maybe_broadcast(ids), F.col(fact_name_col) == F.col("_name"), "inner")
+    joined = facts.join(ids, F.col(fact_name_col) == F.col("_name"), "inner")
     return joined.select(columns[0], F.col("_id").alias(lookup_id_col), *columns[1:])
 
 
@@ -154,24 +154,13 @@ def load_fact(
     """Fact upsert from staging with the id lookup; ``repo_key`` is left as it is.
 
     Two dimension rows sharing a name fan a fact row out to two rows with one key: that raises (the
-    reference's upsert aborts on it too).  Staging facts are unique by key, so a duplicate can only
-    come from such a name; it is found on the small side (names repeated in the lookup table that
-    some fact references) instead of grouping the whole fact source by key.
+    reference's upsert aborts on it too), inside the write: the upsert counts the source rows of each
+    key where the join has them together anyway.
     """
-    fact_name = lookup_kw.get("fact_name_col", "repo_full_name")
-    lookup_name = lookup_kw.get("lookup_name_col", "full_name")
-    repeated = (staging_dims.groupBy(F.col(lookup_name).alias("_name"))
-                            .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-                            .select("_name"))
-    fanned = (staging_facts.join(repeated, F.col(fact_name) == F.col("_name"), "left_semi")
-                           .select(*keys).limit(5).collect())
-    if fanned:
-        raise DuplicateKeyError(f"lookup names repeat, facts would load twice: {fanned}")
     src = fact_source(staging_facts, staging_dims, **lookup_kw)
     stamp = as_of_col(as_of)
     return upsert(fact, src, keys, update_cols, on_update={stamp_col: stamp},
-                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key, stage_source=True,
-                  assume_unique=True)
+                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key, stage_source=True)
 
 
 def load_fact_left_lookup(
@@ -195,8 +184,8 @@ def load_fact_left_lookup(
     ``id = coalesce(fact.id, dim.id)``; an id still NULL breaks NOT NULL and raises."""
     names = staging_dims.select(F.col(name_col).alias("_name"), F.col(id_col).alias("_sid"))
     ids = dim.select(F.col(id_col).alias("_did"))
-    j = (staging_facts.join(maybe_broadcast(names), F.col(fact_name_col) == F.col("_name"), "left")
-                      .join(maybe_broadcast(ids), F.col("_sid") == F.col("_did"), "left"))
+    j = (staging_facts.join(names, F.col(fact_name_col) == F.col("_name"), "left")
+                      .join(ids, F.col("_sid") == F.col("_did"), "left"))
     src = j.select(*keys, F.coalesce(F.col(id_col), F.col("_did")).alias(id_col), *columns)
     src = enforce_not_null(src, [id_col], "fact")
     stamp = as_of_col(as_of)

@@ -10,42 +10,43 @@
 
 A source with the same key twice is an error (PostgreSQL's "cannot affect row a second time").
 
-Physical strategy, chosen per call:
-
-* ``broadcast``: the source is measured (rows and bytes, one aggregate job that also checks the keys
-  for duplicates) and found within ``broadcast_rows`` / ``broadcast_bytes``.  The target is streamed
-  once through a broadcast left join (no target shuffle); new keys are the source keys not met in a
-  key-only semi join of the target against the broadcast source keys;
-* ``shuffle``: the target left-joined with the source (both shuffled on the keys) plus the source
-  anti-joined with the target's key column.  Keys are unique on both sides, so no key is hot.
+Physical plan: one full outer join of target and source on the keys, each side read and shuffled once;
+AQE may still turn it into a broadcast join from measured sizes where that is possible.  The keys are
+unique on both sides, so no key is hot, and the duplicate check is a count over the source rows of a
+key in the partitioning that the join needs anyway.  ``strategy="broadcast"`` is for a caller that
+knows the source to be a few rows (one run's outcome): the target is then streamed without a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.frames import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, profile
 from ..session import materialize
-from .constraints import check_unique
 from .dedup import latest_per_key
 from .keys import assign_keys
 
 
-class DuplicateKeyError(ValueError):
-    """The source of an upsert holds a key more than once."""
+def _marker(keys: Sequence[str], assume_unique: bool) -> Column:
+    """True; fails the job that evaluates it when the source holds a key more than once."""
+    if assume_unique:
+        return F.lit(True)
+    rows = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    text = F.concat(F.lit("source holds keys more than once: "), F.to_json(F.struct(*keys)))
+    return F.when(rows > 1, F.raise_error(text)).otherwise(F.lit(True))
 
 
 def _prep_source(source: DataFrame, keys: Sequence[str], src_cols: Sequence[str],
-                 on_update: Mapping[str, Column], on_insert: Mapping[str, Column]) -> DataFrame:
+                 on_update: Mapping[str, Column], on_insert: Mapping[str, Column],
+                 marker: Column) -> DataFrame:
     return source.select(
         *[F.col(k) for k in keys],
         *[F.col(c).alias(f"_s_{c}") for c in src_cols],
         *[e.alias(f"_u_{c}") for c, e in on_update.items()],
         *[e.alias(f"_i_{c}") for c, e in on_insert.items()],
-        F.lit(True).alias("_s_in"),
+        marker.alias("_s_in"),
     )
 
 
@@ -83,8 +84,6 @@ def upsert(
     guard_order: Sequence[tuple[str, str]] | None = None,
     surrogate_key: str | None = None,
     strategy: str = "auto",
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
     stage_source: bool = False,
     changes_only: bool = False,
 ) -> DataFrame:
@@ -100,9 +99,9 @@ def upsert(
       under that order or ties on every column (use the same order as the dedup, so incremental
       and batch loads agree on ties);
     * ``surrogate_key``: target column numbered for inserted rows (dense, after the current maximum);
-    * ``strategy``: ``"auto"``, ``"broadcast"`` or ``"shuffle"``;
-    * ``stage_source``: write a derived source once to the checkpoint folder (``checkpoint()``), so
-      the size/duplicate pass and both joins read it instead of recomputing its plan three times;
+    * ``strategy``: ``"auto"`` (one outer join) or ``"broadcast"`` (the source is known to be tiny);
+    * ``stage_source``: write a derived source once to the checkpoint folder (``checkpoint()``); worth it
+      with ``surrogate_key``, whose numbering reads the new rows more than once;
     * ``changes_only``: return only the rows that change (updated + inserted), in the target's
       schema, for a sink that merges or overwrites partitions in place instead of writing the whole
       next version (untouched rows are then never rewritten).
@@ -130,20 +129,11 @@ def upsert(
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
     if stage_source:
         source = materialize(source)
-    # one job answers both questions: are the keys unique, and is the source small enough to
-    # broadcast (a bounded scan when uniqueness is already known)
-    prof = None
-    if not assume_unique:
-        prof = profile(source, broadcast_rows, keys=keys)
-        if prof.max_per_key and prof.max_per_key > 1:
-            dups = check_unique(source, keys, raise_error=False)
-            raise DuplicateKeyError(f"source holds keys more than once: {dups}")
-
     src_cols = [c for c in source.columns if c in tcols and c not in keys]
     if guard_order is None and guard_col is not None:
         guard_order = [(guard_col, "desc")]
     guard = _source_first(guard_order) if guard_order else None
-    s = _prep_source(source, keys, src_cols, on_update, on_insert)
+    s = _prep_source(source, keys, src_cols, on_update, on_insert, _marker(keys, assume_unique))
     t = _prep_target(target, keys)
     types = {f.name: f.dataType for f in target.schema.fields}
 
@@ -176,11 +166,6 @@ def upsert(
     def project(df: DataFrame, value) -> DataFrame:
         return df.select(*[value(c).cast(types[c]).alias(c) for c in tcols])
 
-    if strategy == "auto":
-        if prof is None:
-            prof = profile(source, broadcast_rows)
-        strategy = "broadcast" if prof.fits(broadcast_rows, broadcast_bytes) else "shuffle"
-
     # untouched target rows are dropped from the output when only changes are asked for
     keep_how = "inner" if changes_only else "left"
 
@@ -196,14 +181,17 @@ def upsert(
         # keys of the target that the source touches: a key-only scan against the broadcast keys
         matched_keys = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
         new = s.join(F.broadcast(matched_keys), keys, "left_anti")
-    elif strategy == "shuffle":
-        # kept/updated rows: target left join source; new rows: source anti-joined with the
-        # target's keys only (Catalyst splits a full outer join into these two anyway; written
-        # out, the anti join reads one column of the target and qualifies for AQE skew splits)
-        kept = project(keep_filter(t.join(s, keys, keep_how)), matched_value)
+    elif strategy == "auto":
+        both = t.join(s, keys, "full_outer" if insert else "left")
+        known = F.col("_t_in").isNotNull()
+        if changes_only:
+            changed = F.col("_s_in").isNotNull()
+            both = both.where(changed & (~known | guard) if guard is not None else changed)
         if not insert:
-            return kept
-        new = s.join(target.select(*keys), keys, "left_anti")
+            return project(both, matched_value)
+        if surrogate_key is None:
+            return project(both, lambda c: F.when(known, matched_value(c)).otherwise(inserted_value(c)))
+        kept, new = project(both.where(known), matched_value), both.where(~known)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 

@@ -31,6 +31,7 @@ from ..operators.quality import (QualityGateError, dq_foreign_key, dq_not_null,
                                  dq_recent_raw_has_effect, dq_watermark_not_ahead, gate)
 from ..operators.quality import run_checks as union_checks
 from ..operators.runlog import run_end, run_outcome, run_start
+from ..operators.upsert import upsert
 from ..functions.json import payload_size
 from ..sources.raw import as_of_col, pack_batches
 from ..sources.warehouse import APPEND_ONLY, Warehouse
@@ -43,13 +44,15 @@ class Feeds:
 
     * ``repos``: ``(org_or_user, repo_id, rec)``, one repository object per row;
     * ``commits``: ``(repo_full_name, <ts_col>, <order cols>, rec)``;
-    * ``commit_ts``: record time used against the marks; ``commit_order``: payload order.
+    * ``commit_ts``: record time used against the marks; ``commit_order``: payload order;
+      ``commit_key``: column(s) that identify a commit (the whole record when empty).
     """
 
     repos: DataFrame
     commits: DataFrame
     commit_ts: str = "committed_at"
     commit_order: list = field(default_factory=list)
+    commit_key: list = field(default_factory=list)
 
 
 @dataclass
@@ -64,6 +67,9 @@ class RunResult:
     landed: dict[str, dict] = field(default_factory=dict)
 
 
+_EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
+
+# fixed values: the step names of the run log
 TASKS = (
     "init_schema", "log_run_start", "extract_repos_to_raw", "transform_repos_to_stg",
     "load_dim_repository", "extract_commits_to_raw", "transform_commits_to_stg",
@@ -93,8 +99,10 @@ def run(
 ) -> RunResult:
     """One run.
 
-    ``incremental`` stages only the commit batches landed by this run (their ingest-date partition
-    is pruned), loads the fact for the changed and still pending commits and advances the marks of
+    ``incremental`` stages only the batches that no run has staged yet: this run's and those of runs
+    that failed after landing.  A control row per raw table holds the ingest time up to which batches
+    are staged; it is written after the staging commit, and lowered before a landing that is not newer,
+    so no landed batch is ever passed over.  It then loads the fact for the changed and still pending commits and advances the marks of
     the touched entities: the daily cost follows the delta, not the raw history.  The default
     re-reads every raw batch, as the reference does; both give the same tables.
 
@@ -152,19 +160,47 @@ def run(
                                                  logical_date=as_of))
 
     def land_repos():
-        raw = pack_batches(feeds.repos, ["org_or_user"], F.col("rec"), ["repo_id"], as_of)
+        raw = pack_batches(feeds.repos, ["org_or_user"], F.col("rec"), ["repo_id"], as_of,
+                           key=["repo_id"])
+        before_landing(S.RAW_REPOS.name)
         observed_append("extract_repos_to_raw", S.RAW_REPOS.name, raw)
 
-    def this_run(raw: DataFrame) -> DataFrame:
-        # the run's own batches: one ingest-date directory, pruned at the scan
-        return raw.where((F.col("ingest_date") == F.to_date(as_of_col(as_of)))
-                         & (F.col("ingested_at") == as_of_col(as_of)))
+    def staged_upto(table: str) -> _dt.datetime | None:
+        row = (wh.read(S.ETL_STAGING_MARK.name).where(F.col("table_name") == table)
+                 .agg(F.max(F.unix_micros("staged_upto"))).first())
+        return None if row[0] is None else _EPOCH + _dt.timedelta(microseconds=row[0])
+
+    def set_staged(table: str, upto: _dt.datetime) -> None:
+        row = spark.range(1).select(F.lit(table).alias("table_name"),
+                                    as_of_col(upto).alias("staged_upto"))
+        wh.replace(S.ETL_STAGING_MARK.name, upsert(wh.read(S.ETL_STAGING_MARK.name), row,
+                                                   ["table_name"], strategy="broadcast"))
+
+    def before_landing(table: str) -> None:
+        # a landing at or before the mark (a rerun) would count as staged: take the mark back first
+        mark = staged_upto(table)
+        if mark is not None and mark >= as_of:
+            set_staged(table, as_of - _dt.timedelta(microseconds=1))
+
+    def unstaged(table: str) -> DataFrame:
+        # batches beyond the mark; older ingest-date directories are pruned at the scan
+        raw, mark = wh.read(table), staged_upto(table)
+        if mark is None:
+            return raw
+        return raw.where((F.col("ingest_date") >= F.to_date(as_of_col(mark)))
+                         & (F.col("ingested_at") > as_of_col(mark)))
+
+    def after_staging(table: str) -> None:
+        mark = staged_upto(table)
+        set_staged(table, as_of if mark is None else max(mark, as_of))
 
     def repos_to_stg():
         raw = wh.read(S.RAW_REPOS.name)
-        # delta mode: the newest batch of every scope landed by this run is in its partition
+        # delta mode: the newest unstaged batch of every scope
         wh.replace(S.STG_REPOS.name, stage_latest_batch(
-            wh.read(S.STG_REPOS.name), this_run(raw) if incremental else raw, as_of, scope=scope))
+            wh.read(S.STG_REPOS.name), unstaged(S.RAW_REPOS.name) if incremental else raw, as_of,
+            scope=scope))
+        after_staging(S.RAW_REPOS.name)
 
     def load_dim():
         wh.replace(S.DIM_REPOSITORY.name, load_dimension_scd1(
@@ -179,19 +215,22 @@ def run(
         # one batch per chosen repository, ``[]`` when nothing is new; like the reference, every
         # commit batch carries the run's configured organisation
         raw = pack_batches(recs, ["repo_full_name"], F.col("rec"),
-                           feeds.commit_order or [feeds.commit_ts], as_of,
+                           feeds.commit_order or [feeds.commit_ts], as_of, key=feeds.commit_key,
                            scopes=chosen.withColumnRenamed("entity_name", "repo_full_name"))
         raw = raw.withColumn("org_or_user", F.lit(scope or S.DEFAULT_SCOPE))
+        before_landing(S.RAW_COMMITS.name)
         observed_append("extract_commits_to_raw", S.RAW_COMMITS.name, raw)
 
     delta: dict[str, DataFrame] = {}
 
     def commits_to_stg():
         if incremental:
-            delta["touched"] = stage_commit_delta(wh, this_run(wh.read(S.RAW_COMMITS.name)), as_of)
+            delta["touched"] = stage_commit_delta(wh, unstaged(S.RAW_COMMITS.name), as_of)
+            after_staging(S.RAW_COMMITS.name)
             return
         wh.replace(S.STG_COMMITS.name, stage_all_batches(
             wh.read(S.STG_COMMITS.name), wh.read(S.RAW_COMMITS.name), as_of))
+        after_staging(S.RAW_COMMITS.name)
 
     def fact_load():
         if incremental:
@@ -340,4 +379,5 @@ def tpch_feeds(spark: SparkSession, sf_dir: str, until: _dt.datetime | None = No
         commit_ts="o_orderdate",
         commit_order=[F.lit(0) - F.unix_micros(F.col("o_orderdate").cast("timestamp")),
                       F.lit(0) - F.col("o_orderkey")],
+        commit_key=["o_orderkey"],
     )

@@ -123,6 +123,13 @@ ETL_RUN_LOG = TableSpec(
     not_null=("pipeline_name", "dag_id", "run_id", "start_ts", "status"),
     defaults={"start_ts": "AS_OF", "status": "'RUNNING'"},
 )
+# ours: batches ingested up to here are staged (delta mode reads what lies beyond)
+ETL_STAGING_MARK = TableSpec(
+    "etl_staging_mark",
+    _struct(("table_name", STR), ("staged_upto", TS)),
+    keys=("table_name",),
+    not_null=("table_name", "staged_upto"),
+)
 # ours: one row per step of a run, input of the run outcome (R2)
 TASK_STATES = TableSpec(
     "task_states",
@@ -131,7 +138,7 @@ TASK_STATES = TableSpec(
 )
 
 ALL_TABLES = (RAW_REPOS, RAW_COMMITS, STG_REPOS, STG_COMMITS, DIM_REPOSITORY, FACT_COMMITS,
-              ETL_WATERMARK, ETL_RUN_LOG)
+              ETL_WATERMARK, ETL_RUN_LOG, ETL_STAGING_MARK)
 TABLES = {t.name: t for t in ALL_TABLES + (TASK_STATES,)}
 
 # --- fixed values: JSON paths of the API payloads and the attribute lists the loads overwrite -----

@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.frames import maybe_broadcast
 from ..functions.json import iso_utc
 from .raw import CHUNK_SIZE, pack_batches
 
@@ -25,7 +24,7 @@ def repo_records(customer: DataFrame, nation: DataFrame, orders: DataFrame) -> D
     last = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.max("o_orderdate").alias("_pushed"), F.count(F.lit(1)).alias("_n"))
     nat = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    c = (customer.join(maybe_broadcast(nat), "c_nationkey", "left")
+    c = (customer.join(nat, "c_nationkey", "left")
                  .join(last, "c_custkey", "left"))
     rec = F.struct(
         F.col("c_custkey").alias("id"),
@@ -51,7 +50,7 @@ def repo_records(customer: DataFrame, nation: DataFrame, orders: DataFrame) -> D
 def commit_records(orders: DataFrame, customer: DataFrame, org: Column | str = "tpch") -> DataFrame:
     """``(org_or_user, repo_full_name, o_orderkey, rec)``: one API commit object per order."""
     names = customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    o = orders.join(maybe_broadcast(names), "o_custkey", "inner")
+    o = orders.join(names, "o_custkey", "inner")
     rec = F.struct(
         F.col("o_orderkey").cast("string").alias("sha"),
         F.struct(
@@ -71,7 +70,8 @@ def land_repos(customer: DataFrame, nation: DataFrame, orders: DataFrame, as_of,
                chunk_size: int = CHUNK_SIZE) -> DataFrame:
     """Raw repository batches: one per organisation (nation), chunked."""
     r = repo_records(customer, nation, orders)
-    return pack_batches(r, ["org_or_user"], F.col("rec"), ["repo_id"], as_of, chunk_size=chunk_size)
+    return pack_batches(r, ["org_or_user"], F.col("rec"), ["repo_id"], as_of, key=["repo_id"],
+                        chunk_size=chunk_size)
 
 
 def land_commits(orders: DataFrame, customer: DataFrame, as_of, *, entities: DataFrame | None = None,
@@ -86,4 +86,4 @@ def land_commits(orders: DataFrame, customer: DataFrame, as_of, *, entities: Dat
     newest_first = [F.lit(0) - F.unix_micros(F.col("o_orderdate").cast("timestamp")),
                     F.lit(0) - F.col("o_orderkey")]
     return pack_batches(r, ["org_or_user", "repo_full_name"], F.col("rec"), newest_first, as_of,
-                        scopes=entities, chunk_size=chunk_size)
+                        key=["o_orderkey"], scopes=entities, chunk_size=chunk_size)

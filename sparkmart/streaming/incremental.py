@@ -8,8 +8,8 @@
   micro-batches, in any arrival order, gives the batch result: the guard applies the dedup's own
   order (ingest time desc, entity asc), so an older late file never beats a newer row and ties go
   the same way as in batch (property-tested).  Ties inside one batch (same time and entity) are
-  settled by chunk and position when the batch's files arrive in one micro-batch, which holds
-  unless ``maxFilesPerTrigger`` splits one landing's files.
+  settled by position: a key's records of one batch share a chunk row and so a file, however
+  ``maxFilesPerTrigger`` splits a landing.
 * ``stream_marks`` (T2): a stateful streaming ``max`` per entity over the flattened commits, in update
   mode; the state store (checkpointed) survives restarts, and an older late row cannot lower a mark.
 
@@ -79,8 +79,7 @@ def advance_marks_delta(wh: Warehouse, todo: DataFrame, as_of: _dt.datetime,
     stamp = as_of_col(as_of)
     wh.replace(S.ETL_WATERMARK.name, upsert(
         wh.read(S.ETL_WATERMARK.name), new, ["pipeline_name", "entity_name"], ["watermark_ts"],
-        on_update={"updated_at": stamp}, on_insert={"updated_at": stamp}, assume_unique=True,
-        stage_source=True))
+        on_update={"updated_at": stamp}, on_insert={"updated_at": stamp}, assume_unique=True))
 
 
 def apply_commit_batch(wh: Warehouse, batch: DataFrame, as_of: _dt.datetime,
@@ -138,7 +137,8 @@ def stream_marks(spark: SparkSession, raw_dir: str, marks_path_wh: Warehouse, ch
 
     def each(df: DataFrame, epoch: int) -> None:
         stamp = as_of_col(clock())
-        new = df.select(F.lit(pipeline).alias("pipeline_name"), "entity_name", "watermark_ts")
+        # the stateful aggregate runs once: everything below reads its stored result
+        new = materialize(df).select(F.lit(pipeline).alias("pipeline_name"), "entity_name", "watermark_ts")
         marks_path_wh.replace(table, upsert(
             marks_path_wh.read(table), new, ["pipeline_name", "entity_name"], ["watermark_ts"],
             on_update={"updated_at": stamp}, on_insert={"updated_at": stamp}, assume_unique=True))

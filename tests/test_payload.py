@@ -76,6 +76,60 @@ def test_pack_and_flatten_round_trip_with_chunks(spark):
     assert sorted(r.sha for r in back.collect()) == list(range(2500))
 
 
+def _winners(raw):
+    from sparkmart.operators.dedup import latest_per_key
+    rows = flatten(raw, [("k", "$.k", "bigint"), ("v", "$.v", "bigint")], keep=["chunk"],
+                   key_path="$.k", with_position=True)
+    return {r.k: r.v for r in latest_per_key(rows, ["k"], [F.col("chunk").desc(),
+                                                           F.col("_pos").desc()]).collect()}
+
+
+def test_chunk_size_does_not_change_the_winner(spark):
+    recs = spark.range(4000).select(F.lit("s").alias("scope"), F.col("id").alias("o"),
+                                    F.struct((F.col("id") % 1500).alias("k"), F.col("id").alias("v"))
+                                    .alias("rec"))
+    want = {k: max(v for v in range(k, 4000, 1500)) for k in range(1500)}
+    for size in (5, 300, 100_000):
+        raw = pack_batches(recs, ["scope"], F.col("rec"), ["o"], ts(2024, 2, 1), key=["rec.k"],
+                           chunk_size=size)
+        assert _winners(raw) == want
+
+
+def test_equal_order_keys_are_still_cut(spark):
+    recs = spark.range(5000).select(F.lit("s").alias("scope"), F.lit(1).alias("o"),
+                                    F.struct("id").alias("rec"))
+    raw = pack_batches(recs, ["scope"], F.col("rec"), ["o"], ts(2024, 2, 1), chunk_size=500)
+    assert raw.count() >= 8
+
+
+def test_null_scope_raises(spark):
+    recs = spark.createDataFrame([("a", 1), (None, 2)], "scope string, v long")
+    with pytest.raises(Exception, match="NULL in scope column"):
+        pack_batches(recs, ["scope"], F.struct("v"), ["v"], ts(2024, 2, 1)).collect()
+
+
+def test_batch_ids_of_different_scopes_differ(spark):
+    recs = spark.createDataFrame([("a/b", "c", 1), ("a", "b/c", 2)], "x string, y string, v long")
+    raw = pack_batches(recs, ["x", "y"], F.struct("v"), ["v"], ts(2024, 2, 1))
+    assert raw.select("batch_id").distinct().count() == 2
+
+
+def test_hot_scope_is_not_one_task(spark):
+    """With broadcasts off, records are shuffled by scope and salt, never by scope alone."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        recs = spark.range(100).select((F.col("id") % 3).alias("scope"), "id")
+        raw = pack_batches(recs, ["scope"], F.struct("id"), ["id"], ts(2024, 2, 1), chunk_size=10)
+        plan = raw._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    import re
+    keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    # by scope alone only the partial counts travel
+    assert any("_salt" in k for k in keys) and sum("_" not in k for k in keys) <= 1
+
+
 def test_entity_batches_include_empty(spark):
     recs = spark.createDataFrame([("a", 1)], "e string, v long").select(
         "e", "v", F.struct("v").alias("rec"))

@@ -118,6 +118,27 @@ def test_incremental_runs_equal_full_reprocessing(spark, sf001, two_runs):
         assert _strip(wh.read(n), *STAMPS) == _strip(full.read(n), *STAMPS), n
 
 
+def test_delta_mode_stages_what_a_failed_run_landed(spark, sf001):
+    wh = _wh(spark)
+    feeds = tpch_feeds(spark, sf001)
+    day = dt.datetime(1998, 7, 1, tzinfo=UTC)
+    r1 = run(spark, wh, feeds, day, "run1", lookback="800 days", incremental=True,
+             fail_at="transform_commits_to_stg", raise_on_failure=False)
+    assert r1.status == "FAILED" and wh.read("stg_commits").count() == 0
+    # a rerun at the same time fails as well, after taking the mark back
+    run(spark, wh, feeds, day, "run1b", lookback="800 days", incremental=True,
+        fail_at="transform_commits_to_stg", raise_on_failure=False)
+    r2 = run(spark, wh, feeds, day + dt.timedelta(days=400), "run2", lookback="800 days",
+             incremental=True)
+    assert r2.status == "SUCCESS"
+    orders = spark.read.parquet(f"{sf001}/orders.parquet")
+    landed = orders.where(F.col("o_orderdate") >= F.lit(day.replace(tzinfo=None))
+                          - F.expr("INTERVAL 800 DAYS")).count()
+    later = orders.where(F.col("o_orderdate") >= F.lit(day.replace(tzinfo=None))
+                         - F.expr("INTERVAL 400 DAYS")).count()
+    assert wh.read("stg_commits").count() == wh.read("fact_commits").count() == landed > later
+
+
 def test_successful_runs_keep_two_versions(spark, sf001, two_runs):
     wh, _, _ = two_runs
     for name in ("stg_commits", "fact_commits", "etl_watermark", "etl_run_log"):

@@ -10,7 +10,7 @@ from sparkmart.operators.constraints import ConstraintError, check_unique, enfor
 from sparkmart.operators.keys import assign_keys
 from sparkmart.operators.loads import (load_dimension_scd1, load_fact, load_fact_left_lookup,
                                        stage_all_batches, stage_latest_batch)
-from sparkmart.operators.upsert import DuplicateKeyError, update_by_key, upsert
+from sparkmart.operators.upsert import update_by_key, upsert
 from sparkmart.plans.tables import empty
 from tests.helpers import commit, raw_commits, raw_repos, repo, ts
 
@@ -21,7 +21,7 @@ def _t(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+@pytest.mark.parametrize("strategy", ["broadcast", "auto"])
 def test_semantics(spark, strategy):
     target = _t(spark, [(1, "a1", "b1", 10), (2, "a2", "b2", 11), (3, "a3", "b3", 12)])
     source = spark.createDataFrame([(2, None, "x"), (4, "a4", "y")], "k long, a string, c string")
@@ -36,8 +36,9 @@ def test_semantics(spark, strategy):
 def test_duplicate_source_key_raises(spark):
     target = _t(spark, [(1, "a", "b", 1)])
     source = spark.createDataFrame([(5, "x"), (5, "y")], "k long, a string")
-    with pytest.raises(DuplicateKeyError):
-        upsert(target, source, ["k"], ["a"])
+    for strategy in ("auto", "broadcast"):
+        with pytest.raises(Exception, match="more than once"):
+            upsert(target, source, ["k"], ["a"], strategy=strategy).collect()
     out = upsert(target, source, ["k"], ["a"], on_duplicate="latest", dedup_order=[F.col("a").desc()])
     assert {r.k: r.a for r in out.collect()} == {1: "a", 5: "y"}
 
@@ -68,7 +69,7 @@ def test_upsert_is_dict_update_and_idempotent(spark, tgt, src):
     expect = dict(tgt)
     expect.update(src)
     assert {r.k: r.v for r in once.collect()} == expect
-    twice = upsert(once, source, ["k"], ["v"], strategy="shuffle")
+    twice = upsert(once, source, ["k"], ["v"])
     assert sorted(twice.collect()) == sorted(once.collect())
 
 
@@ -119,8 +120,8 @@ def test_fact_load_skips_unknown_repo_and_fans_out_raise(spark):
     fact = load_fact(empty(spark, S.FACT_COMMITS), stg_c, stg_r, ts(2024, 1, 1))
     assert sorted(r.sha for r in fact.collect()) == ["c1", "c2"]  # c9's repo is unknown
     twin = stg_r.unionByName(stg_r.withColumn("repo_id", F.col("repo_id") + 100))
-    with pytest.raises(DuplicateKeyError):
-        load_fact(empty(spark, S.FACT_COMMITS), stg_c, twin, ts(2024, 1, 1))
+    with pytest.raises(Exception, match="more than once"):
+        load_fact(empty(spark, S.FACT_COMMITS), stg_c, twin, ts(2024, 1, 1)).collect()
 
 
 def test_left_lookup_loader_raises_on_missing_id(spark):
@@ -134,7 +135,7 @@ def test_left_lookup_loader_raises_on_missing_id(spark):
     assert sorted(r.sha for r in ok.collect()) == ["c1", "c2"]
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+@pytest.mark.parametrize("strategy", ["broadcast", "auto"])
 def test_changes_only(spark, strategy):
     target = spark.createDataFrame([(1, "a", ts(2024, 1, 5)), (2, "b", ts(2024, 1, 1)),
                                     (3, "c", ts(2024, 1, 1))], "k long, v string, t timestamp")
@@ -147,3 +148,18 @@ def test_changes_only(spark, strategy):
     merged = {r.k: r.v for r in target.collect()}
     merged.update({r.k: r.v for r in out.collect()})
     assert {r.k: r.v for r in full.collect()} == merged
+
+
+def test_upsert_is_one_outer_join(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(1000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        out = upsert(big, big.where("k % 3 = 0"), ["k"], ["v"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before  # lazy
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("FullOuter") == 1 and plan.count("Exchange hashpartitioning") == 2
+    assert "SinglePartition" not in plan and "LocalLimit" not in plan

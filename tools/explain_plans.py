@@ -46,8 +46,8 @@ def main():
     src = orders.where(F.col("o_orderdate") >= F.lit(dt.datetime(2000, 5, 1)))
     show("upsert, broadcast path", upsert(tgt, src, ["o_orderkey"], ["o_orderstatus"],
                                           strategy="broadcast", assume_unique=True))
-    show("upsert, shuffle path", upsert(tgt, src, ["o_orderkey"], ["o_orderstatus"],
-                                        strategy="shuffle", assume_unique=True))
+    show("upsert, one outer join", upsert(tgt, src, ["o_orderkey"], ["o_orderstatus"],
+                                        assume_unique=True))
     show("latest per key (W1)", latest_per_key(ev, ["user_id"], [F.col("ts").desc(),
                                                                  F.col("event_id").desc()]))
     show("latest batch (O1)", latest_batch(ev.withColumnRenamed("ts", "ingested_at"), ["user_id"]))
