@@ -44,7 +44,7 @@ BANDS, BAND_ROWS = 20, 5
 COUNTER_BITS = 18
 _SLICES = 64  # rows in which a task hands on its counters
 STAR_ROUNDS = 2
-SKETCH = 256  # further samples of the members of crowded buckets
+SKETCH = 512  # further samples of the members of crowded buckets
 SMOOTH = 100.0  # added to and upper bound of N / df
 
 
@@ -163,33 +163,40 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
 
 
 def _sketched(texts: DataFrame, idf) -> DataFrame:
-    """``(node, sketch)``: bytes of ``SKETCH`` further samples."""
+    """``(node, sketch)``: ``SKETCH`` further samples of 4 bits, 16 to a number."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, sampler = idf.value, None
         for batch in batches:
             sampler = sampler or WeightedSampler(SKETCH, np.float32(np.log(2 * SMOOTH)), seed=11)
             sig = sampler.signatures(*weighted_sets(batch.column("text"), weight))
-            flat = pa.array(mix(sig).astype(np.uint8).view(np.int8).ravel())
-            at = pa.array(np.arange(batch.num_rows + 1) * SKETCH, pa.int32())
+            four = (mix(sig) & U(15)).reshape(batch.num_rows, SKETCH // 16, 16)
+            packed = (four << (U(4) * np.arange(16, dtype=np.uint64))).sum(axis=2, dtype=np.uint64)
+            flat = pa.array(packed.view(np.int64).ravel())
+            at = pa.array(np.arange(batch.num_rows + 1) * (SKETCH // 16), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(at, flat)],
                                              names=["node", "sketch"])
 
-    return store(texts.select("node", "text").mapInArrow(sketch, "node binary, sketch array<tinyint>"),
+    return store(texts.select("node", "text").mapInArrow(sketch, "node binary, sketch array<bigint>"),
                  "neardup-sketches")
 
 
 def _candidates(parted: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of a bucket whose components differ and whose sketches agree enough.
 
-    Sketches of a pair at the threshold agree in fewer places than that by four standard deviations
+    Sketches of a pair at the threshold differ in more places than that by four standard deviations
     once in 30,000 times.  A pair comes from the smallest of the keys that it shares.
     """
-    least = int(SKETCH * (threshold - 4 * (threshold * (1 - threshold) / SKETCH) ** 0.5))
+    equal = threshold + (1 - threshold) / 16  # 4 bits also agree by chance
+    most = int(SKETCH * (1 - equal + 4 * (equal * (1 - equal) / SKETCH) ** 0.5))
+
+    # places of 4 bits in which two numbers differ: any of the bits, gathered in the lowest
+    differ = f"""aggregate(zip_with(x.sketch, y.sketch, (p, q) -> p ^ q), 0, (n, z) -> n + bit_count(
+        (z | shiftright(z, 1) | shiftright(z, 2) | shiftright(z, 3)) & {0x1111111111111111}))"""
     keys = parted.groupBy("node").agg(F.collect_set("key").alias("keys"))  # one a band at most
     rows = store(parted.join(sketches, "node").join(keys, "node"), "neardup-rest")
     return (rows.alias("x").join(rows.alias("y"), F.expr(f"""
         x.key = y.key and x.root < y.root
-        and size(filter(zip_with(x.sketch, y.sketch, (p, q) -> p = q), e -> e)) >= {least}
+        and {differ} <= {most}
         and array_min(array_intersect(x.keys, y.keys)) = x.key"""))
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
 
