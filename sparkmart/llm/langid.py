@@ -123,6 +123,8 @@ def train(sample: list[tuple[str, np.ndarray, np.ndarray]], idf: np.ndarray, *,
     """FTRL-Proximal with elastic-net penalties, then the temperature."""
     languages = tuple(sorted({lang for lang, _, _ in sample}))
     k = len(languages)
+    if not k:
+        return Model((), idf, np.zeros((FEATURES, 0)))
     rows = []
     for lang, at, n in sample:
         x = (1 + np.log(n)) * idf[at]
@@ -153,7 +155,7 @@ def train(sample: list[tuple[str, np.ndarray, np.ndarray]], idf: np.ndarray, *,
 
     def loss(t: float) -> float:
         p = softmax(logits / t)[np.arange(len(truth)), truth]
-        return -np.log(np.maximum(p, 1e-9)).mean() if len(truth) else 0.0
+        return -np.log(np.maximum(p, 1e-9)).mean()
 
     return Model(languages, idf, w / min(grid, key=loss))
 

@@ -13,7 +13,8 @@ Only the last bins of a group are badly filled, so the waste of grouping is abou
 ``GROUP`` pieces, whatever the number of documents.
 
 Cases: a null or empty text, or one without words, has one piece of length 0 in no bin (null bin);
-repeated rows are counted first and each copy gets its own pieces and bins; null ids are packed like
+repeated rows (and rows with one id and as many tokens) are counted first and each copy gets its own
+pieces and bins; null ids are packed like
 others; no rows give no rows; further columns are ignored.
 """
 
@@ -73,21 +74,25 @@ def pack(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES,
 
 
 def pieces(docs: DataFrame, largest: int, *, id_col: str, text_col: str) -> DataFrame:
-    """``id, copy, piece, start, length``: every document cut at multiples of ``largest`` tokens."""
+    """``id, n_tokens, copy, piece, start, length``: documents cut at multiples of ``largest`` tokens.
+
+    Rows with one id and one number of tokens are told apart by ``copy``.
+    """
     sized = docs.select(F.col(id_col).alias("id"),
-                        F.coalesce(n_tokens(F.col(text_col)), F.lit(0)).alias("n"))
-    counted = sized.groupBy("id", "n").agg(F.count("*").alias("copies"))
-    return (counted.select("id", "n", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-            .select("id", "copy", "n", F.posexplode(F.sequence(
-                F.lit(0), F.greatest(F.col("n") - 1, F.lit(0)), F.lit(largest))).alias("piece", "start"))
-            .select("id", "copy", "piece", "start",
-                    F.least(F.col("n") - F.col("start"), F.lit(largest)).alias("length")))
+                        F.coalesce(n_tokens(F.col(text_col)), F.lit(0)).alias("n_tokens"))
+    counted = sized.groupBy("id", "n_tokens").agg(F.count("*").alias("copies"))
+    return (counted.select("id", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+            .select("id", "n_tokens", "copy", F.posexplode(F.sequence(
+                F.lit(0), F.greatest(F.col("n_tokens") - 1, F.lit(0)), F.lit(largest))).alias("piece", "start"))
+            .select("id", "n_tokens", "copy", "piece", "start",
+                    F.least(F.col("n_tokens") - F.col("start"), F.lit(largest)).alias("length")))
 
 
 def pack_documents(docs: DataFrame, *, capacities: tuple[int, ...] = CAPACITIES,
                    overhead: int = OVERHEAD, group: int = GROUP, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """One row per piece: ``id_col, copy, piece, start, length, bin_group, bin, capacity, offset``.
+    """One row per piece: ``id_col, n_tokens, copy, piece, start, length, bin_group, bin, capacity,
+    offset``.
 
     A bin is named by (bin_group, bin); ``offset`` is the place of the piece in its sequence.
     """
@@ -95,14 +100,14 @@ def pack_documents(docs: DataFrame, *, capacities: tuple[int, ...] = CAPACITIES,
     total = cut.where("length > 0").count()
     groups = max(1, -(-total // group))
     dealt = cut.where("length > 0").withColumn(
-        "bin_group", F.pmod(F.xxhash64("id", "copy", "piece", "length"), F.lit(groups)))
+        "bin_group", F.pmod(F.xxhash64("id", "n_tokens", "copy", "piece"), F.lit(groups)))
     schema = T.StructType([*dealt.schema, T.StructField("bin", T.LongType()),
                            T.StructField("capacity", T.IntegerType()),
                            T.StructField("offset", T.LongType())])
 
     def place(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), ("id", "ascending"), ("copy", "ascending"),
-                               ("piece", "ascending")])
+        table = table.sort_by([("length", "descending"), ("id", "ascending"), ("n_tokens", "ascending"),
+                               ("copy", "ascending"), ("piece", "ascending")])
         bins, starts, sizes = pack(table["length"].to_numpy(), capacities, overhead)
         return (table.append_column("bin", pa.array(bins))
                 .append_column("capacity", pa.array(np.array(sizes, np.int32)[bins]))
