@@ -212,6 +212,21 @@ _ORACLES = {
                o.o_orderdate committed_at, c.c_custkey repo_id, true in_fact
         from orders o join customer c on c.c_custkey = o.o_custkey
         where o.o_orderdate >= timestamp '1998-07-01 00:00:00' - interval 800 day""",
+    "dq_results": """
+        select r.run_id, c.check_name, case when bad then 0 else 1 end ok,
+               cast(case when bad then 1 else 0 end as bigint) violations,
+               case when r.run_id = 'run2' then 'FAILED' else 'SUCCESS' end status,
+               case when r.run_id = 'run2' then 'FAILED task: dq_fact_repo_fk_dim' end error_message,
+               (select count(*) from orders o join customer c on c.c_custkey = o.o_custkey)
+                 + case when r.run_id = 'run2' then 1 else 0 end fact_commits_rows
+        from (values ('run1'), ('run2')) r(run_id),
+             (values ('dq_fact_repo_id_not_null'), ('dq_fact_repo_fk_dim'),
+                     ('dq_watermark_not_ahead_of_fact'), ('dq_last_raw_batches_have_effect'))
+               c(check_name),
+             lateral (select r.run_id = 'run2' and c.check_name = 'dq_fact_repo_fk_dim' bad) b""",
+    "constraint_defaults": """
+        select o_orderpriority pipeline_name, o_orderstatus dag_id, cast(o_orderkey as varchar) run_id,
+               'RUNNING' status, timestamp '2024-02-01 00:00:00' start_ts from orders""",
     "pack_chunks": """
         select distinct on (l_returnflag, l_partkey) l_returnflag, l_partkey, l_orderkey, l_linenumber
         from lineitem order by l_returnflag, l_partkey, l_orderkey desc, l_linenumber desc""",

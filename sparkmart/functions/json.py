@@ -65,8 +65,3 @@ def iso_utc(ts: str | Column, micros: bool = False) -> Column:
     """Timestamp -> ISO-8601 text in UTC with a ``Z`` suffix (API wire format)."""
     c = _col(ts).cast("timestamp")
     return F.date_format(c, ISO_MICROS if micros else ISO_SECONDS)
-
-
-def to_records_json(record: Column) -> Column:
-    """Record struct -> JSON object text."""
-    return F.to_json(record)

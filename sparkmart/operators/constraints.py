@@ -41,12 +41,6 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
     return {c: int(row[c]) for c in cols}
 
 
-def check_not_null(df: DataFrame, cols: Sequence[str], table: str = "table") -> None:
-    bad = {c: n for c, n in null_counts(df, cols).items() if n}
-    if bad:
-        raise ConstraintError(f"NOT NULL violated in {table}: {bad}")
-
-
 def check_unique(df: DataFrame, keys: Sequence[str], sample: int = 5,
                  raise_error: bool = True, table: str = "table") -> list[tuple]:
     """Keys that occur more than once (at most ``sample`` of them); raises unless told not to.

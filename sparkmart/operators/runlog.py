@@ -103,24 +103,16 @@ def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def layer_metrics_row(spark, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """R4 as one row: one column per metric, each a scalar count subquery."""
-    return spark.range(1).select(*[df.agg(F.count(F.lit(1)).cast("long")).scalar().alias(name)
-                                   for name, df in tables.items()])
-
-
 def run_end(run_log: DataFrame, outcome: DataFrame, metric_tables: Mapping[str, DataFrame], as_of,
             *, pipeline: str, strategy: str = "auto") -> DataFrame:
     """Update the run row with status, message, end time and the layer row counts (one scalar
     count subquery per table); no row is written when the start record is missing.
 
-    ``strategy="broadcast"`` when ``outcome`` is known to be small (one run), which also spares the
-    size check from evaluating the count subqueries a second time."""
+    ``strategy="broadcast"`` when ``outcome`` is known to be small (one run)."""
     src = outcome.select(
         F.lit(pipeline).alias("pipeline_name"), "dag_id", "run_id", "status", "error_message",
         as_of_col(as_of).alias("end_ts"),
         *[df.agg(F.count(F.lit(1)).cast("long")).scalar().alias(name)
           for name, df in metric_tables.items()])
     cols = ["end_ts", "status", "error_message"] + list(metric_tables)
-    # one row per run in ``outcome``: by default the size check decides broadcast or shuffle
     return update_by_key(run_log, src, list(RUN_KEYS), cols, assume_unique=True, strategy=strategy)

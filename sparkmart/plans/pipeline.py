@@ -323,6 +323,14 @@ def run(
         step(*plan[-1])
         run_checks(checks[3:])
 
+    # the checks' rows are kept for every run, before the gate raises
+    if check_rows:
+        rows = [(run_id, r["check_name"], int(r["ok"]), int(r["violations"]), as_of)
+                for r in check_rows]
+        wh.replace(S.DQ_RESULTS.name, upsert(
+            wh.read(S.DQ_RESULTS.name), spark.createDataFrame(rows, S.DQ_RESULTS.schema),
+            list(S.DQ_RESULTS.keys), strategy="broadcast"))
+
     # run end: outcome from the task states, layer counts, update of the run row
     task_rows = [(dag_id, run_id, t, states.get(t)) for t in TASKS if t != "log_run_start"]
     ts_df = spark.createDataFrame(task_rows, S.TASK_STATES.schema)

@@ -337,6 +337,39 @@ def q_pipeline_delta_after_failure(spark: SparkSession, sf_dir: str) -> DataFram
                   .join(fact, "sha", "full_outer"))
 
 
+def q_dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 + Q5 + R5: the kept checks of two runs; between them a fact row without a repository is
+    planted, so the second run's foreign-key check fails and its log says so."""
+    from .pipeline import run, tpch_feeds
+
+    wh = _scratch_warehouse(spark, "dq-results")
+    feeds = tpch_feeds(spark, sf_dir)
+    run(spark, wh, feeds, RUN1, "run1", lookback=HISTORY)
+    fact = wh.read(S.FACT_COMMITS.name)
+    orphan = fact.orderBy("commit_key").limit(1).withColumns(
+        {"sha": F.lit("orphan"), "repo_id": F.lit(-1).cast("long"), "commit_key": F.lit(-1).cast("long")})
+    wh.replace(S.FACT_COMMITS.name, fact.unionByName(orphan.select(fact.columns)), check_keys=True)
+    run(spark, wh, feeds, RUN1 + _dt.timedelta(days=1), "run2", lookback=HISTORY,
+        raise_on_failure=False)
+    log = wh.read(S.ETL_RUN_LOG.name).select("run_id", "status", "error_message", "fact_commits_rows")
+    return wh.read(S.DQ_RESULTS.name).select("run_id", "check_name", "ok", "violations").join(log, "run_id")
+
+
+def q_constraint_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + C2 + C3: orders written as run-log rows without the columns that have defaults."""
+    wh = _scratch_warehouse(spark, "defaults")
+    orders = table(spark, sf_dir, "orders")
+    missing = [f.name for f in S.ETL_RUN_LOG.schema.fields
+               if f.name not in ("pipeline_name", "dag_id", "run_id", *S.ETL_RUN_LOG.defaults)]
+    rows = orders.select(F.col("o_orderpriority").alias("pipeline_name"),
+                         F.col("o_orderstatus").alias("dag_id"),
+                         F.col("o_orderkey").cast("string").alias("run_id"),
+                         *[F.lit(None).cast(S.ETL_RUN_LOG.schema[c].dataType).alias(c) for c in missing])
+    wh.replace(S.ETL_RUN_LOG.name, rows, as_of=RUN1, check_keys=True)
+    return to_ntz(wh.read(S.ETL_RUN_LOG.name).select("pipeline_name", "dag_id", "run_id", "status",
+                                                     "start_ts"))
+
+
 def q_pack_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S5 + W1: all line items in one batch per return flag, in many chunks; keys (part numbers)
     repeat inside a batch and the last element in the batch's order wins."""
@@ -412,5 +445,7 @@ QUERIES.update({
     "pipeline_marks": q_pipeline_marks,
     "pipeline_delta_after_failure": q_pipeline_delta_after_failure,
     "pack_chunks": q_pack_chunks,
+    "dq_results": q_dq_results,
+    "constraint_defaults": q_constraint_defaults,
     "stream_staging": q_stream_staging,
 })

@@ -123,6 +123,15 @@ ETL_RUN_LOG = TableSpec(
     not_null=("pipeline_name", "dag_id", "run_id", "start_ts", "status"),
     defaults={"start_ts": "AS_OF", "status": "'RUNNING'"},
 )
+# ours: the checks of each run, written before the gate raises
+DQ_RESULTS = TableSpec(
+    "dq_results",
+    _struct(("run_id", STR), ("check_name", STR), ("ok", INT), ("violations", LONG),
+            ("checked_at", TS)),
+    keys=("run_id", "check_name"),
+    not_null=("run_id", "check_name", "ok", "checked_at"),
+    defaults={"checked_at": "AS_OF"},
+)
 # ours: batches ingested up to here are staged (delta mode reads what lies beyond)
 ETL_STAGING_MARK = TableSpec(
     "etl_staging_mark",
@@ -138,7 +147,7 @@ TASK_STATES = TableSpec(
 )
 
 ALL_TABLES = (RAW_REPOS, RAW_COMMITS, STG_REPOS, STG_COMMITS, DIM_REPOSITORY, FACT_COMMITS,
-              ETL_WATERMARK, ETL_RUN_LOG, ETL_STAGING_MARK)
+              ETL_WATERMARK, ETL_RUN_LOG, ETL_STAGING_MARK, DQ_RESULTS)
 TABLES = {t.name: t for t in ALL_TABLES + (TASK_STATES,)}
 
 # --- fixed values: JSON paths of the API payloads and the attribute lists the loads overwrite -----

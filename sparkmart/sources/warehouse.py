@@ -17,11 +17,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..operators.constraints import enforce_not_null
+from ..operators.constraints import default_columns, enforce_not_null
 
 APPEND_ONLY = {S.RAW_REPOS.name, S.RAW_COMMITS.name}
 
@@ -72,7 +73,8 @@ class Warehouse:
             if not self._exists(path):
                 return empty_table(self.spark, spec)
             # the ingest_date partition column is kept: filters on it prune directories
-            return self.spark.read.parquet(path)
+            schema = T.StructType([*spec.schema.fields, T.StructField("ingest_date", T.DateType())])
+            return self.spark.read.schema(schema).parquet(path)
         vs = self.versions(name)
         if version is None:
             if not vs:
@@ -84,14 +86,33 @@ class Warehouse:
         return reader.parquet(self._version_dir(name, version))
 
     # -- writes -----------------------------------------------------------------------------
-    def replace(self, name: str, df: DataFrame) -> int:
+    def _checked(self, name: str, df: DataFrame, as_of, check_keys: bool) -> DataFrame:
+        """``df`` in the table's layout: defaults for columns it lacks, NOT NULL and, if asked for,
+        unique keys enforced inside the write."""
+        spec = self.specs.get(name)
+        if spec is None:
+            return df
+        missing = {c: e for c, e in spec.defaults.items() if c not in df.columns}
+        for c, value in default_columns(missing, as_of).items():
+            df = df.withColumn(c, value.cast(spec.schema[c].dataType))
+        df = enforce_not_null(df.select(*spec.columns), spec.not_null, name)
+        if check_keys and spec.keys:
+            rows = F.count(F.lit(1)).over(Window.partitionBy(*spec.keys))
+            text = F.concat(F.lit(f"UNIQUE {spec.keys} violated in {name}: "),
+                            F.to_json(F.struct(*spec.keys)))
+            df = df.withColumn("_n", F.when(rows > 1, F.raise_error(text)).otherwise(rows)).where(
+                F.col("_n") == 1).drop("_n")
+        return df
+
+    def replace(self, name: str, df: DataFrame, *, as_of=None, check_keys: bool = False) -> int:
         """Commit ``df`` as the next version of a keyed table; returns the version number.
 
-        Required columns are checked while writing (a NULL fails the job before ``_SUCCESS``).
+        Required columns are checked while writing (a NULL fails the job before ``_SUCCESS``) and
+        columns that ``df`` lacks get the table's defaults (``as_of`` stands for the run's time).
+        ``check_keys`` also checks the primary key, at the cost of a shuffle by it; the result of an
+        upsert has unique keys already.
         """
-        spec = self.specs.get(name)
-        if spec is not None:
-            df = enforce_not_null(df.select(*spec.columns), spec.not_null, name)
+        df = self._checked(name, df, as_of, check_keys)
         vs = self.versions(name)
         version = (vs[-1] + 1) if vs else 1
         # a leftover directory of a crashed attempt is never read; write past it
@@ -100,11 +121,9 @@ class Warehouse:
         df.write.mode("errorifexists").parquet(self._version_dir(name, version))
         return version
 
-    def append(self, name: str, df: DataFrame) -> None:
+    def append(self, name: str, df: DataFrame, *, as_of=None) -> None:
         """Append rows to a raw (append-only) table, partitioned by ingest date."""
-        spec = self.specs.get(name)
-        if spec is not None:
-            df = enforce_not_null(df.select(*spec.columns), spec.not_null, name)
+        df = self._checked(name, df, as_of, False)
         (df.withColumn("ingest_date", F.to_date("ingested_at"))
            .write.mode("append").partitionBy("ingest_date")
            .parquet(f"{self._table_dir(name)}/data"))
@@ -119,12 +138,19 @@ class Warehouse:
             self._fs.mkdirs(self._Path(self._table_dir(name)))
 
     def vacuum(self, name: str, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` committed versions; returns the deleted ones.
+        """Delete all but the newest ``keep`` committed versions, and what crashed writes below the
+        newest left uncommitted; returns the deleted committed versions.
 
         Readers still scanning a deleted version would fail, so run it after the jobs that read the
         table (the pipeline does, at the end of a successful run)."""
         vs = self.versions(name)
         gone = vs[:-keep] if keep > 0 else vs
-        for v in gone:
+        crashed = []
+        if vs:
+            for st in self._fs.listStatus(self._Path(self._table_dir(name))):
+                base = st.getPath().getName()
+                if base.startswith("v=") and int(base[2:]) < vs[-1] and int(base[2:]) not in vs:
+                    crashed.append(int(base[2:]))
+        for v in gone + crashed:
             self._fs.delete(self._Path(self._version_dir(name, v)), True)
         return gone

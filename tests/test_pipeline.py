@@ -90,6 +90,30 @@ def test_uncommitted_version_is_ignored(spark):
     assert wh.read("etl_watermark").schema == S.ETL_WATERMARK.schema
 
 
+def test_keys_defaults_and_crashed_versions(spark):
+    wh = _wh(spark)
+    rows = spark.createDataFrame([("p", "e1", None), ("p", "e2", None)],
+                                 "pipeline_name string, entity_name string, watermark_ts timestamp")
+    now = dt.datetime(2024, 3, 1, tzinfo=UTC)
+    wh.replace("etl_watermark", rows, as_of=now, check_keys=True)
+    assert wh.read("etl_watermark").where(F.col("updated_at") == F.lit(now)).count() == 2
+    with pytest.raises(Exception, match="UNIQUE"):
+        wh.replace("etl_watermark", rows.union(rows.limit(1)), as_of=now, check_keys=True)
+    assert wh.read("etl_watermark").count() == 2  # the broken version was never committed
+    wh.replace("etl_watermark", rows, as_of=now)
+    import os
+    folders = sorted(f for f in os.listdir(f"{wh.root}/etl_watermark") if f.startswith("v="))
+    assert len(folders) == 3
+    assert wh.vacuum("etl_watermark", keep=1) == [1]
+    assert [f for f in os.listdir(f"{wh.root}/etl_watermark") if f.startswith("v=")] == folders[-1:]
+
+
+def test_checks_are_kept(spark, two_runs):
+    wh, _, _ = two_runs
+    rows = wh.read("dq_results").where("run_id in ('run1', 'run2')").collect()
+    assert len(rows) == 8 and all(r.ok == 1 and r.violations == 0 for r in rows)
+
+
 def test_checks_first_keeps_marks_on_failed_check(spark, sf001):
     wh = _wh(spark)
     run(spark, wh, tpch_feeds(spark, sf001, until=dt.datetime(1998, 1, 1)),
