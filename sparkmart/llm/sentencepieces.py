@@ -11,15 +11,16 @@ into chunks:
    bounds of the chunks, follow from the products.
 3. With its two states given, each chunk is traced on its own.
 
-Scores are integers, so sums are exact in any order, and ties are broken by a further term that
-depends on the places of the cuts alone.  The result is the same for every chunk size.
+Scores are integers, so sums are exact in any order, and ties are broken by a further, far smaller term
+that depends on the places of the cuts alone.  The result is the same for every chunk size.
 
 Vocabulary: the normal pieces of a SentencePiece file, whose path is a parameter.  The score of the
 piece with rank r among them is ln(1 / r) by Zipf's law, in steps of 1/1024, because the scores of a
 BPE file are merge ranks and no log probabilities.  A character in no piece becomes its UTF-8 bytes.
 A space is U+2581 in pieces, and a text starts with one more; U+2581 itself becomes bytes, so decoding
-gives back exactly the text.  Pieces start at words' spaces, so the words of a text are independent
-and the pieces of a frequent word are kept (``CACHE`` words a task).
+gives back exactly the text.  No piece of the file holds a space after something else, a line end, or
+a mark or digit after a letter, so the parts of a text between such places are independent, and the
+pieces of a frequent part are kept (``CACHE`` parts a task).  Files with such pieces have larger parts.
 
 Cases: null and empty texts have no pieces; repeated rows and ids and null ids each keep their row;
 further columns are ignored; no rows give no rows.
@@ -45,7 +46,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 32768
 FAN = 64
 CACHE = 400_000
-_SHIFT = 56  # the score stands above the tie-breaking term
+_SHIFT = 40  # a step of the score is more than the tie-breaking terms of 256 pieces
+_PREFIX = 1  # instead of a score (at most 0): the start of longer pieces only
 _MARK, _LITERAL = "▁", "\udc81"  # a space; U+2581 in the text, a code that no text can hold
 _DIGEST = 1 << 40
 
@@ -82,15 +84,21 @@ class Lattice:
         self.id = dict(normal)
         self.raw = raw
         self.fallback = (int(zipf.min()) - 10 * 1024) << _SHIFT  # of a character in no piece
-        self.prefixes = {p[:n] for p in self.id for n in range(1, len(p) + 1)}
+        self.nodes = {p[:n]: _PREFIX for p in self.id for n in range(1, len(p))} | self.score
         self.width = max(map(len, self.id))  # states at a bound: 0 .. width - 1
         self.text_of = {i: p for p, i in normal} | {i: chr(0xDC00 + b) if b > 127 else chr(b)
                                                    for b, i in enumerate(raw)}
-        # Words begin at a run of spaces after something else, and at a line end that no piece holds.
-        line = "\n" if not any("\n" in p for p in self.id) else ""
-        whole = any(_MARK in p.lstrip(_MARK) for p in self.id)  # pieces across words: one word
-        self.words = re.compile(".+" if whole else f"{_MARK}*[^{_MARK}{line}]+|{_MARK}+" + "|\n" * bool(line),
-                                re.S)
+        # Parts ("words") begin at a run of spaces after something else, at a line end, and at a mark
+        # after another character, if no piece goes across such a place.
+        pairs = {(a, b) for p in self.id for a, b in zip(p, p[1:])}
+        whole = any(_MARK in p.lstrip(_MARK) or "\n" in p for p in self.id)
+        marks = {c for p in self.id for c in p if not c.isalpha() and c not in (_MARK, "\n")}
+        while out := {b for a, b in pairs if b in marks and a != _MARK and a not in marks}:
+            marks -= out
+        kind = "".join(re.escape(c) for c in sorted(marks))
+        first = f"[{kind}]*" if marks else ""
+        self.words = re.compile(".+" if whole else f"\n|{_MARK}*{first}[^{_MARK}\n{kind}]+|"
+                                f"{_MARK}*[{kind or _MARK}]+|{_MARK}+", re.S)
         self.cache: dict[str, tuple[int, tuple[int, ...]]] = {}
 
     def reach(self, s: str, entry: int, stop: int, offset: int) -> tuple[list, list]:
@@ -99,7 +107,7 @@ class Lattice:
         best: list = [None] * (len(s) + 1)
         back = [0] * (len(s) + 1)
         best[entry] = 0
-        score, prefixes, n = self.score, self.prefixes, len(s)
+        nodes, n = self.nodes, len(s)
         ties = _TIES if offset + n < len(_TIES) else [_tie(offset + j) for j in range(n + 1)]
         shift = offset if ties is _TIES else 0
         for i in range(entry, min(stop, n)):
@@ -107,21 +115,21 @@ class Lattice:
             if here is None:
                 continue
             j = i + 1
-            piece = s[i:j]
-            if piece not in score:
+            value = nodes.get(s[i:j])
+            if value is None or value == _PREFIX:
                 found = here + self.fallback + ties[shift + j]
                 if best[j] is None or found > best[j]:
                     best[j], back[j] = found, i
-            while piece in prefixes:
-                value = score.get(piece)
-                if value is not None:
+            while value is not None:
+                if value != _PREFIX:
                     found = here + value + ties[shift + j]
-                    if best[j] is None or found > best[j]:
+                    old = best[j]
+                    if old is None or found > old:
                         best[j], back[j] = found, i
                 j += 1
                 if j > n:
                     break
-                piece = s[i:j]
+                value = nodes.get(s[i:j])
         return best, back
 
     def ids(self, piece: str) -> list[int]:
