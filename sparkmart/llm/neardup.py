@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from .common import store
 from .cws import WeightedSampler, band_keys
 from .graphs import components
-from .text import U, mix, shingles, unique_counts
+from .text import U, mix, shingles, slices, unique_counts
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -63,10 +63,11 @@ def document_frequencies(texts: DataFrame, text_col: str) -> tuple[np.ndarray, i
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(size, np.int64), 0
         for batch in batches:
-            h, bounds = shingles(batch.column(0), SHINGLE_WORDS)
             n += batch.num_rows
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                df[np.unique(counter(h[a:b]))] += 1
+            for lo, hi in slices(batch.column(0)):
+                h, bounds = shingles(batch.column(0)[lo:hi], SHINGLE_WORDS)
+                for a, b in zip(bounds[:-1], bounds[1:]):
+                    df[np.unique(counter(h[a:b]))] += 1
         if n:
             parts = df.astype("<i4").reshape(_SLICES, -1)
             yield pa.RecordBatch.from_arrays([
@@ -120,7 +121,7 @@ def _sampled(texts: DataFrame, idf, text_col: str) -> DataFrame:
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = idf.value
         sampler = None
-        for batch in batches:
+        for batch in (b[lo:hi] for b in batches for lo, hi in slices(b.column(text_col))):
             h, w, bounds = weighted_sets(batch.column(text_col), weight)
             some = np.diff(bounds) > 0
             if sampler is None:
@@ -149,7 +150,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
     """Those of the node pairs (a, b) that are near."""
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = idf.value
-        for batch in batches:
+        for batch in (b[lo:hi] for b in batches for lo, hi in slices(b.column("text_b"))):
             near = np.zeros(batch.num_rows, bool)
             sets = [_sets(batch.column(c), batch.column(f"text_{c}"), weight) for c in "ab"]
             for k in range(batch.num_rows):
@@ -166,7 +167,7 @@ def _sketched(texts: DataFrame, idf) -> DataFrame:
     """``(node, sketch)``: ``SKETCH`` further samples of 4 bits, 16 to a number."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, sampler = idf.value, None
-        for batch in batches:
+        for batch in (b[lo:hi] for b in batches for lo, hi in slices(b.column("text"))):
             sampler = sampler or WeightedSampler(SKETCH, np.float32(np.log(2 * SMOOTH)), seed=11)
             sig = sampler.signatures(*weighted_sets(batch.column("text"), weight))
             four = (mix(sig) & U(15)).reshape(batch.num_rows, SKETCH // 16, 16)

@@ -90,6 +90,18 @@ def column_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
+def slices(column: pa.Array, limit: int = 4 << 20) -> list[tuple[int, int]]:
+    """Row ranges of a text column of about ``limit`` bytes each, so that what is derived from a batch
+    stays small; a longer text is a range of its own."""
+    _, offsets = column_buffers(column)
+    cuts, row, n = [], 0, len(offsets) - 1
+    while row < n:
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
+        cuts.append((row, end))
+        row = end
+    return cuts
+
+
 def words(column: pa.Array, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a text column, and the bounds of each text among them.
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import store
-from .text import U, words
+from .text import U, slices, words
 
 PREFIXES = (4, 5, 6)
 FEATURE_BITS = 18
@@ -44,9 +44,12 @@ THRESHOLD = 0.3
 
 def features(column: pa.Array) -> list[np.ndarray]:
     """Distinct places of each text's features, ascending."""
-    h, bounds = words(column, PREFIXES)
-    at = (h >> U(64 - FEATURE_BITS)).astype(np.int32)
-    return [np.unique(at[:, a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+    found: list[np.ndarray] = []
+    for lo, hi in slices(column):
+        h, bounds = words(column[lo:hi], PREFIXES)
+        at = (h >> U(64 - FEATURE_BITS)).astype(np.int32)
+        found += [np.unique(at[:, a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+    return found
 
 
 @dataclass(frozen=True)
@@ -168,7 +171,9 @@ def graded(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD,
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         fitted = Model(*held.value)
         for series in texts:
-            p = fitted.grades(features(pa.array(series, pa.large_string(), from_pandas=True)))
+            texts_of = pa.array(series, pa.large_string(), from_pandas=True)
+            p = np.concatenate([np.zeros((0, len(fitted.thetas) + 1)), *(
+                fitted.grades(features(texts_of[lo:hi])) for lo, hi in slices(texts_of))])
             bad = 1 - p[:, 0]
             yield pd.DataFrame({"grade": p.argmax(axis=1).astype("int32"),
                                 "severity": p @ np.arange(p.shape[1]), "p_toxic": bad,
