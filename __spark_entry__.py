@@ -151,7 +151,8 @@ _ORACLES = {
     "dq_not_null": """
         select 'dq_fact_repo_id_not_null' check_name,
                case when count(*) = 0 then 1 else 0 end ok, count(*) violations
-        from orders where o_custkey is null""",
+        from orders o left join (select c_custkey from customer where c_acctbal >= 0) c
+          on c.c_custkey = o.o_custkey where c.c_custkey is null""",
     "dq_fk": """
         select 'dq_fact_repo_fk_dim' check_name,
                case when count(*) = 0 then 1 else 0 end ok, count(*) violations
@@ -182,7 +183,18 @@ _ORACLES = {
                case when (select raw_batches from r) = 0 then 0
                     when (select stg_rows from g) > 0 then 0
                     else (select raw_batches from r) end violations""",
+    "dq_recent_fails": """
+        with a as (select max(ts) as_of from events)
+        select 'dq_last_raw_batches_have_effect' check_name, 0 ok, count(*) violations from events
+        where ts >= (select as_of from a) - interval 30 minute
+          and json_array_length('[' || props || ']') > 0""",
+    "latest_batch_scope": """
+        select user_id, arg_max(event_id, ts) event_id from events where event_type = 'click'
+        group by user_id""",
     "run_status": _RUN_STATUS,
+    "run_status_excluded": _RUN_STATUS.replace(
+        "'e' || cast(event_id as varchar) task_id", "event_type task_id").replace(
+        "from events)", "from events where event_type <> 'signup')"),
     "lenient_max": """
         select user_id,
                max(try_cast(case when event_type = 'error' then 'junk'

@@ -199,8 +199,11 @@ def q_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- quality checks ----------------------------------------------------------------------------
 
 def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q1 on orders as the fact (customer key)."""
-    return dq_not_null(table(spark, sf_dir, "orders"), "o_custkey")
+    """Q1 on orders whose customer is looked up in a dimension without negative balances: the lookup
+    leaves NULL keys."""
+    dim = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    orders = table(spark, sf_dir, "orders")
+    return dq_not_null(orders.join(dim, F.col("o_custkey") == F.col("c_custkey"), "left"), "c_custkey")
 
 
 def q_dq_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,6 +238,16 @@ def q_dq_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq_recent_raw_has_effect(raw, stg, as_of)
 
 
+def q_dq_recent_fails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4, failing branch: staging lags a day behind the raw batches."""
+    ev = table(spark, sf_dir, "events")
+    raw = ev.select(F.col("ts").cast("timestamp").alias("ingested_at"),
+                    parse_payload(F.concat(F.lit("["), F.col("props"), F.lit("]"))).alias("payload"))
+    as_of = ev.agg(F.max("ts")).scalar()
+    stg = ev.select((F.col("ts") - F.expr("INTERVAL 1 DAY")).cast("timestamp").alias("raw_ingested_at"))
+    return dq_recent_raw_has_effect(raw, stg, as_of)
+
+
 # -- run audit ---------------------------------------------------------------------------------
 
 def q_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +264,27 @@ def q_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_outcome(ts)
 
 
+def q_run_status_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: the run outcome without the run log's own tasks; here tasks are named by event type, and
+    signup is excluded."""
+    ev = table(spark, sf_dir, "events")
+    state = (F.when(F.col("event_type") == "error", "failed")
+              .when(F.col("event_type") == "view", "upstream_failed")
+              .when(F.col("event_type").isin("click", "purchase"), "success"))
+    ts = ev.select(F.col("user_id").cast("string").alias("dag_id"),
+                   F.to_date("ts").cast("string").alias("run_id"),
+                   F.col("event_type").alias("task_id"), state.alias("state"))
+    return run_outcome(ts, exclude=("signup",))
+
+
+def q_latest_batch_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 + O1: newest batch per user among one scope's batches (clicks)."""
+    ev = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type",
+                                               F.col("ts").alias("ingested_at"))
+    return latest_batch(ev, ["user_id"], "ingested_at", F.col("event_type") == "click").select(
+        "user_id", "event_id")
+
+
 def q_lenient_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest readable ISO date per user; dates of error events are unreadable and skipped."""
     ev = table(spark, sf_dir, "events")
@@ -285,7 +319,10 @@ QUERIES = {
     "dq_fk": q_dq_fk,
     "dq_watermark": q_dq_watermark,
     "dq_recent": q_dq_recent,
+    "dq_recent_fails": q_dq_recent_fails,
+    "latest_batch_scope": q_latest_batch_scope,
     "run_status": q_run_status,
+    "run_status_excluded": q_run_status_excluded,
     "lenient_max": q_lenient_max,
     "layer_metrics": q_layer_metrics,
 }
