@@ -40,14 +40,17 @@ def show(title, df):
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = get_session("local[8]", shuffle_partitions=16)
+    spark = get_session("local[2]", shuffle_partitions=16)
     orders, cust, ev = (table(spark, sf, n) for n in ("orders", "customer", "events"))
     tgt = orders.where(F.col("o_orderdate") < F.lit(dt.datetime(2001, 1, 1)))
     src = orders.where(F.col("o_orderdate") >= F.lit(dt.datetime(2000, 5, 1)))
-    show("upsert, broadcast path", upsert(tgt, src, ["o_orderkey"], ["o_orderstatus"],
+    show("upsert, a source known to be tiny", upsert(tgt, src, ["o_orderkey"], ["o_orderstatus"],
                                           strategy="broadcast", assume_unique=True))
-    show("upsert, one outer join", upsert(tgt, src, ["o_orderkey"], ["o_orderstatus"],
-                                        assume_unique=True))
+    # broadcasts off: what a source beyond AQE's threshold gets
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    show("upsert, one outer join", upsert(tgt, src, ["o_orderkey"], ["o_orderstatus"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     show("latest per key (W1)", latest_per_key(ev, ["user_id"], [F.col("ts").desc(),
                                                                  F.col("event_id").desc()]))
     show("latest batch (O1)", latest_batch(ev.withColumnRenamed("ts", "ingested_at"), ["user_id"]))
