@@ -87,7 +87,7 @@ def checked(name: str | None, arguments: str | None, schemas: dict) -> tuple[obj
 
 def linked(calls: DataFrame, results: DataFrame) -> DataFrame:
     """Outer join of calls and results: ``conv, call_id, turn, name, arguments, depends_on, content,
-    n_results, status``."""
+    n_results, is_call, status``."""
     calls = calls.select("conv", "call_id", "turn", "name", "arguments", "depends_on").distinct()
     same = calls.groupBy("conv", "call_id").agg(F.count("*").alias("n_calls"))
     first = (results.select("conv", "call_id", "turn", "content").distinct()
@@ -108,7 +108,8 @@ def linked(calls: DataFrame, results: DataFrame) -> DataFrame:
         F.coalesce("c.call_id", "r.call_id").alias("call_id"),
         F.when(is_call, F.col("c.turn")).otherwise(F.col("r.first.turn")).alias("turn"),
         "c.name", "c.arguments", "c.depends_on", F.when(takes, F.col("r.first.content")).alias("content"),
-        F.coalesce("r.n_results", F.lit(0)).alias("n_results"), status.alias("status"))
+        F.coalesce("r.n_results", F.lit(0)).alias("n_results"), is_call.alias("is_call"),
+        status.alias("status"))
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -178,8 +179,7 @@ def format_calls(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS)
                 out.append((wrong is None if is_call else None, wrong, canonical(row)))
             yield pd.DataFrame(out, columns=["valid", "error", "json"]).astype({"valid": object})
 
-    is_call = F.col("name").isNotNull() | F.col("arguments").isNotNull()
-    return (placed.withColumn("s", serialise("call_id", "name", "arguments", "content", is_call))
+    return (placed.withColumn("s", serialise("call_id", "name", "arguments", "content", "is_call"))
             .select("conv", "position", "call_id", "turn", "status", "n_results", "s.valid", "s.error",
                     "s.json"))
 

@@ -45,6 +45,12 @@ def test_statuses(spark):
     assert rows[0].error == "$: not JSON" and [r.position for r in rows] == [0, 0, 1, 2, 3, 4, 5, 0]
 
 
+def test_a_call_without_name_and_arguments_is_still_a_call(spark):
+    rows = run(spark, [(1, "a", 0, None, None, [])], [(1, "a", 1, "r"), (1, None, 2, "x")])
+    got = {r.call_id: (r.status, r.valid, r.error) for r in rows}
+    assert got == {"a": ("linked", False, "no schema"), None: ("no_id", None, None)}
+
+
 def test_topological_order(spark):
     rng = random.Random(3)
     calls = []
