@@ -73,6 +73,18 @@ def test_equal_texts_have_equal_fingerprints(spark):
     assert all(r.near_next == 1.0 for r in rows)
 
 
+def test_unrelated_long_texts_are_not_alike(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(120_000)) for c in "abc"]
+    texts.append(texts[2][:len(texts[2]) // 2] + texts[0][len(texts[0]) // 2:])  # a third of c in common
+    rows = sorted(fingerprint(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    assert [r.near_next for r in rows[:2]] == [0.0, 0.0]
+    assert abs(rows[2].near_next - jaccard(texts[2], texts[3])) < 0.2
+    assert all(abs(r.near_edited - 1 / 3) < 0.2 for r in rows[:2])
+    parts = [[r.fingerprint[k:k + 4] for k in range(0, 256, 4)] for r in rows]
+    assert sum(a == b for a, b in zip(parts[0], parts[1])) <= 1
+    assert all(len(set(p)) > 60 for p in parts)
+
+
 def test_similar_pairs_against_all_pairs(spark):
     rng = random.Random(3)
     rows = []
