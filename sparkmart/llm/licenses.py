@@ -2,8 +2,9 @@
 
 1. One scan turns each text into its number of words and its *licence hits*: positions and words of
    the few words that occur in any template.  The hits are stored; texts are not read again.
-2. Document frequencies of those words are counted over all documents.  The word of a template with
-   the highest IDF is its anchor.
+2. Document frequencies of those words are counted over all documents.  The word of a template's key
+   phrase with the highest IDF is its anchor.  The key phrase must stand whole, so every place that can
+   count holds the anchor, whatever the other words of the text or the corpus.
 3. Every place of an anchor in a document proposes one relative position of the template, and the
    template's other postings are intersected with the hits at that offset.
 4. A proposal counts when the mandatory key phrase stands there word for word and the share of
@@ -91,7 +92,7 @@ def _places(template: Template, idf: dict[str, float]) -> Column:
     words = template.text.split()
     key = template.key.split()
     first = next(i for i in range(len(words)) if words[i:i + len(key)] == key)
-    anchor = max(range(len(words)), key=lambda i: (idf[words[i]], -i))
+    anchor = max(range(first, first + len(key)), key=lambda i: (idf[words[i]], -i))
     n, a, tw = len(words), anchor, _quoted(words)
     # Hits have distinct ascending positions, so the n template positions around a hit lie among its
     # n - 1 neighbours on either side.

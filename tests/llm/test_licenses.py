@@ -58,6 +58,19 @@ def test_edge_rows(spark):
     check(scan_licenses(df), ROWS)
 
 
+@pytest.mark.parametrize("frequent", [[], [(90 + k, "gnu mit license public version general 3 under the")
+                                           for k in range(5)]])
+def test_a_rare_word_outside_the_key_phrase_is_replaced(spark, frequent):
+    rows = [(1, "distributed under the MIT license"), (2, "released under the MIT license"),
+            (3, "distributed under the GNU General Public License version 3"),
+            (4, "permission is hereby granted free of charge to each person obtaining a copy of that software"),
+            (5, "subject to all terms of the Mozilla Public License"), *frequent]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check(scan_licenses(df), rows)
+    got = {r.doc_id: r.labels.split(",") for r in scan_licenses(df).collect()}
+    assert "mit-release" in got[1] and "gpl-3.0" in got[3] and "mit-grant" in got[4] and "mpl" in got[5]
+
+
 def test_no_rows(spark):
     assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
