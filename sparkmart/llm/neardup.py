@@ -2,21 +2,24 @@
 
 1. Document frequencies of five-word shingles are counted over all texts, in 2^18 hashed counters.
 2. Equal texts become one node, named by the digest of the text.  Each node gets improved consistent
-   weighted samples of its TF-IDF shingles, in ``BANDS`` bands of ``BAND_ROWS`` samples.
+   weighted samples of its TF-IDF shingles, in ``BANDS`` bands of ``BAND_ROWS`` samples, and as many
+   bands of samples of its plain set of shingles.
 3. Nodes that share a band are a bucket.  In star rounds, every member is verified against one node
    of its bucket, another in each round, which costs one pair a member however large the bucket is.
    The links join components, and members already in the leading node's component are left out.
 4. Once the pairs of different components in all buckets are no more than the members, or after
-   ``STAR_ROUNDS`` rounds, those pairs are verified one by one, unless sketches of ``SKETCH``
-   further samples tell them apart by four standard deviations.  So no link between components is
-   lost; pairs inside one component cannot change the classes.
+   ``STAR_ROUNDS`` rounds, those pairs are verified one by one, except those that cannot be near: a
+   bitmap of ``SKETCH`` bits of the shingles, in each text, gives a lower bound of how many shingles
+   only one of the two has.  So no link between components is lost; pairs inside one component
+   cannot change the classes.
 5. The class of a document is its component, named by the smallest id in it.
 
 A pair counts as near when the weighted Jaccard similarity of the TF-IDF shingles reaches
 ``threshold``, or that of the plain shingle sets does.  The IDF is ln(100 + min(N / df, 100)): what
 fewer than 1 % of the texts share has one weight, and the weight of what all share is lower by an
 eighth, so that weighted and plain similarity stay close in large groups of copies.  TF is 1 + ln
-count.  At the threshold a pair meets in some band with probability 1 - (1 - 0.8^5)^20 = 0.9996.
+count.  A pair at the threshold by either rule meets in some band of that rule with probability
+1 - (1 - 0.8^5)^20 = 0.9996.
 
 Cases: equal texts form one class, empty ones too; a null text is a class of its own and so is a text
 without words that no other equals; fewer than five words make one shingle.  A null id counts as
@@ -44,7 +47,7 @@ BANDS, BAND_ROWS = 20, 5
 COUNTER_BITS = 18
 _SLICES = 64  # rows in which a task hands on its counters
 STAR_ROUNDS = 2
-SKETCH = 512  # further samples of the members of crowded buckets
+SKETCH = 2048  # bits of the bitmaps of members of crowded buckets
 SMOOTH = 100.0  # added to and upper bound of N / df
 
 
@@ -120,15 +123,18 @@ def _sampled(texts: DataFrame, idf, text_col: str) -> DataFrame:
     """Adds ``bands`` to (id, node, text) and drops the text."""
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = idf.value
-        sampler = None
+        sampler = plain = None
         for batch in (b[lo:hi] for b in batches for lo, hi in slices(b.column(text_col))):
             h, w, bounds = weighted_sets(batch.column(text_col), weight)
             some = np.diff(bounds) > 0
             if sampler is None:
                 sampler = WeightedSampler(BANDS * BAND_ROWS, np.float32(np.log(2 * SMOOTH)))
-            keys = band_keys(sampler.signatures(h, w, np.append(bounds[:-1][some], len(h))), BAND_ROWS)
+                plain = WeightedSampler(BANDS * BAND_ROWS, np.float32(1), seed=13)
+            at = np.append(bounds[:-1][some], len(h))
+            keys = np.hstack([band_keys(sampler.signatures(h, w, at), BAND_ROWS),
+                              band_keys(~plain.signatures(h, np.ones_like(w), at), BAND_ROWS)])
             bands = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()),
+                pa.array(np.concatenate([[0], np.cumsum(some * 2 * BANDS)]), pa.int32()),
                 pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), bands],
                                              names=["id", "node", "bands"])
@@ -164,40 +170,43 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
 
 
 def _sketched(texts: DataFrame, idf) -> DataFrame:
-    """``(node, sketch)``: ``SKETCH`` further samples of 4 bits, 16 to a number."""
+    """``(node, sketch, n, w)``: bitmap of the hashed shingles, 64 bits to a number, their number and
+    the sum of their weights."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, sampler = idf.value, None
+        weight = idf.value
         for batch in (b[lo:hi] for b in batches for lo, hi in slices(b.column("text"))):
-            sampler = sampler or WeightedSampler(SKETCH, np.float32(np.log(2 * SMOOTH)), seed=11)
-            sig = sampler.signatures(*weighted_sets(batch.column("text"), weight))
-            four = (mix(sig) & U(15)).reshape(batch.num_rows, SKETCH // 16, 16)
-            packed = (four << (U(4) * np.arange(16, dtype=np.uint64))).sum(axis=2, dtype=np.uint64)
-            flat = pa.array(packed.view(np.int64).ravel())
-            at = pa.array(np.arange(batch.num_rows + 1) * (SKETCH // 16), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(at, flat)],
-                                             names=["node", "sketch"])
+            h, w, bounds = weighted_sets(batch.column("text"), weight)
+            n = np.diff(bounds)
+            bits = np.zeros((batch.num_rows, SKETCH), bool)
+            bits[np.repeat(np.arange(batch.num_rows), n), (mix(h) % U(SKETCH)).astype(np.int64)] = True
+            flat = pa.array(np.packbits(bits, axis=1).view(np.int64).ravel())
+            at = pa.array(np.arange(batch.num_rows + 1) * (SKETCH // 64), pa.int32())
+            total = np.concatenate([[0.0], np.cumsum(w, dtype=np.float64)])
+            yield pa.RecordBatch.from_arrays([
+                batch.column("node"), pa.ListArray.from_arrays(at, flat), pa.array(n, pa.int64()),
+                pa.array(total[bounds[1:]] - total[bounds[:-1]])], names=["node", "sketch", "n", "w"])
 
-    return store(texts.select("node", "text").mapInArrow(sketch, "node binary, sketch array<bigint>"),
-                 "neardup-sketches")
+    return store(texts.select("node", "text").mapInArrow(
+        sketch, "node binary, sketch array<bigint>, n bigint, w double"), "neardup-sketches")
 
 
 def _candidates(parted: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of a bucket whose components differ and whose sketches agree enough.
+    """Pairs (a, b) of a bucket whose components differ and that can be near.
 
-    Sketches of a pair at the threshold differ in more places than that by four standard deviations
-    once in 30,000 times.  A pair comes from the smallest of the keys that it shares.
+    Bits in which two bitmaps differ stand for as many shingles, at least, that only one text has; each
+    weighs ln(1 + ``SMOOTH``) or more.  A similarity of s needs a difference of at most (1 - s) / (1 + s)
+    of both sizes together, and the sizes differ by no more.  A pair comes from the smallest of the keys
+    that it shares.
     """
-    equal = threshold + (1 - threshold) / 16  # 4 bits also agree by chance
-    most = int(SKETCH * (1 - equal + 4 * (equal * (1 - equal) / SKETCH) ** 0.5))
-
-    # places of 4 bits in which two numbers differ: any of the bits, gathered in the lowest
-    differ = f"""aggregate(zip_with(x.sketch, y.sketch, (p, q) -> p ^ q), 0, (n, z) -> n + bit_count(
-        (z | shiftright(z, 1) | shiftright(z, 2) | shiftright(z, 3)) & {0x1111111111111111}))"""
+    share = (1 - threshold) / (1 + threshold) + 1e-5  # more than the weights' rounding
+    least = float(np.log(1 + SMOOTH))
+    differ = "aggregate(zip_with(x.sketch, y.sketch, (p, q) -> p ^ q), 0, (n, z) -> n + bit_count(z))"
     keys = parted.groupBy("node").agg(F.collect_set("key").alias("keys"))  # one a band at most
     rows = store(parted.join(sketches, "node").join(keys, "node"), "neardup-rest")
     return (rows.alias("x").join(rows.alias("y"), F.expr(f"""
         x.key = y.key and x.root < y.root
-        and {differ} <= {most}
+        and (abs(x.n - y.n) <= {share!r}D * (x.n + y.n) or abs(x.w - y.w) <= {share!r}D * (x.w + y.w))
+        and {differ} <= {share!r}D * greatest(x.n + y.n, (x.w + y.w) / {least!r}D)
         and array_min(array_intersect(x.keys, y.keys)) = x.key"""))
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
 

@@ -76,6 +76,36 @@ def test_families_against_all_pairs(spark):
     assert len(wrong) <= 3
 
 
+def test_near_by_the_plain_rule_alone(spark):
+    """Texts against themselves three times over: plain similarity 0.96, weighted about 0.46."""
+    rng = random.Random(6)
+    once = [" ".join(f"p{rng.randrange(10 ** 6)}" for _ in range(104)) for _ in range(30)]
+    rows = [(2 * k + j, t if not j else " ".join([t] * 3)) for k, t in enumerate(once) for j in (0, 1)]
+    got = dict(neardup.near_duplicates(spark.createDataFrame(
+        [(i, t, "n", 1, "en") for i, t in rows], SCHEMA)).collect())
+    assert [got[i] for i, _ in rows] == brute(rows) == [i - i % 2 for i, _ in rows]
+
+
+def test_no_near_pair_of_a_bucket_is_pruned(spark):
+    rng = random.Random(8)
+    texts = []
+    for n in (9, 40, 104, 400, 6000):
+        base = [f"q{rng.randrange(10 ** 6)}" for _ in range(n)]
+        texts += [" ".join(base), " ".join(base * 3), " ".join(base[:n // 2])]
+        texts += family(rng, base, 6, max(2, n // 40))
+    rows = [(bytes([k]), t) for k, t in enumerate(texts)]
+    idf = spark.sparkContext.broadcast(neardup.inverse_frequencies(np.ones(1 << neardup.COUNTER_BITS), 50))
+    sketches = neardup._sketched(spark.createDataFrame(rows, "node binary, text string"), idf)
+    parted = spark.createDataFrame([(1, node, node) for node, _ in rows], "key long, node binary, root binary")
+    kept = {(r.a[0], r.b[0]) for r in neardup._candidates(parted, sketches, 0.8).collect()}
+    import pyarrow as pa
+    h, w, at = neardup.weighted_sets(pa.array(texts), idf.value)
+    sets = [(h[a:b], w[a:b]) for a, b in zip(at[:-1], at[1:])]
+    pairs = list(itertools.combinations(range(len(texts)), 2))
+    near = {(a, b) for a, b in pairs if neardup.similarity(sets[a], sets[b]) >= 0.8}
+    assert near and near <= kept and len(kept) < len(pairs) / 2
+
+
 def test_edge_rows(spark):
     rows = [(1, None), (2, None), (3, ""), (4, ""), (5, "one two"), (6, "One, TWO!"), (7, "one two three"),
             (8, "z " * 60_000), (9, "z " * 60_000 + "y"), (9, "z " * 60_000 + "y"), (None, "one two")]
