@@ -47,7 +47,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepieces.encode(read(spark, sf_dir, "documents"), with_ids=False)
+    return sentencepieces.encode(read(spark, sf_dir, "documents"), by_chunk=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

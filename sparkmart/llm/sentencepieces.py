@@ -296,12 +296,15 @@ def _widths(lattice: Lattice) -> np.ndarray:
 
 
 def encode(docs: DataFrame, model_path: str = MODEL, *, chunk: int = CHUNK, fan: int = FAN,
-           with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           with_ids: bool = True, by_chunk: bool = False, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
     """``id_col, n_pieces, digest, round_trip`` of every document, and ``ids`` if asked for.
 
     ``digest`` sums a hash of place and id over all pieces, modulo 2^40; ``round_trip`` says whether
-    decoding the ids gives the text.  The ids of a long text come as one array at the end; leave them
-    out where single texts outgrow a row.
+    decoding the ids gives the text.  The ids of a long text come as one array at the end; with
+    ``by_chunk`` each chunk is a row of its own, so that no row outgrows a chunk.  Such rows also have
+    ``row``, which tells long texts of one id apart and is null for short texts, and ``chunk`` from 0;
+    the ids of a text are those of its chunks in order.
     """
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(load_pieces(model_path))
@@ -330,6 +333,8 @@ def encode(docs: DataFrame, model_path: str = MODEL, *, chunk: int = CHUNK, fan:
                 names=["id", "n_pieces", "digest", "round_trip", "ids"])
 
     short = rows.where(F.char_length("text") < chunk).mapInArrow(whole, T.StructType([id_field, *_RESULT]))
+    if by_chunk:
+        short = short.withColumn("row", F.lit(None).cast("long")).withColumn("chunk", F.lit(0).cast("long"))
 
     giants = store(rows.where(F.char_length("text") >= chunk)
                    .withColumn("row", F.monotonically_increasing_id()), "pieces-long-texts")
@@ -411,12 +416,13 @@ def encode(docs: DataFrame, model_path: str = MODEL, *, chunk: int = CHUNK, fan:
     long = (chunks.join(ways, ["row", "chunk"])
             .select("row", "chunk", "body", "n", "offset", "start", "entry", "leave")
             .mapInArrow(traced, T.StructType([T.StructField("row", T.LongType()),
-                                              T.StructField("chunk", T.LongType()), *_RESULT]))
-            .groupBy("row").agg(
-                F.sum("n_pieces").alias("n_pieces"), (F.sum("digest") % _DIGEST).alias("digest"),
-                F.every("round_trip").alias("round_trip"),
-                F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))),
-                                      lambda s: s["ids"])).alias("ids")))
-    long = giants.select("row", "id").join(long, "row").drop("row")
-    out = short.unionByName(long).withColumnRenamed("id", id_col)
+                                              T.StructField("chunk", T.LongType()), *_RESULT])))
+    if not by_chunk:
+        long = long.groupBy("row").agg(
+            F.sum("n_pieces").alias("n_pieces"), (F.sum("digest") % _DIGEST).alias("digest"),
+            F.every("round_trip").alias("round_trip"),
+            F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))),
+                                  lambda s: s["ids"])).alias("ids"))
+    long = giants.select("row", "id").join(long, "row")
+    out = short.unionByName(long if by_chunk else long.drop("row")).withColumnRenamed("id", id_col)
     return out if with_ids else out.drop("ids")

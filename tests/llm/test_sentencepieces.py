@@ -122,3 +122,22 @@ def test_query_over_the_whole_table(spark, lattice):
     for r in rows[:50]:
         s = S.marked(docs[r.doc_id] or "")
         assert r.n_pieces == len(lattice.trace(s, len(s), 0, 0, 0))
+
+
+def test_query_returns_the_ids(spark, lattice):
+    rows = op10_sentencepiece(spark, SF).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in rows[:50]:
+        s = S.marked(docs[r.doc_id] or "")
+        assert r.chunk == 0 and list(r.ids) == lattice.trace(s, len(s), 0, 0, 0)
+
+
+def test_ids_by_chunk(spark, lattice):
+    df = spark.createDataFrame([(i, t) for i, t in ROWS], "doc_id long, text string")
+    rows = S.encode(df, chunk=64, fan=3, by_chunk=True).collect()
+    assert max(len(r.ids) for r in rows) <= 4 * 64 and all(r.round_trip for r in rows)
+    texts = {}
+    for k, r in enumerate(sorted(rows, key=lambda r: r.chunk)):
+        texts.setdefault((r.doc_id, k if r.row is None else f"row {r.row}"), []).extend(r.ids)
+    want = [(i, lattice.trace(s := S.marked(t or ""), len(s), 0, 0, 0)) for i, t in ROWS]
+    assert sorted(((i, ids) for (i, _), ids in texts.items()), key=str) == sorted(want, key=str)
