@@ -13,7 +13,9 @@ Cases: rows repeated in full count once; different calls with one id are all kep
 ``repeated_call`` and not linked; of several results of a call the one of the first turn (then the
 smallest content) is linked and ``n_results`` counts all; a result without a call is
 ``no_call``, a call without a result ``no_result``, a null id ``no_id``; unknown dependencies are ignored;
-a cycle is ``cycle``, placed after the others.  Null conversations are one conversation; a null turn
+a cycle is ``cycle``, placed after the others.  ``format_messages`` loses no text: results that no
+row shows (of a null id, of a repeated call, further ones of an id) are rows of their own, and
+messages of other roles stand in their place.  Null conversations are one conversation; a null turn
 comes first; null or malformed arguments are invalid, as is a tool without schema.  Further columns
 are ignored; no rows give no rows.
 """
@@ -85,14 +87,19 @@ def checked(name: str | None, arguments: str | None, schemas: dict) -> tuple[obj
     return value, violation(value, schemas[name])
 
 
-def linked(calls: DataFrame, results: DataFrame) -> DataFrame:
+def linked(calls: DataFrame, results: DataFrame, every: bool = False) -> DataFrame:
     """Outer join of calls and results: ``conv, call_id, turn, name, arguments, depends_on, content,
-    n_results, is_call, status``."""
+    n_results, is_call, status``.
+
+    With ``every``, each result that would be counted only is a row too: ``no_id`` with a null id, else
+    ``further_result``.
+    """
+    results = results.select("conv", "call_id", "turn", "content").distinct()
+    named = results.where("call_id is not null") if every else results
     calls = calls.select("conv", "call_id", "turn", "name", "arguments", "depends_on").distinct()
     same = calls.groupBy("conv", "call_id").agg(F.count("*").alias("n_calls"))
-    first = (results.select("conv", "call_id", "turn", "content").distinct()
-             .groupBy("conv", "call_id").agg(
-                 F.min(F.struct("turn", "content")).alias("first"), F.count("*").alias("n_results")))
+    first = (named.groupBy("conv", "call_id").agg(
+        F.min(F.struct("turn", "content")).alias("first"), F.count("*").alias("n_results")))
     known = F.col("c.conv").eqNullSafe(F.col("s.conv")) & F.col("c.call_id").eqNullSafe(F.col("s.call_id"))
     calls = calls.alias("c").join(same.alias("s"), known).select("c.*", "s.n_calls")
     hit = F.col("c.conv").eqNullSafe(F.col("r.conv")) & (F.col("c.call_id") == F.col("r.call_id"))
@@ -103,13 +110,28 @@ def linked(calls: DataFrame, results: DataFrame) -> DataFrame:
               .when(F.col("c.call_id").isNull(), "no_id").when(~alone, "repeated_call")
               .when(F.col("r.n_results").isNull(), "no_result").otherwise("linked"))
     takes = ~is_call | alone
-    return both.select(
+    rows = both.select(
         F.when(is_call, F.col("c.conv")).otherwise(F.col("r.conv")).alias("conv"),
         F.coalesce("c.call_id", "r.call_id").alias("call_id"),
         F.when(is_call, F.col("c.turn")).otherwise(F.col("r.first.turn")).alias("turn"),
         "c.name", "c.arguments", "c.depends_on", F.when(takes, F.col("r.first.content")).alias("content"),
         F.coalesce("r.n_results", F.lit(0)).alias("n_results"), is_call.alias("is_call"),
-        status.alias("status"))
+        status.alias("status"), F.when(takes, F.col("r.first.turn")).alias("shown"))
+    if not every:
+        return rows.drop("shown")
+    rows = store(rows, "chat-shown")
+    # a row shows the first result of its id; the whole result is the key, so no id is a hot one
+    shown = rows.where("status in ('linked', 'no_call')")
+    more = results.alias("m").join(shown.alias("s"), F.expr(
+        "m.conv <=> s.conv and m.call_id <=> s.call_id and m.turn <=> s.shown and m.content <=> s.content"),
+        "left_anti")
+    none = F.lit(None)
+    return rows.drop("shown").unionByName(more.select(
+        "conv", "call_id", "turn", none.cast("string").alias("name"), none.cast("string").alias("arguments"),
+        none.cast("array<string>").alias("depends_on"), "content",
+        F.when(F.col("call_id").isNull(), 1).otherwise(0).cast("long").alias("n_results"),
+        F.lit(False).alias("is_call"),
+        F.when(F.col("call_id").isNull(), "no_id").otherwise("further_result").alias("status")))
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -145,14 +167,21 @@ def levels(calls: DataFrame) -> DataFrame:
     return done if done is not None else todo.withColumn("level", F.lit(0))
 
 
-def format_calls(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
+def format_calls(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS, *,
+                 others: DataFrame | None = None) -> DataFrame:
     """``conv, position, call_id, turn, status, n_results, valid, error, json``, a row per call or
     unmatched result; ``position`` counts from 0 in a conversation.
 
     ``calls`` has conv, call_id, turn, name, arguments (JSON text) and depends_on (array of ids);
-    ``results`` has conv, call_id, turn and content.
+    ``results`` has conv, call_id, turn and content.  With ``others`` (conv, turn, role and content of
+    further messages), these are rows of the status ``message``, and every result has its row.
     """
-    rows = store(linked(calls, results), "chat-linked")
+    rows = linked(calls, results, every=others is not None)
+    if others is not None:
+        rows = rows.unionByName(others.distinct().select(
+            "conv", "turn", F.col("role").alias("name"), "content", F.lit(0).cast("long").alias("n_results"),
+            F.lit(False).alias("is_call"), F.lit("message").alias("status")), allowMissingColumns=True)
+    rows = store(rows, "chat-linked")
     level = levels(rows)
     rows = (rows.alias("r").join(level.alias("l"), F.expr("r.conv <=> l.conv and r.call_id = l.call_id"),
                                  "left")
@@ -169,17 +198,19 @@ def format_calls(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS)
 
     @F.pandas_udf("valid boolean, error string, json string")
     def serialise(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for ids, names, arguments, contents, known in parts:
+        for ids, names, arguments, contents, known, states in parts:
             out = []
-            for i, name, text, content, is_call in zip(ids, names, arguments, contents, known):
+            for i, name, text, content, is_call, status in zip(ids, names, arguments, contents, known, states):
                 value, wrong = checked(name, text, schemas) if is_call else (None, None)
                 row = {"id": i, "result": content}
+                if status == "message":
+                    row = {"content": content, "role": name}
                 if is_call:
                     row |= {"name": name, "arguments": value}
                 out.append((wrong is None if is_call else None, wrong, canonical(row)))
             yield pd.DataFrame(out, columns=["valid", "error", "json"]).astype({"valid": object})
 
-    return (placed.withColumn("s", serialise("call_id", "name", "arguments", "content", "is_call"))
+    return (placed.withColumn("s", serialise("call_id", "name", "arguments", "content", "is_call", "status"))
             .select("conv", "position", "call_id", "turn", "status", "n_results", "s.valid", "s.error",
                     "s.json"))
 
@@ -206,3 +237,10 @@ def calls_of(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 def format_conversations(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     """Linked calls of plain conversations."""
     return format_calls(*calls_of(messages), schemas).withColumnRenamed("conv", "conv_id")
+
+
+def format_messages(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
+    """Linked calls of plain conversations, and in their place all other messages and results."""
+    others = messages.where("role is null or role not in ('user', 'assistant')").select(
+        F.col("conv_id").alias("conv"), "turn", "role", F.col("text").alias("content"))
+    return format_calls(*calls_of(messages), schemas, others=others).withColumnRenamed("conv", "conv_id")

@@ -46,6 +46,10 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(read(spark, sf_dir, "conversations"))
 
 
+def op9_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_messages(read(spark, sf_dir, "conversations"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(read(spark, sf_dir, "documents"), by_chunk=True)
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_neardup": op7_neardup,
     "op8_fingerprints": op8_fingerprints,
     "op9_chat": op9_chat,
+    "op9_messages": op9_messages,
     "op10_sentencepiece": op10_sentencepiece,
 }
 

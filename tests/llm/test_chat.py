@@ -81,6 +81,25 @@ def test_hot_conversation_and_no_rows(spark):
     assert run(spark, [], []) == []
 
 
+def test_every_message_has_a_row(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", "a"), (1, 2, "assistant", "b"),
+            (1, 3, None, "x"), (1, 4, "tool", None), (2, 1, "user", "p"), (2, 1, "user", "q"),
+            (2, 2, "assistant", "r"), (2, None, "assistant", "n"), (2, None, "assistant", "m"),
+            (3, 5, "assistant", "l"), (3, 5, "assistant", "k")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted(chat.format_messages(df).collect(), key=lambda r: (r.conv_id, r.position))
+    assert sorted(((r.conv_id, r.turn, r.status) for r in got), key=str) == sorted([
+        (1, 0, "message"), (1, 1, "linked"), (1, 2, "further_result"), (1, 3, "message"), (1, 4, "message"),
+        (2, None, "no_id"), (2, None, "no_id"), (2, 1, "repeated_call"), (2, 1, "repeated_call"),
+        (2, 2, "further_result"), (3, 5, "no_call"), (3, 5, "further_result")], key=str)
+    assert [r.turn for r in got if r.conv_id == 1] == [0, 1, 2, 3, 4]
+    values = [json.loads(r.json) for r in got]
+    assert values[0] == {"content": "s", "role": "system"} and values[3] == {"content": "x", "role": None}
+    shown = [v[k] for v in values for k in ("result", "content") if v.get(k)]
+    shown += [v["arguments"]["prompt"] for v in values if "arguments" in v]
+    assert sorted(shown) == sorted(t for *_, t in rows if t)
+
+
 @pytest.mark.parametrize("value,schema,wrong", [
     (1, {"type": "integer"}, None), (True, {"type": "integer"}, "$: not of type integer"),
     ({"a": [1, "x"]}, {"type": "object", "properties": {"a": {"type": "array", "items": {"type": "number"}}}},
