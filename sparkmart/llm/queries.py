@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat, fingerprints, langid, licenses, neardup, packing, sentencepieces, sharding, toxicity
+from . import (ann, chat, fingerprints, langid, licenses, neardup, packing, pii, sentencepieces, sharding,
+               toxicity)
 from .common import read
 
 
@@ -54,6 +55,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(read(spark, sf_dir, "documents"), by_chunk=True)
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.scan(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_sharding": op2_sharding,
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op9_messages": op9_messages,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_pii": op12_pii,
 }
 
 #: Plain readings of the contracts over whole tables.
