@@ -74,8 +74,59 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_pii": op12_pii,
 }
 
+def _pii_sql() -> str:
+    """The kinds by their plain patterns: pieces and matches give the places, list functions the checks."""
+    luhn = """list_sum(list_transform(range(1, length(d) + 1), lambda i:
+                case when i % 2 = 0 then 2 * cast(substr(reverse(d), i, 1) as int)
+                       - case when substr(reverse(d), i, 1) > '4' then 9 else 0 end
+                     else cast(substr(reverse(d), i, 1) as int) end)) % 10 = 0"""
+    mod97 = """list_reduce(list_prepend(0, list_transform(
+                string_split(substr(replace(x, ' ', ''), 5) || left(x, 4), ''), lambda c:
+                case when c >= 'A' then 100 + ascii(c) - 55 else ascii(c) - 48 end)), lambda r, v:
+                case when v >= 100 then (r * 100 + v - 100) % 97 else (r * 10 + v) % 97 end) = 1"""
+    octets = """list_max(list_transform(string_split(x, '.'), lambda p:
+                case when length(ltrim(p, '0')) > 3 then 999
+                     else cast('0' || ltrim(p, '0') as int) end)) <= 255"""
+    kinds = [  # name, pattern, condition, score, with a context word, context words
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true", 80, 100,
+         "mail|contact|kontakt|correo|courriel|write to"),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", octets, 60, 80,
+         r"\bip\b|address|host|server|adresse|direcci"),
+        ("card", r"[0-9]([\x20-]?[0-9])+", f"length(d) between 12 and 19 and {luhn}", 80, 100,
+         "card|visa|credit|debit|karte|carte|tarjeta"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) between 9 and 15", 60, 80,
+         r"phone|call|\btel|mobile|\bfax|telefon|llam"),
+        ("iban", rf"\b{pii.iban_pattern()}\b", mod97, 80, 100, "iban|bank|account|konto|compte|cuenta"),
+        ("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "true", 20, 60,
+         r"\bssn\b|social security|taxpayer"),
+    ]
+    parts = [f"""
+        select id, {nth} nth, '{name}' kind, start, start + length(x) "end", case when near then {high}
+               else {low} end score
+        from (select id, x, regexp_replace(x, '[^0-9]', '', 'g') d,
+                     regexp_matches(lower(right(p[i], 40) || chr(10) || left(p[i + 1], 40)), '{words}') near,
+                     list_sum(list_transform(p[1:i], lambda y: length(y)))
+                       + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0) start
+              from (select id, m, p, unnest(range(1, len(m) + 1)) i, unnest(m) x
+                    from (select id, regexp_extract_all(body, '{pattern}') m,
+                                 string_split_regex(body, '{pattern}') p from docs) a) b) c
+        where {valid}""" for nth, (name, pattern, valid, low, high, words) in enumerate(kinds)]
+    return f"""
+        with docs as (select row_number() over () id, doc_id, coalesce(text, '') body from documents),
+        spans as (select *, kind || ':' || start || ':' || "end" span
+                  from ({" union all ".join(parts)}) t where score >= 50)
+        select doc_id, count(span) filter (kind = 'email') n_email, count(span) filter (kind = 'ip') n_ip,
+               count(span) filter (kind = 'card') n_card, count(span) filter (kind = 'phone') n_phone,
+               sha256(coalesce(string_agg(span, ',' order by start, nth)
+                               filter (kind in ('email', 'ip', 'card', 'phone')), '')) base_sha256,
+               coalesce(string_agg(span, ',' order by start, nth), '') spans,
+               coalesce(string_agg(score, ',' order by start, nth), '') scores
+        from docs left join spans using (id) group by id, doc_id"""
+
+
 #: Plain readings of the contracts over whole tables.
 ORACLES: dict[str, str] = {
+    "op12_pii": _pii_sql(),
     "op9_chat": """
         with c as (
           select distinct conv_id, 'call-' || conv_id || '-' || turn call_id, turn, text
