@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (ann, chat, fingerprints, langid, licenses, neardup, packing, pii, sentencepieces, sharding,
-               toxicity)
+               spelling, toxicity)
 from .common import read
 
 
@@ -55,6 +55,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(read(spark, sf_dir, "documents"), by_chunk=True)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(read(spark, sf_dir, "documents")))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op9_messages": op9_messages,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_spelling": op11_spelling,
     "op12_pii": op12_pii,
 }
 
