@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ann, chat, fingerprints, langid, licenses, neardup, packing, pii, sentencepieces, sharding,
-               spelling, toxicity)
+from . import (alignment, ann, chat, fingerprints, langid, licenses, neardup, packing, pii, sentencepieces,
+               sharding, spelling, toxicity)
 from .common import read
 
 
@@ -63,6 +63,10 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(read(spark, sf_dir, "documents")))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_sharding": op2_sharding,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sentencepiece": op10_sentencepiece,
     "op11_spelling": op11_spelling,
     "op12_pii": op12_pii,
+    "op13_alignment": op13_alignment,
 }
 
 def _pii_sql() -> str:
