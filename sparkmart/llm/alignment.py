@@ -31,6 +31,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +44,13 @@ from .csr import Csr, incidence, membership, product, ranges
 
 MODEL_A = "/opt/tokenizers/byte_bpe_50k.json"
 MODEL_B = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK = 8 << 20  # bytes of texts handled together
-HELD = 64 << 20  # bytes of segments that a worker keeps
+BLOCK = 4 << 20  # characters of texts handled together
+HELD = 200_000  # segments that a worker keeps from block to block
+LEARNT = 1 << 15  # segments encoded together
+LONG = 10_000  # characters of a segment that goes to the tokenizer with a heap of merges
 PART = 1 << 20  # characters of a long text that are cut into segments at once
+#: Fixed value: how A's byte-level pre-tokenizer cuts a text.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SEGMENT = re.compile(r" \S++(?= \S)|[\s\S]+?(?:(?<=\S)(?= \S)|\Z)")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
@@ -65,6 +70,15 @@ def bytes_of_a(path: str) -> dict[int, bytes]:
     return {i: bytes(letters[c] for c in token) for token, i in spec["model"]["vocab"].items()}
 
 
+def merges_in_order(path: str) -> bool:
+    """Whether the ids of the merged tokens follow the order of the merges, so that ids serve as ranks."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [model["vocab"][x + y] for x, y in pairs]
+    return all(i < j for i, j in zip(ids, ids[1:])) and (not ids or ids[0] == 256)
+
+
 def bytes_of_b(path: str) -> dict[int, bytes]:
     from sentencepiece import SentencePieceProcessor
 
@@ -82,6 +96,7 @@ class Aligner:
     """Segments and what their alignment gives; filled as texts come."""
 
     def __init__(self, path_a: str, path_b: str):
+        import tiktoken
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -89,12 +104,18 @@ class Aligner:
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=path_b)
-        self.bytes_a, self.bytes_b = bytes_of_a(path_a), bytes_of_b(path_b)
+        self.bytes_a, self.bytes_b = _listed(bytes_of_a(path_a)), _listed(bytes_of_b(path_b))
+        self.lengths_a, self.lengths_b = (np.fromiter(map(len, tokens), np.int64, len(tokens))
+                                          for tokens in (self.bytes_a, self.bytes_b))
+        # the same merges without offsets and strings of tokens, which is several times faster
+        self.ranks = tiktoken.Encoding("a", pat_str=PATTERN, special_tokens={}, mergeable_ranks={
+            token: i for i, token in enumerate(self.bytes_a) if token}) if merges_in_order(path_a) else None
+        self.written_a = [[f"{i}{end}" for i in range(len(self.bytes_a))] for end in ",|"]
+        self.written_b = [[f"{i}{end}" for i in range(len(self.bytes_b))] for end in ",;\n"]
         self.clear()
 
     def clear(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.held = 0
         self.groups: list[str] = []  # by segment: ids of A and B by group
         # by segment: whole, tokens of A, of B, groups, overlap links, shared-group links
         self.facts = np.empty((0, 6), np.int64)
@@ -124,8 +145,8 @@ class Aligner:
         def flush() -> None:
             numbers = self.numbers
             new = list(dict.fromkeys(s for _, segments in held for s in segments if s not in numbers))
-            if new:
-                self.learn(new)
+            for at in range(0, len(new), LEARNT):
+                self.learn(new[at:at + LEARNT])
             for i, segments in held:
                 out[i].append(np.fromiter(map(numbers.__getitem__, segments), np.int64, len(segments)))
             held.clear()
@@ -140,74 +161,82 @@ class Aligner:
         flush()
         return [np.concatenate([np.empty(0, np.int64), *arrays]) for arrays in out]
 
+    def encoded(self, new: list[str]) -> list[list[int]]:
+        """A's ids of each segment."""
+        if self.ranks is None:
+            return [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
+        return [self.ranks.encode_ordinary(s) if len(s) < LONG else
+                self.a.encode(s, add_special_tokens=False).ids for s in new]
+
     def learn(self, new: list[str]) -> None:
-        ids_a = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
-        ids_b = self.b.encode([s[1:] for s in new], num_threads=1)
-        whole = np.empty(len(new), bool)
-        for i, s in enumerate(new):
-            raw = s.encode()
-            whole[i] = (b"".join(map(self.bytes_a.__getitem__, ids_a[i])) == raw
-                        and b"".join(map(self.bytes_b.__getitem__, ids_b[i])) == raw)
-            if not whole[i]:
-                ids_a[i], ids_b[i] = [], []
-            self.held += len(raw)
-        facts, pairs, groups = align(ids_a, ids_b, self.bytes_a, self.bytes_b)
-        for s in new:
-            self.numbers[s] = len(self.numbers)
+        ids_a, ids_b = self.encoded(new), self.b.encode([s[1:] for s in new], num_threads=1)
+        raw = [s.encode() for s in new]
+        whole = np.ones(len(new), bool)
+        for tokens, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b)):
+            joined = [b"".join(map(tokens.__getitem__, i)) for i in ids]
+            if joined != raw:
+                whole &= np.fromiter((x == y for x, y in zip(joined, raw)), bool, len(new))
+        for i in np.flatnonzero(~whole).tolist():
+            ids_a[i], ids_b[i] = [], []
+        facts, pairs, groups = self.align(ids_a, ids_b)
+        self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new))))
         self.groups += groups
         self.facts = np.concatenate([self.facts, np.column_stack([whole, facts])])
         self.pairs = Csr(np.concatenate([self.pairs.indptr, self.pairs.indptr[-1] + pairs.indptr[1:]]),
                          np.concatenate([self.pairs.indices, pairs.indices]),
                          np.concatenate([self.pairs.data, pairs.data]), 0)
 
+    def align(self, ids_a: list[list[int]], ids_b: list[list[int]]) -> tuple[np.ndarray, Csr, list[str]]:
+        """Of segments whose tokens cover the same bytes: tokens of A, of B, groups, overlap links and
+        shared-group links of each; its id pairs with their links; its groups as text."""
+        a, n_a = _flat(ids_a)
+        b, n_b = _flat(ids_b)
+        rows_a, rows_b = incidence(self.lengths_a[a]), incidence(self.lengths_b[b])
+        links = product(rows_a, rows_b.transposed())
+        of_a = np.repeat(np.arange(len(n_a)), n_a)
+        of_b = np.repeat(np.arange(len(n_b)), n_b)
+
+        ends_of_a = np.zeros(rows_a.n_columns + 1, bool)
+        ends_of_a[rows_a.indptr[1:]] = True
+        ends = rows_b.indptr[1:][ends_of_a[rows_b.indptr[1:]]]
+        group_a = np.searchsorted(ends, rows_a.indptr[1:])
+        group_b = np.searchsorted(ends, rows_b.indptr[1:])
+        in_a = product(membership(of_a, len(n_a)).transposed(), membership(group_a, len(ends)))
+        in_b = product(membership(of_b, len(n_b)).transposed(), membership(group_b, len(ends)))
+        shared = product(in_a, in_b.transposed())  # segments share no groups: a diagonal
+        n_shared = np.zeros(len(n_a), np.int64)
+        n_shared[shared.rows()] = shared.data
+
+        segment = of_a[links.rows()]
+        key = a[links.rows()] << 32 | b[links.indices]
+        order = np.lexsort((key, segment))
+        key, segment = key[order], segment[order]
+        first = np.ones(len(key), bool)
+        first[1:] = (key[1:] != key[:-1]) | (segment[1:] != segment[:-1])
+        at = np.flatnonzero(first)
+        per_segment = np.bincount(segment[at], minlength=len(n_a))
+        pairs = Csr(np.concatenate([[0], np.cumsum(per_segment)]), key[at],
+                    np.diff(np.append(at, len(key))), 0)
+        facts = np.column_stack([n_a, n_b, np.diff(in_a.indptr),
+                                 np.bincount(segment, minlength=len(n_a)), n_shared])
+
+        # the last token of a group is followed by | in A and ; in B, the last of a segment by a line end
+        end_a = np.diff(group_a, append=len(ends)) > 0
+        end_b = (np.diff(group_b, append=len(ends)) > 0) + (np.diff(of_b, append=len(n_b)) > 0).astype(int)
+        words = [self.written_a[e][i] for i, e in zip(a.tolist(), end_a.tolist())]
+        words += [self.written_b[e][i] for i, e in zip(b.tolist(), end_b.tolist())]
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        lines = iter("".join(map(words.__getitem__, order.tolist())).split("\n"))
+        return facts, pairs, [next(lines) if n else "" for n in n_b.tolist()]
+
+
+def _listed(tokens: dict[int, bytes]) -> list[bytes]:
+    return [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((x for ids in lists for x in ids), np.int64, int(counts.sum())), counts
-
-
-def align(ids_a: list[list[int]], ids_b: list[list[int]], bytes_a: dict[int, bytes],
-          bytes_b: dict[int, bytes]) -> tuple[np.ndarray, Csr, list[str]]:
-    """Of segments whose tokens cover the same bytes: tokens of A, of B, groups, overlap links and
-    shared-group links of each; its id pairs with their links; its groups as text."""
-    a, n_a = _flat(ids_a)
-    b, n_b = _flat(ids_b)
-    rows_a = incidence(np.fromiter((len(bytes_a[i]) for i in a.tolist()), np.int64, len(a)))
-    rows_b = incidence(np.fromiter((len(bytes_b[i]) for i in b.tolist()), np.int64, len(b)))
-    links = product(rows_a, rows_b.transposed())
-    of_a = np.repeat(np.arange(len(n_a)), n_a)
-    of_b = np.repeat(np.arange(len(n_b)), n_b)
-
-    ends = np.intersect1d(rows_a.indptr[1:], rows_b.indptr[1:])
-    group_a = np.searchsorted(ends, rows_a.indptr[1:])
-    group_b = np.searchsorted(ends, rows_b.indptr[1:])
-    in_a = product(membership(of_a, len(n_a)).transposed(), membership(group_a, len(ends)))
-    in_b = product(membership(of_b, len(n_b)).transposed(), membership(group_b, len(ends)))
-    shared = product(in_a, in_b.transposed())  # segments share no groups: a diagonal
-    n_shared = np.zeros(len(n_a), np.int64)
-    n_shared[shared.rows()] = shared.data
-
-    from_a = links.rows()
-    segment = of_a[from_a]
-    key = a[from_a] << 32 | b[links.indices]
-    order = np.lexsort((key, segment))
-    key, segment = key[order], segment[order]
-    first = np.ones(len(key), bool)
-    first[1:] = (key[1:] != key[:-1]) | (segment[1:] != segment[:-1])
-    at = np.flatnonzero(first)
-    per_segment = np.bincount(segment[at], minlength=len(n_a))
-    pairs = Csr(np.concatenate([[0], np.cumsum(per_segment)]), key[at],
-                np.diff(np.append(at, len(key))), 0)
-    facts = np.column_stack([n_a, n_b, np.diff(in_a.indptr),
-                             np.bincount(segment, minlength=len(n_a)), n_shared])
-
-    text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    bounds_a = np.searchsorted(group_a, np.arange(len(ends) + 1)).tolist()
-    bounds_b = np.searchsorted(group_b, np.arange(len(ends) + 1)).tolist()
-    written = [",".join(text_a[bounds_a[g]:bounds_a[g + 1]]) + "|" + ",".join(text_b[bounds_b[g]:bounds_b[g + 1]])
-               for g in range(len(ends))]
-    cuts = in_a.indptr.tolist()
-    return facts, pairs, [";".join(written[i:j]) for i, j in zip(cuts, cuts[1:])]
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum())), counts
 
 
 @lru_cache(maxsize=2)
@@ -225,13 +254,13 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def _encoded(path_a: str, path_b: str, names: list[str]):
     """Batches of (block number's partition, id, text) to rows of documents and of blocks."""
     def block_rows(known: Aligner, block: int, ids: list, texts: list[str]) -> pa.RecordBatch:
-        if known.held > HELD:
+        if len(known.numbers) > HELD:
             known.clear()
         numbers = known.number(texts)
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in numbers])]).astype(np.int64)
-        facts = known.facts[np.concatenate([np.empty(0, np.int64), *numbers])]
-        whole = _sums(facts[:, 0], bounds) == np.diff(bounds)
-        sums = _sums(facts[:, 1:], bounds) * whole[:, None]
+        every = np.concatenate([np.empty(0, np.int64), *numbers])
+        whole = _sums(known.facts[:, 0][every], bounds) == np.diff(bounds)
+        sums = [_sums(known.facts[:, c][every], bounds) * whole for c in range(1, 6)]
         digests = [hashlib.sha256(";".join(map(known.groups.__getitem__, x.tolist())).encode()).hexdigest()
                    if ok and len(x) else "" for x, ok in zip(numbers, whole)]
         used, local = np.unique(np.concatenate([np.empty(0, np.int64), *[
@@ -249,7 +278,7 @@ def _encoded(path_a: str, path_b: str, names: list[str]):
         np.add.at(total, pair, each * np.repeat(times, width))
         n = len(ids)
         columns = [pa.array([block] * (n + 1), pa.int64()), pa.array([*ids, None], names[0]),
-                   *[pa.array([*s, None], pa.int64()) for s in sums.T.tolist()],
+                   *[pa.array([*s.tolist(), None], pa.int64()) for s in sums],
                    pa.array([*digests, None], pa.string()), pa.array([*held, None], pa.binary()),
                    *[pa.array([None] * n + [x], pa.list_(pa.int64()))
                      for x in (key.tolist(), total.tolist())],

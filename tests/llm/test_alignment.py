@@ -147,6 +147,16 @@ def test_rows_ids_and_columns(spark):
     assert alignment.align_documents(names).first().doc_id == "x"
 
 
+def test_ranks_encode_as_the_tokenizer(tokenizers):
+    known = alignment.Aligner(alignment.MODEL_A, alignment.MODEL_B)
+    texts = [" " + t for t in AWKWARD if t] + [" " + "ab" * 200_000, " " + "x1é" * 100_000]
+    assert known.ranks is not None
+    assert known.encoded(texts) == [tokenizers[0].encode(t, add_special_tokens=False).ids for t in texts]
+    short = [t for t in texts if len(t) < alignment.LONG]
+    known.ranks = None
+    assert known.encoded(short) == [tokenizers[0].encode(t, add_special_tokens=False).ids for t in short]
+
+
 def test_a_group_without_common_ends_is_not_expanded(spark, tokenizers):
     texts = ["é" * 3000 + " " + "́" * 3000]
     assert found(spark, texts) == plain(texts, tokenizers)
