@@ -8,13 +8,19 @@
   a surrogate key column is numbered after the target's largest key;
 * key only in the target: kept unchanged.
 
-A source with the same key twice is an error (PostgreSQL's "cannot affect row a second time").
+A source with the same key twice is an error (PostgreSQL's "cannot affect row a second time").  The check is
+a filter on the source, below every join: rows pass only through it, so no plan can leave it out.
 
 Physical plan: one full outer join of target and source on the keys, each side read and shuffled once;
 AQE may still turn it into a broadcast join from measured sizes where that is possible.  The keys are
-unique on both sides, so no key is hot, and the duplicate check is a count over the source rows of a
-key in the partitioning that the join needs anyway.  ``strategy="broadcast"`` is for a caller that
-knows the source to be a few rows (one run's outcome): the target is then streamed without a shuffle.
+unique on both sides, so no key is hot, and the duplicate check counts the source rows of a key in the
+partitioning that the join needs anyway.  With a surrogate key the source is stored first (unless it
+comes stored), the keys that the target lacks are numbered from their key columns alone, and the numbers
+come back through the same partitioning.  ``strategy="broadcast"`` is for a caller that knows the source to
+be a few rows (one run's outcome): the target is then streamed without a shuffle.
+
+``changes_only`` returns the updated and inserted rows alone, for ``Warehouse.append_changes``;
+``before`` adds how each row came about (``_op``) and what the named columns held before (``_old_<column>``).
 """
 
 from __future__ import annotations
@@ -29,24 +35,23 @@ from .dedup import latest_per_key
 from .keys import assign_keys
 
 
-def _marker(keys: Sequence[str], assume_unique: bool) -> Column:
-    """True; fails the job that evaluates it when the source holds a key more than once."""
-    if assume_unique:
-        return F.lit(True)
+def _once(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source``; fails the job that reads it when a key comes more than once."""
     rows = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     text = F.concat(F.lit("source holds keys more than once: "), F.to_json(F.struct(*keys)))
-    return F.when(rows > 1, F.raise_error(text)).otherwise(F.lit(True))
+    return (source.withColumn("_n", rows)
+            .where(F.when(F.col("_n") > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(True)))
+            .drop("_n"))
 
 
 def _prep_source(source: DataFrame, keys: Sequence[str], src_cols: Sequence[str],
-                 on_update: Mapping[str, Column], on_insert: Mapping[str, Column],
-                 marker: Column) -> DataFrame:
+                 on_update: Mapping[str, Column], on_insert: Mapping[str, Column]) -> DataFrame:
     return source.select(
         *[F.col(k) for k in keys],
         *[F.col(c).alias(f"_s_{c}") for c in src_cols],
         *[e.alias(f"_u_{c}") for c, e in on_update.items()],
         *[e.alias(f"_i_{c}") for c, e in on_insert.items()],
-        marker.alias("_s_in"),
+        F.lit(True).alias("_s_in"),
     )
 
 
@@ -86,6 +91,8 @@ def upsert(
     strategy: str = "auto",
     stage_source: bool = False,
     changes_only: bool = False,
+    skip_equal: bool = False,
+    before: Sequence[str] | None = None,
 ) -> DataFrame:
     """New state of ``target`` after merging ``source`` on ``keys``; see the module doc.
 
@@ -100,11 +107,13 @@ def upsert(
       and batch loads agree on ties);
     * ``surrogate_key``: target column numbered for inserted rows (dense, after the current maximum);
     * ``strategy``: ``"auto"`` (one outer join) or ``"broadcast"`` (the source is known to be tiny);
-    * ``stage_source``: write a derived source once to the checkpoint folder (``checkpoint()``); worth it
-      with ``surrogate_key``, whose numbering reads the new rows more than once;
+    * ``stage_source``: write a derived source once to the checkpoint folder (``checkpoint()``); always done
+      with ``surrogate_key``, whose numbering reads the source's keys before the join does;
     * ``changes_only``: return only the rows that change (updated + inserted), in the target's
       schema, for a sink that merges or overwrites partitions in place instead of writing the whole
-      next version (untouched rows are then never rewritten).
+      next version (untouched rows are then never rewritten);
+    * ``skip_equal`` (with ``changes_only``): leave out matched rows whose ``update_cols`` all stay as they are;
+    * ``before`` (with ``changes_only``): add ``_op`` (``'I'`` or ``'U'``) and ``_old_<column>`` of these columns.
     """
     keys = list(keys)
     on_update = dict(on_update or {})
@@ -127,13 +136,23 @@ def upsert(
         assume_unique = True
     elif on_duplicate != "error":
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    if stage_source:
+    if not changes_only and (skip_equal or before is not None):
+        raise ValueError("skip_equal and before need changes_only")
+    if not assume_unique:
+        source = _once(source, keys)
+    if stage_source or surrogate_key is not None:
         source = materialize(source)
     src_cols = [c for c in source.columns if c in tcols and c not in keys]
     if guard_order is None and guard_col is not None:
         guard_order = [(guard_col, "desc")]
     guard = _source_first(guard_order) if guard_order else None
-    s = _prep_source(source, keys, src_cols, on_update, on_insert, _marker(keys, assume_unique))
+    s = _prep_source(source, keys, src_cols, on_update, on_insert)
+    if surrogate_key is not None and insert:
+        # the keys the target lacks, numbered from key columns alone
+        missing_keys = source.select(*keys).join(target.select(*keys), keys, "left_anti")
+        numbers = assign_keys(missing_keys, "_skey", keys,
+                              start_after=target.select(F.col(surrogate_key).alias("_skey")))
+        s = s.join(numbers, keys, "left")
     t = _prep_target(target, keys)
     types = {f.name: f.dataType for f in target.schema.fields}
 
@@ -157,51 +176,53 @@ def upsert(
     def inserted_value(c: str) -> Column:
         if c in keys:
             return F.col(c)
+        if c == surrogate_key:
+            return F.col("_skey")
         if c in on_insert:
             return F.col(f"_i_{c}")
         if c in src_cols:
             return F.col(f"_s_{c}")
         return F.lit(None)
 
-    def project(df: DataFrame, value) -> DataFrame:
-        return df.select(*[value(c).cast(types[c]).alias(c) for c in tcols])
-
-    # untouched target rows are dropped from the output when only changes are asked for
-    keep_how = "inner" if changes_only else "left"
-
-    def keep_filter(df: DataFrame) -> DataFrame:
-        if changes_only and guard is not None:
-            return df.where(guard)
-        return df
+    def project(df: DataFrame, value, op: Column) -> DataFrame:
+        cols = [value(c).cast(types[c]).alias(c) for c in tcols]
+        if before is not None:
+            cols.append(op.alias("_op"))
+            cols += [F.col(c if c in keys else f"_t_{c}").cast(types[c]).alias(f"_old_{c}") for c in before]
+        return df.select(*cols)
+
+    def changed() -> Column:
+        """Of a matched row: whether the source's row takes effect."""
+        takes = F.lit(True) if guard is None else guard
+        if skip_equal:
+            differs = F.lit(False)
+            for c in update_cols:
+                differs = differs | ~F.col(f"_s_{c}").cast(types[c]).eqNullSafe(F.col(f"_t_{c}"))
+            takes = takes & differs
+        return takes
 
     if strategy == "broadcast":
-        kept = project(keep_filter(t.join(F.broadcast(s), keys, keep_how)), matched_value)
+        # untouched target rows are dropped from the output when only changes are asked for
+        kept = t.join(F.broadcast(s), keys, "inner" if changes_only else "left")
+        kept = project(kept.where(changed()) if changes_only else kept, matched_value, F.lit("U"))
         if not insert:
             return kept
         # keys of the target that the source touches: a key-only scan against the broadcast keys
         matched_keys = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
         new = s.join(F.broadcast(matched_keys), keys, "left_anti")
-    elif strategy == "auto":
-        both = t.join(s, keys, "full_outer" if insert else "left")
-        known = F.col("_t_in").isNotNull()
-        if changes_only:
-            changed = F.col("_s_in").isNotNull()
-            both = both.where(changed & (~known | guard) if guard is not None else changed)
-        if not insert:
-            return project(both, matched_value)
-        if surrogate_key is None:
-            return project(both, lambda c: F.when(known, matched_value(c)).otherwise(inserted_value(c)))
-        kept, new = project(both.where(known), matched_value), both.where(~known)
-    else:
+        if before is not None:
+            new = new.select("*", *[F.lit(None).alias(f"_t_{c}") for c in before if c not in keys])
+        return kept.unionByName(project(new, inserted_value, F.lit("I")))
+    if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
-
-    if surrogate_key is not None:
-        new = assign_keys(new, "_skey", keys,
-                          start_after=target.select(F.col(surrogate_key).alias("_skey")))
-        inserted = project(new, lambda c: F.col("_skey") if c == surrogate_key else inserted_value(c))
-    else:
-        inserted = project(new, inserted_value)
-    return kept.unionByName(inserted)
+    both = t.join(s, keys, "full_outer" if insert else "left")
+    known = F.col("_t_in").isNotNull()
+    if changes_only:
+        both = both.where(F.col("_s_in").isNotNull() & (~known | changed()))
+    if not insert:
+        return project(both, matched_value, F.lit("U"))
+    return project(both, lambda c: F.when(known, matched_value(c)).otherwise(inserted_value(c)),
+                   F.when(known, "U").otherwise("I"))
 
 
 def update_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str],

@@ -43,6 +43,54 @@ def test_duplicate_source_key_raises(spark):
     assert {r.k: r.a for r in out.collect()} == {1: "a", 5: "y"}
 
 
+@pytest.mark.parametrize("broadcasts", [True, False])
+@pytest.mark.parametrize("strategy", ["broadcast", "auto"])
+@pytest.mark.parametrize("surrogate", [None, "sk"])
+@pytest.mark.parametrize("key, filled", [(5, False), (5, True), (1, True)])
+def test_no_plan_drops_the_duplicate_check(spark, key, filled, surrogate, strategy, broadcasts):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old if broadcasts else "-1")
+    try:
+        target = _t(spark, [(1, "a", "b", 1)] if filled else [])
+        source = spark.createDataFrame([(key, "x"), (key, "y"), (9, "z")], "k long, a string")
+        for cols in (["a"], []):
+            for changes in (False, True):
+                with pytest.raises(Exception, match="more than once"):
+                    upsert(target, source, ["k"], cols, strategy=strategy, surrogate_key=surrogate,
+                           changes_only=changes).collect()
+        with pytest.raises(Exception, match="more than once"):
+            upsert(target, source, ["k"], [], surrogate_key=surrogate).write.format("noop").mode(
+                "overwrite").save()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "auto"])
+def test_changes_with_what_was_before(spark, strategy):
+    target = _t(spark, [(1, "a", "b", 1), (2, "same", "b", 2), (3, "c", "b", 3)])
+    source = spark.createDataFrame([(1, "x"), (2, "same"), (7, "n")], "k long, a string")
+    out = upsert(target, source, ["k"], ["a"], changes_only=True, skip_equal=True, before=("k", "a"),
+                 surrogate_key="sk", strategy=strategy)
+    assert sorted(tuple(r) for r in out.collect()) == [
+        (1, "x", "b", 1, "U", 1, "a"), (7, "n", None, 4, "I", 7, None)]
+    with pytest.raises(ValueError):
+        upsert(target, source, ["k"], ["a"], before=("a",))
+
+
+def test_keys_follow_the_data_and_not_the_partitions(spark):
+    df = spark.range(20_000).select((F.col("id") * 13 % 20_011).alias("nat"), F.lit("x" * 50).alias("load"))
+    for parts in ("3", "17"):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = assign_keys(df, "key", ["nat"], df.select(F.lit(7).alias("key")))
+            rank = sorted(r.nat for r in df.collect())
+            assert sorted((r.nat, r.key) for r in got.collect()) == [(v, 8 + i) for i, v in enumerate(rank)]
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert assign_keys(df.limit(0), "key", ["nat"]).collect() == []
+
+
 def test_update_by_key_does_not_insert(spark):
     target = _t(spark, [(1, "a", "b", 1)])
     source = spark.createDataFrame([(1, "z"), (9, "q")], "k long, a string")
@@ -75,10 +123,10 @@ def test_upsert_is_dict_update_and_idempotent(spark, tgt, src):
 
 def test_assign_keys_dense_and_repeatable(spark):
     df = spark.range(5000).select((F.col("id") * 7).alias("nat"))
-    a = assign_keys(df, "key", ["nat"], 100, buckets=64)
+    a = assign_keys(df, "key", ["nat"], 100)
     keys = sorted(r.key for r in a.collect())
     assert keys == list(range(101, 5101))
-    b = assign_keys(df.repartition(3), "key", ["nat"], 100, buckets=64)
+    b = assign_keys(df.repartition(3), "key", ["nat"], 100)
     assert sorted(a.collect()) == sorted(b.collect())
 
 
