@@ -106,12 +106,15 @@ def advance_watermark(
     *,
     pipeline: str = S.MARKS_PIPELINE,
     monotone: bool = False,
+    changes_only: bool = False,
     **mark_kw,
 ) -> DataFrame:
     """Marks recomputed from the whole fact after a successful load, upserted per entity.
 
     As in the reference the new value overwrites (it can go down, or to NULL); ``monotone=True``
     keeps the greatest of old and new instead.  Entities no longer in the dimension keep their row.
+    The maximum per repository may stand in for the fact (``operators.rollup.repo_facts``).
+    ``changes_only`` gives the marks that are new or moved (with ``_op``).
     """
     new = compute_marks(fact, dim, **mark_kw).select(
         F.lit(pipeline).alias("pipeline_name"), "entity_name", "watermark_ts")
@@ -123,7 +126,8 @@ def advance_watermark(
     stamp = as_of_col(as_of)
     return upsert(marks, new, ["pipeline_name", "entity_name"], ["watermark_ts"],
                   on_update={"updated_at": stamp}, on_insert={"updated_at": stamp},
-                  assume_unique=True)
+                  assume_unique=True, changes_only=changes_only, skip_equal=changes_only,
+                  before=() if changes_only else None)
 
 
 def select_entities(staging: DataFrame, k: int | None = 10, *, name_col: str = "full_name",

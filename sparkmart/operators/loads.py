@@ -34,15 +34,20 @@ def stage_latest_batch(
     stamp_col: str = "last_seen_at",
     on_duplicate: str = "error",
     not_null: Sequence[str] = S.STG_REPOS.not_null,
+    staged: DataFrame | None = None,
+    changes_only: bool = False,
 ) -> DataFrame:
     """Raw repos -> staging: newest batch of ``scope`` (all scopes when None), flattened, upserted.
 
     A repository absent from the newest batch stays in staging.  A key twice in the batch is an error
     unless ``on_duplicate='latest'`` (then the last element of the batch wins; a key's records share a
-    chunk).
+    chunk).  ``staged`` lists batches (scope and ``batch_id``) that need no staging if they are the newest;
+    ``changes_only`` gives the changed and new rows (with ``_op``) instead of the whole next state.
     """
     flt = F.col(scope_col) == F.lit(scope) if scope is not None else None
     newest = latest_batch(raw, [scope_col], "ingested_at", flt)
+    if staged is not None:
+        newest = newest.join(staged.select(scope_col, "batch_id"), [scope_col, "batch_id"], "left_anti")
     rows = flatten(newest, fields, keep=[("ingested_at", "raw_ingested_at"), "batch_id", "chunk"],
                    key_path=key_path, with_position=True)
     rows = enforce_not_null(rows, [c for c in not_null if c in rows.columns], "staging")
@@ -54,7 +59,8 @@ def stage_latest_batch(
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
     return upsert(target, rows.drop("_pos", "batch_id", "chunk"), keys, update_cols,
                   on_update={stamp_col: stamp}, on_insert={stamp_col: stamp},
-                  assume_unique=on_duplicate == "latest")
+                  assume_unique=on_duplicate == "latest", changes_only=changes_only,
+                  before=() if changes_only else None)
 
 
 def stage_all_batches(
@@ -70,6 +76,7 @@ def stage_all_batches(
     stamp_col: str = "last_seen_at",
     guard: bool = False,
     not_null: Sequence[str] = S.STG_COMMITS.not_null,
+    changes_only: bool = False,
 ) -> DataFrame:
     """Raw commits -> staging: every batch re-read, latest element per key, upserted (W1 + L1).
 
@@ -89,7 +96,8 @@ def stage_all_batches(
     return upsert(target, latest, keys, update_cols,
                   on_update={stamp_col: stamp}, on_insert={stamp_col: stamp},
                   assume_unique=True,
-                  guard_order=[("raw_ingested_at", "desc"), (entity_col, "asc")] if guard else None)
+                  guard_order=[("raw_ingested_at", "desc"), (entity_col, "asc")] if guard else None,
+                  changes_only=changes_only, before=() if changes_only else None)
 
 
 def load_dimension_scd1(
@@ -102,13 +110,14 @@ def load_dimension_scd1(
     surrogate_key: str | None = "repo_key",
     effective_from: str = "effective_from",
     is_current: str = "is_current",
-    assume_unique: bool = True,
+    assume_unique: bool = False,
+    changes_only: bool = False,
 ) -> DataFrame:
     """L4: overwrite the attributes of known members, insert new ones with a fresh surrogate key.
 
     ``effective_from`` / ``is_current`` / ``effective_to`` and the surrogate key are set at insert and
-    never touched afterwards (type 1: history is not kept).  The staging table is keyed, so the
-    duplicate check is skipped by default.
+    never touched afterwards (type 1: history is not kept).  A staging key that comes twice raises.
+    ``changes_only`` gives new members and those with another attribute (with ``_op``).
     """
     src = staging.select(*keys, *attributes)
     on_insert: dict[str, Column] = {}
@@ -117,7 +126,8 @@ def load_dimension_scd1(
     if is_current in dim.columns:
         on_insert[is_current] = F.lit(True)
     return upsert(dim, src, keys, attributes, on_insert=on_insert, surrogate_key=surrogate_key,
-                  assume_unique=assume_unique)
+                  assume_unique=assume_unique, changes_only=changes_only, skip_equal=changes_only,
+                  before=() if changes_only else None)
 
 
 def fact_source(
@@ -149,18 +159,20 @@ def load_fact(
     update_cols: Sequence[str] = S.FACT_UPDATE,
     stamp_col: str = "load_dts",
     surrogate_key: str | None = "commit_key",
+    before: Sequence[str] | None = None,
     **lookup_kw,
 ) -> DataFrame:
     """Fact upsert from staging with the id lookup; ``repo_key`` is left as it is.
 
     Two dimension rows sharing a name fan a fact row out to two rows with one key: that raises (the
-    reference's upsert aborts on it too), inside the write: the upsert counts the source rows of each
-    key where the join has them together anyway.
+    reference's upsert aborts on it too): the upsert's check counts the source rows of each key.
+    ``before`` asks for change rows alone, with ``_op`` and what these columns held before.
     """
     src = fact_source(staging_facts, staging_dims, **lookup_kw)
     stamp = as_of_col(as_of)
     return upsert(fact, src, keys, update_cols, on_update={stamp_col: stamp},
-                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key, stage_source=True)
+                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key,
+                  changes_only=before is not None, before=before)
 
 
 def load_fact_left_lookup(
@@ -190,4 +202,4 @@ def load_fact_left_lookup(
     src = enforce_not_null(src, [id_col], "fact")
     stamp = as_of_col(as_of)
     return upsert(fact, src, keys, update_cols, on_update={stamp_col: stamp},
-                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key, stage_source=True)
+                  on_insert={stamp_col: stamp}, surrogate_key=surrogate_key)

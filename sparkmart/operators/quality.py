@@ -37,20 +37,28 @@ def _result(name: str, one_row: DataFrame) -> DataFrame:
     )
 
 
+def _rows(weight: str | None):
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
+
+
 def dq_not_null(fact: DataFrame, col: str = "repo_id",
-                name: str = "dq_fact_repo_id_not_null") -> DataFrame:
-    """Q1: no NULL in ``col`` (reads that one column only)."""
-    return _result(name, fact.select(col).where(F.col(col).isNull()).agg(F.count(F.lit(1)).alias("v")))
+                name: str = "dq_fact_repo_id_not_null", weight: str | None = None) -> DataFrame:
+    """Q1: no NULL in ``col`` (reads that one column only).
+
+    ``weight`` (here and in Q2): the fact comes summed up per key, with its number of rows in this column
+    (``operators.rollup.repo_facts``), so that the check reads a row per repository instead of the fact."""
+    return _result(name, fact.where(F.col(col).isNull()).agg(_rows(weight).alias("v")))
 
 
 def dq_foreign_key(fact: DataFrame, dim: DataFrame, fact_col: str = "repo_id",
-                   dim_col: str = "repo_id", name: str = "dq_fact_repo_fk_dim") -> DataFrame:
+                   dim_col: str = "repo_id", name: str = "dq_fact_repo_fk_dim",
+                   weight: str | None = None) -> DataFrame:
     """Q2: every fact key exists in the dimension; a NULL key counts as a violation.
 
     Written as an explicit ``left_anti`` (Catalyst keeps ``LEFT JOIN ... IS NULL`` as an outer join
     plus filter).  Facts are first counted per key, so the anti join sees one row per distinct key.
     """
-    per_key = fact.groupBy(F.col(fact_col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = fact.groupBy(F.col(fact_col).alias("_k")).agg(_rows(weight).alias("_n"))
     keys = dim.select(F.col(dim_col).alias("_k"))
     orphans = per_key.join(keys, "_k", "left_anti")
     return _result(name, orphans.agg(F.sum("_n").alias("v")))

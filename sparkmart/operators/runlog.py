@@ -103,16 +103,16 @@ def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def run_end(run_log: DataFrame, outcome: DataFrame, metric_tables: Mapping[str, DataFrame], as_of,
+def run_end(run_log: DataFrame, outcome: DataFrame, metrics: Mapping[str, int | DataFrame], as_of,
             *, pipeline: str, strategy: str = "auto") -> DataFrame:
-    """Update the run row with status, message, end time and the layer row counts (one scalar
-    count subquery per table); no row is written when the start record is missing.
+    """Update the run row with status, message, end time and the layer row counts; no row is written
+    when the start record is missing.  A metric is a count, or a table to be counted in a scalar subquery.
 
     ``strategy="broadcast"`` when ``outcome`` is known to be small (one run)."""
     src = outcome.select(
         F.lit(pipeline).alias("pipeline_name"), "dag_id", "run_id", "status", "error_message",
         as_of_col(as_of).alias("end_ts"),
-        *[df.agg(F.count(F.lit(1)).cast("long")).scalar().alias(name)
-          for name, df in metric_tables.items()])
-    cols = ["end_ts", "status", "error_message"] + list(metric_tables)
+        *[(m.agg(F.count(F.lit(1)).cast("long")).scalar() if isinstance(m, DataFrame)
+           else F.lit(m).cast("long")).alias(name) for name, m in metrics.items()])
+    cols = ["end_ts", "status", "error_message"] + list(metrics)
     return update_by_key(run_log, src, list(RUN_KEYS), cols, assume_unique=True, strategy=strategy)

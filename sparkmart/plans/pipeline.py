@@ -33,9 +33,11 @@ from ..operators.quality import run_checks as union_checks
 from ..operators.runlog import run_end, run_outcome, run_start
 from ..operators.upsert import upsert
 from ..functions.json import payload_size
-from ..sources.raw import as_of_col, pack_batches
+from ..sources.raw import pack_batches
 from ..sources.warehouse import APPEND_ONLY, Warehouse
+from ..operators.rollup import repo_facts
 from ..streaming.incremental import advance_marks_delta, load_fact_delta, stage_commit_delta
+from .staging import Ledger, layer_rows, recall_rows
 
 
 @dataclass
@@ -67,8 +69,6 @@ class RunResult:
     landed: dict[str, dict] = field(default_factory=dict)
 
 
-_EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
-
 # fixed values: the step names of the run log
 TASKS = (
     "init_schema", "log_run_start", "extract_repos_to_raw", "transform_repos_to_stg",
@@ -99,12 +99,12 @@ def run(
 ) -> RunResult:
     """One run.
 
-    ``incremental`` stages only the batches that no run has staged yet: this run's and those of runs
-    that failed after landing.  A control row per raw table holds the ingest time up to which batches
-    are staged; it is written after the staging commit, and lowered before a landing that is not newer,
-    so no landed batch is ever passed over.  It then loads the fact for the changed and still pending commits and advances the marks of
-    the touched entities: the daily cost follows the delta, not the raw history.  The default
-    re-reads every raw batch, as the reference does; both give the same tables.
+    ``incremental`` stages only the batches that no run has staged yet: this run's, those of runs that failed
+    after landing, and those of a scope that its runs left out (``plans.staging.Ledger``).  Staging, dimension,
+    fact and marks get their changed rows alone; commits wait for the fact load in a table of their own;
+    marks and checks read a summary of the fact that follows its change rows; counts are carried.  Reading
+    the keys of a table that is joined with the changes is left of the cost of the whole table.  The default
+    re-reads every raw batch and writes whole tables, as the reference does; both give the same tables.
 
     ``checks_first`` runs the checks that do not read the marks (Q1, Q2, Q4) before the marks move,
     so a failed check leaves the marks where they were (the reference moves them first).
@@ -153,6 +153,7 @@ def run(
 
     def init():
         wh.ensure_tables()
+        recall_rows(wh)
 
     def log_start():
         wh.replace(S.ETL_RUN_LOG.name, run_start(wh.read(S.ETL_RUN_LOG.name), as_of,
@@ -162,49 +163,27 @@ def run(
     def land_repos():
         raw = pack_batches(feeds.repos, ["org_or_user"], F.col("rec"), ["repo_id"], as_of,
                            key=["repo_id"])
-        before_landing(S.RAW_REPOS.name)
+        ledger.before_landing(S.RAW_REPOS.name, as_of)
         observed_append("extract_repos_to_raw", S.RAW_REPOS.name, raw)
 
-    def staged_upto(table: str) -> _dt.datetime | None:
-        row = (wh.read(S.ETL_STAGING_MARK.name).where(F.col("table_name") == table)
-                 .agg(F.max(F.unix_micros("staged_upto"))).first())
-        return None if row[0] is None else _EPOCH + _dt.timedelta(microseconds=row[0])
-
-    def set_staged(table: str, upto: _dt.datetime) -> None:
-        row = spark.range(1).select(F.lit(table).alias("table_name"),
-                                    as_of_col(upto).alias("staged_upto"))
-        wh.replace(S.ETL_STAGING_MARK.name, upsert(wh.read(S.ETL_STAGING_MARK.name), row,
-                                                   ["table_name"], strategy="broadcast"))
-
-    def before_landing(table: str) -> None:
-        # a landing at or before the mark (a rerun) would count as staged: take the mark back first
-        mark = staged_upto(table)
-        if mark is not None and mark >= as_of:
-            set_staged(table, as_of - _dt.timedelta(microseconds=1))
-
-    def unstaged(table: str) -> DataFrame:
-        # batches beyond the mark; older ingest-date directories are pruned at the scan
-        raw, mark = wh.read(table), staged_upto(table)
-        if mark is None:
-            return raw
-        return raw.where((F.col("ingest_date") >= F.to_date(as_of_col(mark)))
-                         & (F.col("ingested_at") > as_of_col(mark)))
-
-    def after_staging(table: str) -> None:
-        mark = staged_upto(table)
-        set_staged(table, as_of if mark is None else max(mark, as_of))
+    ledger = Ledger(wh)
 
     def repos_to_stg():
-        raw = wh.read(S.RAW_REPOS.name)
-        # delta mode: the newest unstaged batch of every scope
-        wh.replace(S.STG_REPOS.name, stage_latest_batch(
-            wh.read(S.STG_REPOS.name), unstaged(S.RAW_REPOS.name) if incremental else raw, as_of,
-            scope=scope))
-        after_staging(S.RAW_REPOS.name)
+        if incremental:
+            wh.append_changes(S.STG_REPOS.name, stage_latest_batch(
+                wh.read(S.STG_REPOS.name), ledger.open_batches(S.RAW_REPOS.name), as_of, scope=scope,
+                staged=ledger.staged(S.RAW_REPOS.name), changes_only=True))
+        else:
+            wh.replace(S.STG_REPOS.name, stage_latest_batch(
+                wh.read(S.STG_REPOS.name), wh.read(S.RAW_REPOS.name), as_of, scope=scope))
+        ledger.close(S.RAW_REPOS.name, as_of, scope)
 
     def load_dim():
-        wh.replace(S.DIM_REPOSITORY.name, load_dimension_scd1(
-            wh.read(S.DIM_REPOSITORY.name), wh.read(S.STG_REPOS.name), as_of))
+        dim, stg = wh.read(S.DIM_REPOSITORY.name), wh.read(S.STG_REPOS.name)
+        if incremental:
+            wh.append_changes(S.DIM_REPOSITORY.name, load_dimension_scd1(dim, stg, as_of, changes_only=True))
+        else:
+            wh.replace(S.DIM_REPOSITORY.name, load_dimension_scd1(dim, stg, as_of))
 
     def land_commits():
         stg = wh.read(S.STG_REPOS.name)
@@ -218,23 +197,21 @@ def run(
                            feeds.commit_order or [feeds.commit_ts], as_of, key=feeds.commit_key,
                            scopes=chosen.withColumnRenamed("entity_name", "repo_full_name"))
         raw = raw.withColumn("org_or_user", F.lit(scope or S.DEFAULT_SCOPE))
-        before_landing(S.RAW_COMMITS.name)
+        ledger.before_landing(S.RAW_COMMITS.name, as_of)
         observed_append("extract_commits_to_raw", S.RAW_COMMITS.name, raw)
 
-    delta: dict[str, DataFrame] = {}
-
     def commits_to_stg():
         if incremental:
-            delta["touched"] = stage_commit_delta(wh, unstaged(S.RAW_COMMITS.name), as_of)
-            after_staging(S.RAW_COMMITS.name)
-            return
-        wh.replace(S.STG_COMMITS.name, stage_all_batches(
-            wh.read(S.STG_COMMITS.name), wh.read(S.RAW_COMMITS.name), as_of))
-        after_staging(S.RAW_COMMITS.name)
+            stage_commit_delta(wh, ledger.unstaged(S.RAW_COMMITS.name), as_of)
+        else:
+            wh.reset(S.STG_COMMITS_PENDING.name)  # follows from staging when a delta run needs it
+            wh.replace(S.STG_COMMITS.name, stage_all_batches(
+                wh.read(S.STG_COMMITS.name), wh.read(S.RAW_COMMITS.name), as_of))
+        ledger.close(S.RAW_COMMITS.name, as_of)
 
     def fact_load():
         if incremental:
-            delta["todo"] = load_fact_delta(wh, delta["touched"], as_of)
+            load_fact_delta(wh, as_of)
             return
         wh.replace(S.FACT_COMMITS.name, load_fact(
             wh.read(S.FACT_COMMITS.name), wh.read(S.STG_COMMITS.name), wh.read(S.STG_REPOS.name),
@@ -242,7 +219,7 @@ def run(
 
     def marks():
         if incremental:
-            advance_marks_delta(wh, delta["todo"], as_of, marks_pipeline)
+            advance_marks_delta(wh, as_of, marks_pipeline)
             return
         wh.replace(S.ETL_WATERMARK.name, advance_watermark(
             wh.read(S.ETL_WATERMARK.name), wh.read(S.FACT_COMMITS.name),
@@ -255,7 +232,9 @@ def run(
             gate(rows)  # a failing check fails its task
         return _run
 
-    fact = lambda: wh.read(S.FACT_COMMITS.name)
+    # a delta run checks the summary of the fact, which stands for all of its rows
+    fact = lambda: repo_facts(wh) if incremental else wh.read(S.FACT_COMMITS.name)
+    weight = "n" if incremental else None
     dim = lambda: wh.read(S.DIM_REPOSITORY.name)
     plan = [
         ("init_schema", init),
@@ -269,8 +248,8 @@ def run(
         ("update_watermark_after_load", marks),
     ]
     checks = [
-        ("dq_fact_repo_id_not_null", lambda: dq_not_null(fact())),
-        ("dq_fact_repo_fk_dim", lambda: dq_foreign_key(fact(), dim())),
+        ("dq_fact_repo_id_not_null", lambda: dq_not_null(fact(), weight=weight)),
+        ("dq_fact_repo_fk_dim", lambda: dq_foreign_key(fact(), dim(), weight=weight)),
         ("dq_last_raw_batches_have_effect",
          lambda: dq_recent_raw_has_effect(wh.read(S.RAW_COMMITS.name),
                                           wh.read(S.STG_COMMITS.name), as_of)),
@@ -338,22 +317,15 @@ def run(
     outcome_df = run_outcome(ts_df)
     out = outcome_df.first()
     outcome = spark.createDataFrame([out], outcome_df.schema)
-    metric_tables = {
-        # chunks of one batch share batch_id: count batches, not rows
-        "raw_repos_batches": wh.read(S.RAW_REPOS.name).select("batch_id").distinct(),
-        "raw_commits_batches": wh.read(S.RAW_COMMITS.name).select("batch_id").distinct(),
-        "stg_repos_rows": wh.read(S.STG_REPOS.name),
-        "stg_commits_rows": wh.read(S.STG_COMMITS.name),
-        "dim_repository_rows": wh.read(S.DIM_REPOSITORY.name),
-        "fact_commits_rows": wh.read(S.FACT_COMMITS.name),
-    }
-    wh.replace(S.ETL_RUN_LOG.name, run_end(wh.read(S.ETL_RUN_LOG.name), outcome, metric_tables,
-                                           as_of, pipeline=pipeline, strategy="broadcast"))
+    counts = layer_rows(wh)
+    wh.replace(S.ETL_RUN_LOG.name, run_end(wh.read(S.ETL_RUN_LOG.name), outcome, counts, as_of,
+                                           pipeline=pipeline, strategy="broadcast"))
     result = RunResult(run_id, out["status"], out["error_message"], check_rows,
                        [(t, states.get(t)) for t in TASKS], seconds, landed)
     if result.status == "SUCCESS" and keep_versions is not None:
         for spec in S.ALL_TABLES:
             if spec.name not in APPEND_ONLY:
+                wh.fold(spec.name)
                 wh.vacuum(spec.name, keep=keep_versions)
     if raise_on_failure and result.status != "SUCCESS":
         failed_checks = [r for r in check_rows if r["ok"] == 0]

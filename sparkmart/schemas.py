@@ -132,13 +132,45 @@ DQ_RESULTS = TableSpec(
     not_null=("run_id", "check_name", "ok", "checked_at"),
     defaults={"checked_at": "AS_OF"},
 )
-# ours: batches ingested up to here are staged (delta mode reads what lies beyond)
+# ours: every batch ingested up to here is staged (the folded part of the ledger below)
 ETL_STAGING_MARK = TableSpec(
     "etl_staging_mark",
     _struct(("table_name", STR), ("staged_upto", TS)),
     keys=("table_name",),
     not_null=("table_name", "staged_upto"),
 )
+# ours: batches beyond the mark that are staged, while batches of another scope still wait
+ETL_STAGED_BATCH = TableSpec(
+    "etl_staged_batch",
+    _struct(("table_name", STR), ("org_or_user", STR), ("batch_id", STR), ("ingested_at", TS)),
+    keys=("table_name", "org_or_user", "batch_id"),
+    not_null=("table_name", "org_or_user", "batch_id", "ingested_at"),
+)
+# ours: staged commits that the fact load has not taken yet (new ones, and those of unknown repositories)
+STG_COMMITS_PENDING = TableSpec(
+    "stg_commits_pending", STG_COMMITS.schema, keys=("sha",), not_null=("sha", "repo_full_name"))
+# ours: the fact per repository, kept up from its change rows; fact_version is the state it reflects
+FACT_BY_REPO = TableSpec(
+    "fact_by_repo",
+    _struct(("repo_id", LONG), ("n_commits", LONG), ("last_committed_at", TS), ("fact_version", LONG)),
+    keys=("repo_id",),
+    not_null=("n_commits", "fact_version"),
+)
+# ours: the fact per repository and month (D1), kept up in the same way
+FACT_BY_MONTH = TableSpec(
+    "fact_by_month",
+    _struct(("repo_id", LONG), ("month_start", TS), ("n_commits", LONG), ("fact_version", LONG)),
+    keys=("repo_id", "month_start"),
+    not_null=("n_commits", "fact_version"),
+)
+# ours: counts carried from run to run; raw tables count batches, n_landed of them at landed_at
+ETL_TABLE_ROWS = TableSpec(
+    "etl_table_rows",
+    _struct(("table_name", STR), ("version", LONG), ("n_rows", LONG), ("landed_at", TS),
+            ("n_landed", LONG)),
+    keys=("table_name",),
+    not_null=("table_name", "version", "n_rows"),
+)
 # ours: one row per step of a run, input of the run outcome (R2)
 TASK_STATES = TableSpec(
     "task_states",
@@ -147,7 +179,8 @@ TASK_STATES = TableSpec(
 )
 
 ALL_TABLES = (RAW_REPOS, RAW_COMMITS, STG_REPOS, STG_COMMITS, DIM_REPOSITORY, FACT_COMMITS,
-              ETL_WATERMARK, ETL_RUN_LOG, ETL_STAGING_MARK, DQ_RESULTS)
+              ETL_WATERMARK, ETL_RUN_LOG, ETL_STAGING_MARK, ETL_STAGED_BATCH, STG_COMMITS_PENDING,
+              FACT_BY_REPO, FACT_BY_MONTH, ETL_TABLE_ROWS, DQ_RESULTS)
 TABLES = {t.name: t for t in ALL_TABLES + (TASK_STATES,)}
 
 # --- fixed values: JSON paths of the API payloads and the attribute lists the loads overwrite -----

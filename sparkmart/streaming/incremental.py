@@ -2,9 +2,9 @@
 
 * ``stream_commits`` (T1): the raw commit files are a streaming parquet source; each micro-batch
   (``trigger(availableNow=True)``: every file not yet seen, then stop) is flattened, deduplicated and
-  upserted into staging with the ingest-time guard, then the fact is loaded for the commits changed in
-  the micro-batch plus staging commits still missing from the fact (their repository may have arrived
-  since), and the marks advance for the touched entities.  Any split of the raw files into
+  upserted into staging with the ingest-time guard, then the fact is loaded for the commits that wait in
+  ``stg_commits_pending``: those the micro-batch changed, and earlier ones whose repository was unknown.
+  Each table gets its changed rows alone, and the marks follow from the fact's summary.  Any split of the raw files into
   micro-batches, in any arrival order, gives the batch result: the guard applies the dedup's own
   order (ingest time desc, entity asc), so an older late file never beats a newer row and ties go
   the same way as in batch (property-tested).  Ties inside one batch (same time and entity) are
@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..operators.incremental import compute_marks
+from ..operators.incremental import advance_watermark
 from ..operators.loads import load_fact, stage_all_batches
+from ..operators.rollup import BEFORE, advance_by_repo, repo_facts
 from ..operators.upsert import upsert
 from ..sources.payload import flatten
 from ..sources.raw import as_of_col
@@ -44,50 +45,50 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc)
 
 
-def stage_commit_delta(wh: Warehouse, batch: DataFrame, as_of: _dt.datetime) -> DataFrame:
-    """Raw commit rows of one delta -> staging (guarded upsert); returns the touched keys."""
-    batch = batch.select(*S.RAW_COMMITS.columns)
-    wh.replace(S.STG_COMMITS.name, stage_all_batches(wh.read(S.STG_COMMITS.name), batch, as_of,
-                                                     guard=True))
-    return flatten(batch, [("sha", S.COMMIT_KEY_PATH, "string")],
-                   key_path=S.COMMIT_KEY_PATH).select("sha")
-
-
-def load_fact_delta(wh: Warehouse, touched: DataFrame, as_of: _dt.datetime) -> DataFrame:
-    """Fact load for the touched commits plus staging commits still missing from the fact (their
-    repository may have arrived since); returns the keys handed to the fact load."""
-    stg = wh.read(S.STG_COMMITS.name)
-    fact = wh.read(S.FACT_COMMITS.name)
-    pending = stg.select("sha").join(fact.select("sha"), "sha", "left_anti")
-    todo = touched.unionByName(pending).distinct()
-    # the delta's staging rows, stored once: the fan-out check, the size check and the merge
-    # all read this copy instead of re-deriving it from staging and the fact
-    src = materialize(stg.join(todo, "sha", "left_semi"))
-    wh.replace(S.FACT_COMMITS.name, load_fact(fact, src, wh.read(S.STG_REPOS.name), as_of))
-    return src.select("sha")
-
-
-def advance_marks_delta(wh: Warehouse, todo: DataFrame, as_of: _dt.datetime,
-                        marks_pipeline: str = S.MARKS_PIPELINE) -> None:
-    """Marks of the entities whose facts changed, recomputed from the loaded fact."""
-    fact = wh.read(S.FACT_COMMITS.name)
-    dim = wh.read(S.DIM_REPOSITORY.name)
-    touched_ids = fact.join(todo, "sha", "left_semi").select("repo_id").distinct()
-    new = compute_marks(fact.join(touched_ids, "repo_id", "left_semi"),
-                        dim.join(touched_ids, "repo_id", "left_semi"))
-    new = new.select(F.lit(marks_pipeline).alias("pipeline_name"), "entity_name", "watermark_ts")
-    stamp = as_of_col(as_of)
-    wh.replace(S.ETL_WATERMARK.name, upsert(
-        wh.read(S.ETL_WATERMARK.name), new, ["pipeline_name", "entity_name"], ["watermark_ts"],
-        on_update={"updated_at": stamp}, on_insert={"updated_at": stamp}, assume_unique=True))
+#: The tables to which a delta adds change sets.
+DELTA_TABLES = (S.STG_COMMITS.name, S.STG_COMMITS_PENDING.name, S.FACT_COMMITS.name, S.FACT_BY_REPO.name,
+                S.ETL_WATERMARK.name)
+
+
+def stage_commit_delta(wh: Warehouse, batch: DataFrame, as_of: _dt.datetime) -> None:
+    """Raw commit rows of one delta -> change rows of staging (guarded upsert), which then wait in
+    ``stg_commits_pending`` for the fact load, also if that fails in this run."""
+    pending, stg = S.STG_COMMITS_PENDING.name, S.STG_COMMITS.name
+    if not wh.versions(pending) and wh.versions(stg):
+        # a full run came before: what it left out of the fact waits
+        loaded = wh.read(S.FACT_COMMITS.name).select("sha")
+        wh.replace(pending, wh.read(stg).join(loaded, "sha", "left_anti"))
+    version = wh.append_changes(stg, stage_all_batches(
+        wh.read(stg), batch.select(*S.RAW_COMMITS.columns), as_of, guard=True, changes_only=True))
+    wh.append_changes(pending, wh.changes(stg, version - 1).drop("c"))
+
+
+def load_fact_delta(wh: Warehouse, as_of: _dt.datetime) -> None:
+    """Fact load of the waiting commits whose repository is known; the others go on waiting.
+
+    Neither staging nor the fact is searched for what is missing.  A run that dies between the two writes
+    leaves loaded commits waiting, and the next load changes nothing by taking them again."""
+    pending, names = wh.read(S.STG_COMMITS_PENDING.name), wh.read(S.STG_REPOS.name)
+    wh.append_changes(S.FACT_COMMITS.name, load_fact(wh.read(S.FACT_COMMITS.name), pending, names, as_of,
+                                                     before=BEFORE))
+    known = names.select(F.col("full_name").alias("repo_full_name"))
+    wh.replace(S.STG_COMMITS_PENDING.name, pending.join(known, "repo_full_name", "left_anti"))
+    advance_by_repo(wh)
+
+
+def advance_marks_delta(wh: Warehouse, as_of: _dt.datetime, marks_pipeline: str = S.MARKS_PIPELINE) -> None:
+    """Marks from the fact's summary per repository; only marks that moved are written."""
+    wh.append_changes(S.ETL_WATERMARK.name, advance_watermark(
+        wh.read(S.ETL_WATERMARK.name), repo_facts(wh), wh.read(S.DIM_REPOSITORY.name), as_of,
+        pipeline=marks_pipeline, changes_only=True))
 
 
 def apply_commit_batch(wh: Warehouse, batch: DataFrame, as_of: _dt.datetime,
                        marks_pipeline: str = S.MARKS_PIPELINE) -> None:
-    """One micro-batch of raw commit rows -> staging, fact and marks (each a new table version)."""
-    touched = stage_commit_delta(wh, batch, as_of)
-    todo = load_fact_delta(wh, touched, as_of)
-    advance_marks_delta(wh, todo, as_of, marks_pipeline)
+    """One micro-batch of raw commit rows -> change rows of staging, fact and marks."""
+    stage_commit_delta(wh, batch, as_of)
+    load_fact_delta(wh, as_of)
+    advance_marks_delta(wh, as_of, marks_pipeline)
 
 
 def stream_commits(spark: SparkSession, wh: Warehouse, checkpoint: str, *,
@@ -96,7 +97,8 @@ def stream_commits(spark: SparkSession, wh: Warehouse, checkpoint: str, *,
                    keep_versions: int | None = 2) -> int:
     """Process every raw commit file not seen yet (available-now), return the micro-batch count.
 
-    After each micro-batch the three tables it rewrote keep only their newest ``keep_versions``.
+    After each micro-batch long lines of change sets are folded, and the tables it changed keep only their
+    newest ``keep_versions`` states.
     """
     reader = spark.readStream.schema(RAW_STREAM_SCHEMA)
     if max_files_per_trigger:
@@ -108,7 +110,8 @@ def stream_commits(spark: SparkSession, wh: Warehouse, checkpoint: str, *,
         batches.append(epoch)
         apply_commit_batch(wh, df, clock())
         if keep_versions is not None:
-            for name in (S.STG_COMMITS.name, S.FACT_COMMITS.name, S.ETL_WATERMARK.name):
+            for name in DELTA_TABLES:
+                wh.fold(name)
                 wh.vacuum(name, keep=keep_versions)
 
     q = (src.writeStream.foreachBatch(each)
