@@ -87,6 +87,24 @@ select user_id, page, n, event_ids from (
 where short_before = 0 and page <= 10
 """
 
+_RUN_LOG = """
+        select 'github_etl' pipeline_name, 'github_etl' dag_id, r.run_id, 'SUCCESS' status,
+               cast(null as varchar) error_message,
+               r.n * (select count(distinct c_nationkey) from customer) raw_repos_batches,
+               r.n * (select count(*) from customer) raw_commits_batches,
+               (select count(*) from customer) stg_repos_rows,
+               (select count(*) from orders o join customer c on c.c_custkey = o.o_custkey
+                where r.run_id = 'run2' or o.o_orderdate < timestamp '1998-01-01') stg_commits_rows,
+               (select count(*) from customer) dim_repository_rows,
+               (select count(*) from orders o join customer c on c.c_custkey = o.o_custkey
+                where r.run_id = 'run2' or o.o_orderdate < timestamp '1998-01-01') fact_commits_rows
+        from (values ('run1', 1), ('run2', 2)) r(run_id, n)"""
+
+_ACTIVITY = """
+        select c.c_name full_name, date_trunc('month', o.o_orderdate) month_start,
+               count(*) n_commits
+        from orders o join customer c on c.c_custkey = o.o_custkey group by 1, 2"""
+
 _ORACLES = {
     "json_flatten": "select l_orderkey, l_linenumber, l_quantity, l_shipdate from lineitem",
     "json_get": "select event_id, cast(json_extract_string(props, '$.k') as bigint) k from events",
@@ -103,6 +121,16 @@ _ORACLES = {
            group by 1) m on m.o_custkey = c.c_custkey
         order by m.last_order desc nulls last, c.c_custkey limit 1200""",
     "paging": _PAGING,
+    "paging_cap": """
+        select event_type, cast(floor((rn - 1) / 10.0) as int) + 1 page, count(*) n,
+               cast(sum(event_id) as bigint) event_ids
+        from (select *, row_number() over (partition by event_type order by ts desc, event_id desc) rn
+              from events) a
+        where rn <= 100 group by 1, 2""",
+    "empty_batches": """
+        select user_id, cast(1 as bigint) batches,
+               count(*) filter (event_type = 'purchase' and ts >= timestamp '2024-01-25 00:00:00') records
+        from events group by user_id""",
     "upsert": """
         select coalesce(s.k, t.k) k,
                case when s.k is not null then s.bal else t.bal end bal,
@@ -118,12 +146,19 @@ _ORACLES = {
         select count(*) n, count(*) n_distinct, cast(1 as bigint) min_key, count(*) max_key
         from orders""",
     "dim_repository": """
-        select c.c_custkey repo_id, c.c_name full_name, n.n_name owner_login,
-               c.c_mktsegment description, m.pushed_at,
-               cast(coalesce(m.n, 0) as integer) stargazers_count, false is_private,
-               true is_current
+        select c.c_custkey repo_id, c.c_name full_name, c.c_name "name", n.n_name owner_login,
+               coalesce(case when c.c_acctbal < 0 then true when c.c_acctbal >= 1000 then false end, false)
+                 is_private,
+               'https://example.com/' || c.c_name html_url, c.c_mktsegment description,
+               m.language, case when c.c_acctbal < 0 then 'trunk' else 'main' end default_branch,
+               m.created_at, m.pushed_at + interval 1 hour updated_at, m.pushed_at,
+               cast(coalesce(m.n, 0) as integer) stargazers_count,
+               cast(coalesce(m.n_finished, 0) as integer) forks_count,
+               cast(coalesce(m.n - m.n_finished, 0) as integer) open_issues_count, true is_current
         from customer c left join nation n on n.n_nationkey = c.c_nationkey
-        left join (select o_custkey, max(o_orderdate) pushed_at, count(*) n from orders
+        left join (select o_custkey, min(o_orderdate) created_at, max(o_orderdate) pushed_at, count(*) n,
+                          count(*) filter (o_orderstatus = 'F') n_finished,
+                          arg_max(o_orderpriority, (o_orderdate, o_orderkey)) "language" from orders
                    group by o_custkey) m on m.o_custkey = c.c_custkey""",
     "fact_commits": """
         select cast(o.o_orderkey as varchar) sha, o.o_custkey repo_id,
@@ -132,16 +167,16 @@ _ORACLES = {
         from orders o join customer c on c.c_custkey = o.o_custkey""",
     "fact_left_lookup": """
         select cast(o.o_orderkey as varchar) sha, o.o_custkey repo_id,
-               o.o_orderdate committed_at, cast(null as integer) additions,
-               cast(null as integer) deletions, cast(null as integer) changed_files
-        from orders o join customer c on c.c_custkey = o.o_custkey""",
+               o.o_orderdate committed_at, l.additions, l.deletions, l.changed_files
+        from orders o join customer c on c.c_custkey = o.o_custkey
+        left join (select l_orderkey, cast(floor(sum(l_quantity)) as integer) additions,
+                          cast(count(*) as integer) deletions,
+                          cast(count(distinct l_partkey) as integer) changed_files
+                   from lineitem group by 1) l on l.l_orderkey = o.o_orderkey""",
     "watermark": """
         select c.c_name entity_name, max(o.o_orderdate) watermark_ts
         from orders o join customer c on c.c_custkey = o.o_custkey group by c.c_name""",
-    "activity": """
-        select c.c_name full_name, date_trunc('month', o.o_orderdate) month_start,
-               count(*) n_commits
-        from orders o join customer c on c.c_custkey = o.o_custkey group by 1, 2""",
+    "activity": _ACTIVITY,
     "incremental": """
         with w as (select user_id, max(ts) wm from events
                    where ts < timestamp '2024-01-15 00:00:00' and event_type = 'signup'
@@ -205,16 +240,31 @@ _ORACLES = {
         union all select 'orders', count(*) from orders
         union all select 'lineitem', count(*) from lineitem
         union all select 'events', count(*) from events""",
-    "pipeline_run_log": """
-        select 'github_etl' pipeline_name, 'github_etl' dag_id, r.run_id, 'SUCCESS' status,
-               cast(null as varchar) error_message,
-               (select count(*) from customer) stg_repos_rows,
-               (select count(*) from orders o join customer c on c.c_custkey = o.o_custkey
-                where r.run_id = 'run2' or o.o_orderdate < timestamp '1998-01-01') stg_commits_rows,
-               (select count(*) from customer) dim_repository_rows,
-               (select count(*) from orders o join customer c on c.c_custkey = o.o_custkey
-                where r.run_id = 'run2' or o.o_orderdate < timestamp '1998-01-01') fact_commits_rows
-        from (select 'run1' run_id union all select 'run2') r""",
+    "pipeline_run_log": _RUN_LOG,
+    "pipeline_delta_run_log": _RUN_LOG,
+    "pipeline_delta_scopes": """
+        select c_custkey repo_id, c_name full_name, n_name owner_login, true is_current
+        from customer join nation on n_nationkey = c_nationkey where n_name in ('NATION_19', 'NATION_11')""",
+    "activity_rollup": _ACTIVITY,
+    "dq_delta": """
+        select 'dq_fact_repo_fk_dim' check_name, case when count(*) = 0 then 1 else 0 end ok,
+               count(*) violations
+        from orders o left join (select c_custkey from customer where c_acctbal >= 0) c
+          on c.c_custkey = o.o_custkey
+        where c.c_custkey is null
+        union all
+        select 'dq_watermark_not_ahead_of_fact', case when count(*) = 0 then 1 else 0 end, count(*)
+        from (select m.n, m.wm, max(o.o_orderdate) mf
+              from (select c_name n, max(o_orderdate) + interval 1 day wm from orders
+                    join customer on c_custkey = o_custkey where o_orderstatus in ('F', 'O') group by 1) m
+              left join (select * from customer where c_acctbal >= 0) d on d.c_name = m.n
+              left join orders o on o.o_custkey = d.c_custkey group by m.n, m.wm) t
+        where t.mf is null or t.mf < t.wm""",
+    "upsert_duplicates": """
+        select coalesce(c.c_custkey, s.k) k, s.last_order, c.c_acctbal bal
+        from customer c full outer join
+             (select o_custkey k, arg_max(o_orderkey, (o_orderdate, o_orderkey)) last_order
+              from orders group by 1) s on s.k = c.c_custkey""",
     "pipeline_marks": """
         select 'github_commits' pipeline_name, c.c_name entity_name,
                max(o.o_orderdate) watermark_ts

@@ -9,6 +9,7 @@ derived from the tables by data attributes such as dates, segments or balances,
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from ..operators.upsert import upsert
 from ..sources.paging import pages_of
 from ..sources.payload import flatten
 from ..sources.raw import pack_batches
+from .staging import METRICS
 from .star import Star, build_star
 from .tables import RUN1, RUN2, empty, table
 
@@ -107,6 +109,25 @@ def q_paging(spark: SparkSession, sf_dir: str) -> DataFrame:
                     max_pages=10).select("user_id", "page", "n", "event_ids")
 
 
+def q_paging_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each type in pages of 10; every type has more than the ten pages that are fetched."""
+    ev = table(spark, sf_dir, "events")
+    return pages_of(ev, "event_type", [F.col("ts").desc(), F.col("event_id").desc()],
+                    [F.sum("event_id").cast("long").alias("event_ids")], per_page=10,
+                    max_pages=10).select("event_type", "page", "n", "event_ids")
+
+
+def q_empty_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + S6: a batch per user, also for users without a purchase since Jan 25 (an empty one)."""
+    from ..sources.raw import batch_stats
+
+    ev = table(spark, sf_dir, "events")
+    recs = ev.where((F.col("event_type") == "purchase") & (F.col("ts") >= F.lit(_dt.datetime(2024, 1, 25))))
+    raw = pack_batches(recs, ["user_id"], F.struct("event_id", "value"), ["event_id"], RUN1,
+                       key=["event_id"], scopes=ev.select("user_id"))
+    return batch_stats(raw, ["user_id"])
+
+
 # -- upsert, keys, loads -----------------------------------------------------------------------
 
 UPSERT_AS_OF = _dt.datetime(2024, 2, 1, tzinfo=_dt.timezone.utc)
@@ -130,6 +151,17 @@ def q_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_ntz(out)
 
 
+def q_upsert_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2, the option: the source holds a customer once per order; the newest order decides."""
+    target = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("k"), F.lit(None).cast("bigint").alias("last_order"),
+        F.col("c_acctbal").alias("bal"))
+    source = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("last_order"), "o_orderdate")
+    return upsert(target, source, ["k"], ["last_order"], on_duplicate="latest",
+                  dedup_order=[F.col("o_orderdate").desc(), F.col("last_order").desc()])
+
+
 def q_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense unique keys 1..n for every order, summarised (keys themselves are arbitrary)."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
@@ -141,8 +173,7 @@ def q_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dim_repository(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 + O1 + L4: the SCD-1 dimension after two runs, from nested repository JSON."""
     d = star(spark, sf_dir).dim
-    return to_ntz(d.select("repo_id", "full_name", "owner_login", "description", "pushed_at",
-                           "stargazers_count", "is_private", "is_current"))
+    return to_ntz(d.select("repo_id", *S.REPO_ATTRIBUTES, "is_current"))
 
 
 def q_fact_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,10 +184,13 @@ def q_fact_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fact_left_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L7 + J5: the alternative loader (left lookups, ``coalesce`` of ids, measures)."""
+    """L7 + J5: the alternative loader (left lookups, ``coalesce`` of ids, measures from the line items)."""
     st = star(spark, sf_dir)
-    f = load_fact_left_lookup(empty(spark, S.FACT_COMMITS), st.stg_commits, st.stg_repos, st.dim,
-                              RUN1)
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("sha")).agg(
+        F.sum("l_quantity").cast("int").alias("additions"), F.count(F.lit(1)).cast("int").alias("deletions"),
+        F.count_distinct("l_partkey").cast("int").alias("changed_files"))
+    staged = st.stg_commits.drop("additions", "deletions", "changed_files").join(lines, "sha", "left")
+    f = load_fact_left_lookup(empty(spark, S.FACT_COMMITS), staged, st.stg_repos, st.dim, RUN1)
     return to_ntz(f.select("sha", "repo_id", "committed_at", "additions", "deletions",
                            "changed_files"))
 
@@ -307,7 +341,10 @@ QUERIES = {
     "latest_batch": q_latest_batch,
     "topk": q_topk,
     "paging": q_paging,
+    "paging_cap": q_paging_cap,
+    "empty_batches": q_empty_batches,
     "upsert": q_upsert,
+    "upsert_duplicates": q_upsert_duplicates,
     "surrogate_keys": q_surrogate_keys,
     "dim_repository": q_dim_repository,
     "fact_commits": q_fact_commits,
@@ -343,14 +380,15 @@ def _scratch_warehouse(spark: SparkSession, tag: str):
     return Warehouse(spark, f"{checkpoint_root(spark)}/{tag}-{uuid.uuid4().hex}")
 
 
-def pipeline_two_runs(spark: SparkSession, sf_dir: str):
+def pipeline_two_runs(spark: SparkSession, sf_dir: str, incremental: bool = False):
     """Run 1 sees orders before 1998, run 2 all orders; a fresh warehouse in the checkpoint folder."""
     from .pipeline import run, tpch_feeds
 
     wh = _scratch_warehouse(spark, "pipeline")
-    run(spark, wh, tpch_feeds(spark, sf_dir, until=PIPELINE_SPLIT), RUN1, "run1", lookback=HISTORY)
+    run(spark, wh, tpch_feeds(spark, sf_dir, until=PIPELINE_SPLIT), RUN1, "run1", lookback=HISTORY,
+        incremental=incremental)
     run(spark, wh, tpch_feeds(spark, sf_dir), RUN1 + _dt.timedelta(days=1), "run2",
-        lookback=HISTORY)
+        lookback=HISTORY, incremental=incremental)
     return wh
 
 
@@ -427,8 +465,83 @@ def q_pipeline_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entry 1 (R1-R5, Q1-Q5, I1-I4 end to end): the run log after two daily runs."""
     wh = pipeline_two_runs(spark, sf_dir)
     return wh.read(S.ETL_RUN_LOG.name).select(
-        "pipeline_name", "dag_id", "run_id", "status", "error_message", "stg_repos_rows",
-        "stg_commits_rows", "dim_repository_rows", "fact_commits_rows")
+        "pipeline_name", "dag_id", "run_id", "status", "error_message", *METRICS)
+
+
+def q_pipeline_delta_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entry 1 in delta mode (L10, R4): the same log, with counts carried instead of scanned."""
+    wh = pipeline_two_runs(spark, sf_dir, incremental=True)
+    return wh.read(S.ETL_RUN_LOG.name).select(
+        "pipeline_name", "dag_id", "run_id", "status", "error_message", *METRICS)
+
+
+def q_pipeline_delta_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 + L10: three delta runs stage one organisation each, NATION_19, NATION_11, NATION_19; the
+    repositories of NATION_11 land in the first run only and are staged in the second."""
+    from .pipeline import run, tpch_feeds
+
+    wh = _scratch_warehouse(spark, "scopes")
+    feeds = tpch_feeds(spark, sf_dir)
+    rest = replace(feeds, repos=feeds.repos.where("org_or_user <> 'NATION_11'"))
+    for i, (scope, given) in enumerate((("NATION_19", feeds), ("NATION_11", rest), ("NATION_19", rest))):
+        # what follows the dimension does not depend on the scope
+        run(spark, wh, given, RUN1 + _dt.timedelta(days=i), f"run{i}", scope=scope, incremental=True,
+            fail_at="extract_commits_to_raw", raise_on_failure=False)
+    return wh.read(S.DIM_REPOSITORY.name).select("repo_id", "full_name", "owner_login", "is_current")
+
+
+def _fact_in_two_loads(spark: SparkSession, sf_dir: str):
+    """A warehouse whose fact took the orders in two change sets: those before 1998 dated a year early and
+    given to the customer before, then all of them as they are.  Yields the warehouse after each."""
+    from ..operators.rollup import BEFORE
+
+    wh = _scratch_warehouse(spark, "loads")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("sha"), F.col("o_custkey").alias("repo_id"),
+        F.col("o_orderdate").cast("timestamp").alias("committed_at"))
+    early = orders.where(F.col("committed_at") < F.lit(PIPELINE_SPLIT)).withColumns({
+        "repo_id": F.col("repo_id") - 1, "committed_at": F.col("committed_at") - F.expr("interval 1 year")})
+    for source in (early, orders):
+        wh.append_changes(S.FACT_COMMITS.name, upsert(
+            wh.read(S.FACT_COMMITS.name), source, ["sha"], ["repo_id", "committed_at"],
+            on_insert={"load_dts": F.lit(RUN1)}, surrogate_key="commit_key", changes_only=True, before=BEFORE))
+        yield wh
+
+
+def q_activity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 kept up from change rows: commits per repository and month after two loads, the second of which
+    moves every row of the first to another repository and month."""
+    from ..operators.rollup import advance_by_month, monthly_activity
+
+    for wh in _fact_in_two_loads(spark, sf_dir):
+        advance_by_month(wh)
+    cust = table(spark, sf_dir, "customer")
+    missing = [f.name for f in S.DIM_REPOSITORY.schema.fields if f.name not in ("repo_id", "full_name")]
+    values = {"repo_key": F.col("c_custkey"), "name": F.col("c_name"), "owner_login": F.lit(""),
+              "is_private": F.lit(False), "effective_from": F.lit(RUN1), "is_current": F.lit(True)}
+    wh.replace(S.DIM_REPOSITORY.name, cust.select(
+        F.col("c_custkey").alias("repo_id"), F.col("c_name").alias("full_name"),
+        *[values.get(c, F.lit(None)).cast(S.DIM_REPOSITORY.schema[c].dataType).alias(c) for c in missing]))
+    return to_ntz(monthly_activity(wh))
+
+
+def q_dq_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 + Q3 from the fact's summary after two loads: customers with a negative balance are missing in the
+    dimension, and the marks are the newest orders that are not pending, a day later."""
+    from ..operators.rollup import advance_by_repo, repo_facts
+
+    for wh in _fact_in_two_loads(spark, sf_dir):
+        advance_by_repo(wh)
+    cust = table(spark, sf_dir, "customer")
+    dim = cust.where(F.col("c_acctbal") >= 0)
+    marks = (table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("F", "O"))
+             .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+             .groupBy(F.col("c_name").alias("entity_name"))
+             .agg((F.max("o_orderdate") + F.expr("interval 1 day")).cast("timestamp").alias("watermark_ts"))
+             .withColumn("pipeline_name", F.lit(S.MARKS_PIPELINE)))
+    facts = repo_facts(wh)
+    return dq_foreign_key(facts, dim, "repo_id", "c_custkey", weight="n").unionByName(
+        dq_watermark_not_ahead(marks, dim, facts, dim_name_col="c_name", dim_id_col="c_custkey"))
 
 
 def q_pipeline_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -480,6 +593,10 @@ QUERIES.update({
     "stream_marks": q_stream_marks,
     "pipeline_run_log": q_pipeline_run_log,
     "pipeline_marks": q_pipeline_marks,
+    "pipeline_delta_run_log": q_pipeline_delta_run_log,
+    "pipeline_delta_scopes": q_pipeline_delta_scopes,
+    "activity_rollup": q_activity_rollup,
+    "dq_delta": q_dq_delta,
     "pipeline_delta_after_failure": q_pipeline_delta_after_failure,
     "pack_chunks": q_pack_chunks,
     "dq_results": q_dq_results,

@@ -4,8 +4,11 @@ The reference lands pages of a REST API.  Here the source of records is a Spark
 warehouse can be driven from any input the cluster can read.  This module maps the driver's TPC-H-like
 tables onto the API record shapes the loaders parse (``schemas.REPO_FIELDS`` / ``COMMIT_FIELDS``):
 
-* ``customer`` -> repositories: ``id`` = c_custkey, ``full_name``/``name`` = c_name,
-  ``owner.login`` = nation name, ``description`` = market segment, ``pushed_at`` = newest order date;
+* ``customer`` -> repositories: ``id`` = c_custkey, ``full_name``/``name`` = c_name, ``owner.login`` = nation
+  name, ``description`` = market segment, ``private`` and ``default_branch`` from the balance (``private`` is
+  missing below 1,000); from the customer's orders ``created_at`` = oldest, ``pushed_at`` = newest,
+  ``updated_at`` = an hour later, ``language`` = priority of the newest, counts of all (stars), finished
+  (forks) and other orders (issues);
 * ``orders`` -> commits of the customer's repository: ``sha`` = o_orderkey as text,
   ``commit.author.date`` = o_orderdate, ``commit.message`` = priority, ``author.login`` = status.
 """
@@ -22,7 +25,9 @@ from .raw import CHUNK_SIZE, pack_batches
 def repo_records(customer: DataFrame, nation: DataFrame, orders: DataFrame) -> DataFrame:
     """``(org_or_user, repo_id, rec)``: one API repository object per customer."""
     last = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.max("o_orderdate").alias("_pushed"), F.count(F.lit(1)).alias("_n"))
+        F.min("o_orderdate").alias("_created"), F.max("o_orderdate").alias("_pushed"),
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("o_orderstatus") == "F").alias("_finished"),
+        F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("_priority"))
     nat = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     c = (customer.join(nat, "c_nationkey", "left")
                  .join(last, "c_custkey", "left"))
@@ -31,17 +36,18 @@ def repo_records(customer: DataFrame, nation: DataFrame, orders: DataFrame) -> D
         F.col("c_name").alias("full_name"),
         F.col("c_name").alias("name"),
         F.struct(F.col("n_name").alias("login")).alias("owner"),
-        F.lit(False).alias("private"),
-        F.lit(None).cast("string").alias("html_url"),
+        F.when(F.col("c_acctbal") < 0, F.lit(True)).when(F.col("c_acctbal") >= 1000, F.lit(False)).alias("private"),
+        F.concat(F.lit("https://example.com/"), "c_name").alias("html_url"),
         F.col("c_mktsegment").alias("description"),
-        F.lit(None).cast("string").alias("language"),
-        F.lit("main").alias("default_branch"),
-        F.lit(None).cast("string").alias("created_at"),
-        F.lit(None).cast("string").alias("updated_at"),
+        F.col("_priority").alias("language"),
+        F.when(F.col("c_acctbal") < 0, "trunk").otherwise("main").alias("default_branch"),
+        iso_utc("_created").alias("created_at"),
+        iso_utc(F.col("_pushed") + F.expr("INTERVAL 1 HOUR")).alias("updated_at"),
         iso_utc("_pushed").alias("pushed_at"),
         F.coalesce(F.col("_n"), F.lit(0)).cast("int").alias("stargazers_count"),
-        F.lit(0).alias("forks_count"),
-        F.lit(0).alias("open_issues_count"),
+        F.coalesce(F.col("_finished"), F.lit(0)).cast("int").alias("forks_count"),
+        (F.coalesce(F.col("_n"), F.lit(0)) - F.coalesce(F.col("_finished"), F.lit(0))).cast("int")
+         .alias("open_issues_count"),
     )
     return c.select(F.col("n_name").alias("org_or_user"), F.col("c_custkey").alias("repo_id"),
                     rec.alias("rec"))
