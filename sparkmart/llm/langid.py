@@ -172,7 +172,8 @@ def learn(docs: DataFrame, *, max_per_language: int = MAX_PER_LANGUAGE,
 
 
 def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` of the whole text, in columns of a struct ``_lang``."""
+    """Rows of two structs: ``row``, the columns of ``docs`` as they are, and ``_lang``, the whole text's
+    ``lang_pred`` and ``score``; so no column of ``docs`` can clash."""
     held = docs.sparkSession.sparkContext.broadcast((model.languages, model.idf, model.weights))
 
     @F.pandas_udf(T.StructType([T.StructField("lang_pred", T.StringType()),
@@ -183,7 +184,8 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFr
             got = [fitted.predict(t) for t in series]
             yield pd.DataFrame(got, columns=["lang_pred", "score"])
 
-    return docs.withColumn("_lang", predict(F.col(text_col)))
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.select("row", predict(F.col("row")[text_col]).alias("_lang"))
 
 
 def predictions(docs: DataFrame, *, max_per_language: int = MAX_PER_LANGUAGE,
@@ -194,7 +196,7 @@ def predictions(docs: DataFrame, *, max_per_language: int = MAX_PER_LANGUAGE,
                   lang_col=lang_col)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return identify(rows, model).select(
-        F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"),
+        F.col("row.id").alias(id_col), held_out(F.col("row.id")).alias("held_out"),
         F.col("_lang.lang_pred").alias("lang_pred"), F.col("_lang.score").alias("score"))
 
 
@@ -204,4 +206,4 @@ def identified(docs: DataFrame, *, min_score: float = 0.5, **columns) -> DataFra
     text_col = columns.get("text_col", "text")
     found = identify(docs, model, text_col=text_col)
     return found.where((F.col("_lang.lang_pred") != UNKNOWN)
-                       & (F.col("_lang.score") >= min_score)).select(docs.columns)
+                       & (F.col("_lang.score") >= min_score)).select("row.*")

@@ -20,7 +20,7 @@ BPE file are merge ranks and no log probabilities.  A character in no piece beco
 A space is U+2581 in pieces, and a text starts with one more; U+2581 itself becomes bytes, so decoding
 gives back exactly the text.  No piece of the file holds a space after something else, a line end, or
 a mark or digit after a letter, so the parts of a text between such places are independent, and the
-pieces of a frequent part are kept (``CACHE`` parts a task).  Files with such pieces have larger parts.
+pieces of a frequent part are kept (``CACHE`` parts a worker).  Files with such pieces have larger parts.
 
 Cases: null and empty texts have no pieces; repeated rows and ids and null ids each keep their row;
 further columns are ignored; no rows give no rows.
@@ -31,10 +31,12 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,6 +159,18 @@ class Lattice:
                 self.cache[s] = got
         return got
 
+    def whole(self, s: str) -> list[int]:
+        """Ids of the pieces of a whole marked text."""
+        parts, cache, long = self.words.findall(s), self.cache, {}
+        if len(cache) >= CACHE:
+            cache.clear()
+        for part in dict.fromkeys(parts):
+            if part not in cache:
+                best, back = self.reach(part, 0, len(part), 0)
+                (cache if len(part) <= 64 else long)[part] = best[-1], tuple(self.path(part, back, 0, len(part)))
+        known = cache | long if long else cache
+        return list(chain.from_iterable([known[part][1] for part in parts]))
+
     def chunk(self, body: str, n: int, offset: int) -> tuple[list[tuple[int, int]], int, int]:
         """Word spans of a chunk of ``n`` characters and a look ahead, and which of them, counted from
         the first and after the last, lie whole inside the chunk."""
@@ -295,6 +309,19 @@ def _widths(lattice: Lattice) -> np.ndarray:
     return out
 
 
+_LATTICES: dict[str, Lattice] = {}
+
+
+def worker_lattice(name: str, held: Broadcast) -> Lattice:
+    """The worker's lattice: tasks of one Python worker share it and the words it has met."""
+    made = _LATTICES.get(name)
+    if made is None:
+        _LATTICES.clear()
+        made = _LATTICES[name] = Lattice(*held.value)
+        made.widths = _widths(made)
+    return made
+
+
 def encode(docs: DataFrame, model_path: str = MODEL, *, chunk: int = CHUNK, fan: int = FAN,
            with_ids: bool = True, by_chunk: bool = False, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
@@ -303,18 +330,17 @@ def encode(docs: DataFrame, model_path: str = MODEL, *, chunk: int = CHUNK, fan:
     ``digest`` sums a hash of place and id over all pieces, modulo 2^40; ``round_trip`` says whether
     decoding the ids gives the text.  The ids of a long text come as one array at the end; with
     ``by_chunk`` each chunk is a row of its own, so that no row outgrows a chunk.  Such rows also have
-    ``row``, which tells long texts of one id apart and is null for short texts, and ``chunk`` from 0;
-    the ids of a text are those of its chunks in order.
+    ``row``, which tells the texts of one id apart, and ``chunk`` from 0 (0 alone for a short text); the ids of
+    a text are those of its chunks in order.
     """
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(load_pieces(model_path))
 
     def lattice() -> Lattice:
-        made = Lattice(*held.value)
-        made.widths = _widths(made)
-        return made
+        return worker_lattice(model_path, held)
 
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                       F.monotonically_increasing_id().alias("row"))
     id_field = T.StructField("id", rows.schema["id"].dataType)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,21 +349,20 @@ def encode(docs: DataFrame, model_path: str = MODEL, *, chunk: int = CHUNK, fan:
             got, ids = [], []
             for text in batch.column("text"):
                 s = marked(text.as_py())
-                found = made.trace(s, len(s), 0, 0, 0)
+                found = made.whole(s)
                 got.append(_summary(made, found, s, 0))
                 ids.append(np.array(found, np.int32) if with_ids else None)
             n, digest, same = zip(*got) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.int64()),
-                pa.array(same, pa.bool_()), pa.array(ids, pa.list_(pa.int32()))],
-                names=["id", "n_pieces", "digest", "round_trip", "ids"])
+                pa.array(same, pa.bool_()), pa.array(ids, pa.list_(pa.int32())), batch.column("row")],
+                names=["id", "n_pieces", "digest", "round_trip", "ids", "row"])
 
-    short = rows.where(F.char_length("text") < chunk).mapInArrow(whole, T.StructType([id_field, *_RESULT]))
-    if by_chunk:
-        short = short.withColumn("row", F.lit(None).cast("long")).withColumn("chunk", F.lit(0).cast("long"))
+    short = rows.where(F.char_length("text") < chunk).mapInArrow(whole, T.StructType([
+        id_field, *_RESULT, T.StructField("row", T.LongType())]))
+    short = short.withColumn("chunk", F.lit(0).cast("long")) if by_chunk else short.drop("row")
 
-    giants = store(rows.where(F.char_length("text") >= chunk)
-                   .withColumn("row", F.monotonically_increasing_id()), "pieces-long-texts")
+    giants = store(rows.where(F.char_length("text") >= chunk), "pieces-long-texts")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = lattice()

@@ -164,7 +164,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, per_grade: int = PER_GRADE, id_
 
 def graded(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD,
            text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct ``_tox`` of grade, severity (expected), p_toxic and toxic."""
+    """Rows of two structs: ``row``, the columns of ``docs`` as they are, and ``_tox``: grade, severity
+    (expected), p_toxic and toxic; so no column of ``docs`` can clash."""
     held = docs.sparkSession.sparkContext.broadcast((model.weights, model.thetas))
 
     @F.pandas_udf("grade int, severity double, p_toxic double, toxic boolean")
@@ -179,7 +180,8 @@ def graded(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD,
                                 "severity": p @ np.arange(p.shape[1]), "p_toxic": bad,
                                 "toxic": bad >= threshold})
 
-    return docs.withColumn("_tox", predict(F.col(text_col)))
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.select("row", predict(F.col("row")[text_col]).alias("_tox"))
 
 
 def severities(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -187,7 +189,7 @@ def severities(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     model = learn(docs, labels, **options)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return graded(rows, model).select(F.col("id").alias(id_col), "_tox.grade", "_tox.severity",
+    return graded(rows, model).select(F.col("row.id").alias(id_col), "_tox.grade", "_tox.severity",
                                       "_tox.p_toxic", "_tox.toxic")
 
 
@@ -195,4 +197,4 @@ def not_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose text is not toxic."""
     model = learn(docs, labels, **options)
     found = graded(docs, model, text_col=options.get("text_col", "text"))
-    return found.where(~F.col("_tox.toxic")).select(docs.columns)
+    return found.where(~F.col("_tox.toxic")).select("row.*")

@@ -4,6 +4,8 @@ import zlib
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from sparkmart.llm import langid
 from sparkmart.llm.ngrams import counts
 from sparkmart.llm.queries import op3_langid
@@ -66,6 +68,9 @@ def test_filter_keeps_rows_and_columns(spark):
     df = spark.createDataFrame(corpus() + [(700, "...", "xx", 0.0, "k")], COLUMNS)
     kept = langid.identified(df)
     assert kept.columns == df.columns and kept.count() == 120
+    clashing = df.withColumn("_lang", F.col("doc_id") + 1).withColumn("row", F.lit("r"))
+    got = {tuple(r) for r in langid.identified(clashing).collect()}
+    assert got == {tuple(r) for r in clashing.where("text <> '...'").collect()} and len(got) == 120
 
 
 def test_long_texts_are_counted_in_pieces(monkeypatch):

@@ -138,6 +138,6 @@ def test_ids_by_chunk(spark, lattice):
     assert max(len(r.ids) for r in rows) <= 4 * 64 and all(r.round_trip for r in rows)
     texts = {}
     for k, r in enumerate(sorted(rows, key=lambda r: r.chunk)):
-        texts.setdefault((r.doc_id, k if r.row is None else f"row {r.row}"), []).extend(r.ids)
+        texts.setdefault((r.doc_id, r.row), []).extend(r.ids)
     want = [(i, lattice.trace(s := S.marked(t or ""), len(s), 0, 0, 0)) for i, t in ROWS]
     assert sorted(((i, ids) for (i, _), ids in texts.items()), key=str) == sorted(want, key=str)

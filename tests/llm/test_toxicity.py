@@ -2,6 +2,8 @@
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from sparkmart.llm import toxicity
 from sparkmart.llm.queries import op5_toxicity
 
@@ -79,3 +81,6 @@ def test_filter_keeps_rows_and_columns(spark):
     kept = toxicity.not_toxic(df, spark.createDataFrame(labels, LABELS))
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(400) if i % 4]
+    clashing = df.withColumn("_tox", F.col("doc_id") + 1).withColumn("row", F.lit("r"))
+    got = toxicity.not_toxic(clashing, spark.createDataFrame(labels, LABELS)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, clashing.where("doc_id % 4 <> 0").collect()))
