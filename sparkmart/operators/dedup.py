@@ -30,10 +30,10 @@ def latest_batch(raw: DataFrame, scope_cols: Sequence[str], ts_col: str = "inges
                  scope_filter: Column | None = None) -> DataFrame:
     """Rows of the newest batch per scope, all of its chunks (``ORDER BY ingested_at DESC LIMIT 1``).
 
-    Computed as ``max(ts)`` per scope (partial aggregation, one small row per scope) and a semi join
-    back, so heavy payload rows of older batches are dropped without ever being sorted or shuffled
-    with their payloads.  ``scope_filter`` (e.g. ``col('org_or_user') == 'apache'``) is applied first
-    and reaches the parquet scan.
+    Computed as ``max(ts)`` per scope (partial aggregation, one small row per scope) and a semi join back,
+    without a sort.  While the scopes fit a broadcast, payload rows of older batches are dropped where they are
+    scanned; beyond that the semi join shuffles the payload rows by scope and time.  ``scope_filter`` (e.g.
+    ``col('org_or_user') == 'apache'``) is applied first and reaches the parquet scan.
     """
     if scope_filter is not None:
         raw = raw.where(scope_filter)
