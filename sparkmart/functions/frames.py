@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,3 +20,10 @@ def to_ntz(df: DataFrame) -> DataFrame:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
+
+def row_salt(df: DataFrame, salts: int | Column) -> Column:
+    """A number from 0 to ``salts`` - 1 by the row's values (numbers, texts, times), the same in every run
+    of a task."""
+    plain = [c for c, t in df.dtypes if not t.startswith(("array", "map", "struct", "variant"))]
+    n = salts if isinstance(salts, Column) else F.lit(salts)
+    return F.pmod(F.xxhash64(*plain), n).cast("int")

@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.frames import row_salt
+
+FILTER_BITS = 1 << 27  # 16 MB
+BATCH_SALTS = 16
+
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
@@ -30,15 +35,30 @@ def latest_batch(raw: DataFrame, scope_cols: Sequence[str], ts_col: str = "inges
                  scope_filter: Column | None = None) -> DataFrame:
     """Rows of the newest batch per scope, all of its chunks (``ORDER BY ingested_at DESC LIMIT 1``).
 
-    Computed as ``max(ts)`` per scope (partial aggregation, one small row per scope) and a semi join back,
-    without a sort.  While the scopes fit a broadcast, payload rows of older batches are dropped where they are
-    scanned; beyond that the semi join shuffles the payload rows by scope and time.  ``scope_filter`` (e.g.
-    ``col('org_or_user') == 'apache'``) is applied first and reaches the parquet scan.
+    ``max(ts)`` per scope is read from the scope and time columns alone (partial aggregation, one small row
+    per scope).  The hashes of these rows set bits in a map of ``FILTER_BITS`` bits, broadcast in pieces of
+    4 KB (16 MB at most, however many scopes there are).  A payload row whose bit is not set is dropped where
+    it is scanned: only newest batches, and of older ones a share of about scopes / ``FILTER_BITS``, go on to
+    the exact join, which deals the rows of one batch to ``BATCH_SALTS`` tasks.  ``scope_filter`` (e.g.
+    ``col('org_or_user') == 'apache'``) is applied first and reaches the parquet scan.  Rows with a NULL
+    scope or time are in no batch.
     """
     if scope_filter is not None:
         raw = raw.where(scope_filter)
+    keys = [*scope_cols, ts_col]
     newest = raw.groupBy(*scope_cols).agg(F.max(ts_col).alias(ts_col))
-    return raw.join(newest, list(scope_cols) + [ts_col], "left_semi")
+    place = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    bits = (newest.groupBy(F.bitmap_bucket_number(place).alias("_bucket"))
+                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    near = (raw.withColumn("_bucket", F.bitmap_bucket_number(place))
+               .join(F.broadcast(bits), "_bucket")
+               .where(F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1)
+               .withColumn("_salt", row_salt(raw, BATCH_SALTS)))
+    # an inner join on unique keys: a semi join would be pushed below the filter by bits
+    dealt = newest.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(BATCH_SALTS - 1))))
+    return near.join(dealt, [*keys, "_salt"]).select(*raw.columns)
 
 
 def top_k(df: DataFrame, order_by: Sequence[str | Column], k: int) -> DataFrame:

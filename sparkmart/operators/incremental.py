@@ -13,10 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.frames import row_salt
 from ..sources.raw import as_of_col
 from .dedup import top_k
 from .upsert import upsert
 
+SALTS_A_TASK = 8  # parts of a mean task's rows into which an entity of more rows is dealt
+
 
 def default_since(as_of, lookback: str = S.DEFAULT_LOOKBACK) -> Column:
     """``now`` truncated to the second, minus the look-back (7 days)."""
@@ -54,12 +57,30 @@ def filter_incremental(
     Inclusive by default: the mark's own instant is re-read (at-least-once); the keyed upsert absorbs
     the re-read.  The marks side has one row per entity; the join strategy is left to AQE, which knows
     its size at run time.
+
+    Entities with more records than a mean task are counted first, on the entity column alone.  With P
+    shuffle partitions there are fewer than P of them, so this list is broadcast.  The records of such an
+    entity are dealt to as many salts as make each a ``1 / SALTS_A_TASK`` of a mean task, and its mark is
+    repeated for each salt (fewer than P * (SALTS_A_TASK + 1) rows in all).  No task then gets an entity
+    whole.
     """
-    s = since.select(F.col(entity_col).alias("_ent"), F.col("since").alias("_since"))
-    j = records.join(s, F.col(entity_col) == F.col("_ent"), "inner")
+    spark = records.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = records.groupBy(F.col(entity_col).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = (counts.where(F.col("_hot").isNotNull() & (F.col("_n") * tasks > total))
+                 .select("_hot", F.ceil(F.col("_n") * tasks * SALTS_A_TASK / total).cast("int").alias("_salts")))
+    s = (since.select(F.col(entity_col).alias("_ent"), F.col("since").alias("_since"))
+              .join(F.broadcast(hot), F.col("_ent") == F.col("_hot"), "left")
+              .select("_ent", "_since", F.explode(F.sequence(
+                  F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_part")))
+    dealt = (records.join(F.broadcast(hot), F.col(entity_col) == F.col("_hot"), "left")
+                    .withColumn("_salt", F.when(F.col("_salts").isNull(), 0)
+                                .otherwise(row_salt(records, F.col("_salts")))))
+    j = dealt.join(s, (F.col(entity_col) == F.col("_ent")) & (F.col("_salt") == F.col("_part")), "inner")
     ts = F.col(ts_col).cast("timestamp")
     cond = ts >= F.col("_since") if inclusive else ts > F.col("_since")
-    return j.where(cond).drop("_ent", "_since")
+    return j.where(cond).select(*records.columns)
 
 
 def cap_oldest(records: DataFrame, *, entity_col: str, ts_col: str, cap: int,

@@ -64,11 +64,12 @@ def test_window_group_limit_in_plan(spark):
     assert sorted(r.id for r in out.collect()) == [93, 94, 95, 96, 97, 98, 99]
 
 
-def test_latest_batch_uses_semi_join(spark):
+def test_latest_batch_filters_by_bits_and_never_sorts_payloads_by_scope(spark):
     df = spark.range(20).select((F.col("id") % 3).alias("s"), F.col("id").cast("timestamp")
                                 .alias("ingested_at"))
     out = latest_batch(df, ["s"])
-    assert "LeftSemi" in _explain(out)
+    plan = _explain(out)
+    assert "BroadcastHashJoin" in plan and "bitmap_construct_agg" in plan and "Window" not in plan
     assert out.count() == 3
 
 

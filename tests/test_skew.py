@@ -54,3 +54,76 @@ def test_large_cap_keeps_partial_limit(spark):
     out = cap_oldest(df, entity_col="k", ts_col="id", cap=5000)
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
     assert out.where("k = 0").count() == 5000
+
+
+def _without_broadcasts(spark, adaptive="true"):
+    """Conf values to restore later; joins shuffle unless a broadcast is asked for."""
+    was = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.enabled") if spark.conf.get(k, None)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    return was
+
+
+def _restore(spark, was):
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+        spark.conf.set(k, was[k]) if k in was else spark.conf.unset(k)
+
+
+def test_hot_entity_of_the_incremental_read_is_split(spark):
+    from sparkmart.operators.incremental import filter_incremental
+
+    day = F.timestamp_seconds(F.col("id") * 60)
+    records = _skewed(spark).select(F.concat(F.lit("e"), "k").alias("e"), "id", day.alias("t"))
+    records = records.union(spark.sql("select cast(null as string), 7L, timestamp_seconds(60)"))
+    since = records.select("e").distinct().where("e is not null and e != 'e1'").select(
+        "e", F.when(F.col("e") == "e0", F.timestamp_seconds(F.lit(60 * 600))).otherwise(
+            F.timestamp_seconds(F.lit(0))).alias("since"))
+    was = _without_broadcasts(spark, "false")
+    try:
+        out = filter_incremental(records, since, entity_col="e", ts_col="t")
+        assert out.columns == ["e", "id", "t"]
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2], sizes
+        got = {r.id for r in out.collect()}
+    finally:
+        _restore(spark, was)
+    want = {i for i in range(N) if (i % 3 == 0 and i >= 600) or (i % 3 and i % 1000 + 1 != 1)}
+    assert got == want and sum(sizes) == len(want)
+
+
+def test_newest_batch_drops_payloads_in_the_scan_and_splits_a_hot_batch(spark):
+    from sparkmart.operators.dedup import latest_batch
+
+    # scope 0 holds a third of the rows, in one newest batch of 5,000 chunks
+    raw = _skewed(spark).select("k", F.when(F.col("k") == 0, F.col("id") >= N // 2).otherwise(
+        F.col("id") > N - 1500).cast("int").alias("ts"), "id", F.repeat(F.lit("p"), 50).alias("payload"))
+    was = _without_broadcasts(spark, "false")
+    try:
+        out = latest_batch(raw, ["k"], "ts")
+        text = out._jdf.queryExecution().executedPlan().toString()
+        join = text.index("SortMergeJoin")
+        assert join < text.index("Exchange hashpartitioning", join) < text.index("BroadcastHashJoin")
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        got = {r.id for r in out.collect()}
+    finally:
+        _restore(spark, was)
+    rows = [(r.k, r.ts, r.id) for r in raw.select("k", "ts", "id").collect()]
+    newest = {}
+    for k, t, _ in rows:
+        newest[k] = max(t, newest.get(k, t))
+    assert got == {i for k, t, i in rows if newest[k] == t} and sum(sizes) == len(got)
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2], sizes
+
+
+def test_newest_batch_with_colliding_bits_nulls_and_no_rows(spark, monkeypatch):
+    from sparkmart.operators import dedup
+
+    rows = [(i % 300, i // 300, i) for i in range(1200)] + [(None, 9, -1), (5, None, -2)]
+    df = spark.createDataFrame(rows, "k long, ts long, id long")
+    want = [i for k, t, i in rows if k is not None and t == 3]
+    for bits in (1, 64, 1 << 27):
+        monkeypatch.setattr(dedup, "FILTER_BITS", bits)
+        assert sorted(r.id for r in dedup.latest_batch(df, ["k"], "ts").collect()) == want
+    assert dedup.latest_batch(df.where("id > 5000"), ["k"], "ts").count() == 0
