@@ -1,7 +1,8 @@
 """Approximate nearest neighbours over learned partitions (operator 4).
 
-1. From a bounded sample (``SAMPLE`` vectors, the first in the order of a hash of their id): the exact
-   neighbour graph, cut into ``PARTS`` equal parts by recursive spectral bisection at the median.
+1. From a bounded sample (64 vectors a part, ``SAMPLE`` at least, the first in the order of a hash of
+   their id): the exact neighbour graph, cut into equal parts by recursive spectral bisection at the
+   median.  Parts grow with the table, one per ``ROWS_A_PART`` rows, from ``PARTS`` to ``MAX_PARTS``.
 2. A small classifier (one hidden layer) learns, for a vector, the shares of its graph neighbours in
    each part.  The number of parts to search is the smallest that finds ``AIM`` of the neighbours of
    sample vectors kept out of the training; nearest neighbours are closer in a larger table, so this
@@ -13,10 +14,13 @@ Parts are searched in blocks of candidates and of queries, so no task holds a wh
 vectors, only the ``k + 1`` smallest ids can be among a query's ``k`` nearest, so the others are left
 out of the blocks; this is exact.
 
-Cases: vectors that are null, zero, of another length than the commonest one, or with null or
-non-finite components take no part, nor do null ids; of rows with one id, the smallest vector counts;
-tables with fewer vectors than ``LEAST`` have one part, which makes the search exact; no rows give no
-rows; further columns are ignored.
+Cases: vectors that are null, empty, zero, or with null or non-finite components take no part, nor do
+null ids.  Rows equal in id and vector count once.  Rows with one id and different vectors are all
+candidates, and each is a query of its own if its id is one, told apart by ``query_hash``; a query's own
+row alone is no candidate for it.  Vectors are compared within their length: the index covers the
+commonest length, the others are searched whole, in blocks.  Components of any size are scaled by a power
+of two before they are squared.  Tables with fewer vectors than ``LEAST`` have one part, which makes the
+search exact; no rows give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,9 +36,11 @@ from pyspark.sql import Window
 
 from .common import store
 
-SAMPLE = 4096
+SAMPLE = 4096  # 64 * MAX_PARTS at most
 LEAST = 512
 PARTS = 16
+MAX_PARTS = 256
+ROWS_A_PART = 4096
 NEIGHBOURS = 10
 HIDDEN = 64
 AIM = 0.95
@@ -58,10 +64,21 @@ def _scores(layers, x: np.ndarray) -> np.ndarray:
     return np.maximum(x @ a + b, 0) @ c + d
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times a power of two, so that the largest component is near 1 and no square overflows."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+
+
 def unit(v: np.ndarray) -> np.ndarray:
+    v = scaled(v)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
+def n_parts(rows: int) -> int:
+    """Parts for a table of so many rows: a power of two."""
+    return min(MAX_PARTS, max(PARTS, 1 << max(0, rows // ROWS_A_PART).bit_length()))
+
+
 def _nearest(x: np.ndarray, y: np.ndarray, k: int, own: bool) -> np.ndarray:
     """Places in y of the k nearest of each x, in blocks of rows."""
     found = []
@@ -148,18 +165,20 @@ def usable(vec: Column) -> Column:
 
 
 def search(vectors: DataFrame, *, every: int = 50, k: int = 5, sample: int = SAMPLE,
-           parts: int = PARTS, aim: float = AIM, block: int = BLOCK, id_col: str = "vec_id",
+           parts: int | None = None, aim: float = AIM, block: int = BLOCK, id_col: str = "vec_id",
            vec_col: str = "embedding") -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest found of each id divisible by ``every``."""
+    """``query_id, rank, vec_id, score, query_hash``: the ``k`` nearest found of each row whose id is
+    divisible by ``every``."""
     spark = vectors.sparkSession
-    rows = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-            .where(F.col("id").isNotNull() & usable(F.col("v")))
-            .groupBy("id").agg(F.min("v").alias("v")))
-    rows = store(rows.select("id", F.col("v").cast("array<double>").alias("v")), "ann-vectors")
-    common = (rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first())
-    if common is not None:
-        rows = rows.where(F.size("v") == common.d)
-    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).toPandas()
+    rows = (vectors.select(F.col(id_col).cast("long").alias("id"),
+                           F.col(vec_col).cast("array<double>").alias("v"))
+            .where(F.col("id").isNotNull() & usable(F.col("v"))).distinct())
+    rows = store(rows.withColumn("d", F.size("v")), "ann-vectors")
+    common = rows.groupBy("d").count().orderBy(F.desc("count"), "d").first()
+    length, total = (common.d, common["count"]) if common is not None else (0, 0)
+    parts = parts or n_parts(total)
+    drawn = (rows.where(F.col("d") == length).orderBy(F.xxhash64("id"), "id", "v")
+             .limit(max(sample, 64 * parts)).toPandas())
     index = learn(np.stack(drawn.v) if len(drawn) else np.zeros((0, 1)), parts=parts, aim=aim, k=k)
     held = spark.sparkContext.broadcast((index.layers, index.probes))
 
@@ -167,57 +186,64 @@ def search(vectors: DataFrame, *, every: int = 50, k: int = 5, sample: int = SAM
         @F.pandas_udf("array<int>")
         def route(v: pd.Series) -> pd.Series:
             layers, probes = held.value
-            if not len(v):
-                return pd.Series([], dtype=object)
-            return pd.Series(list(Index(layers, probes).parts(unit(np.stack(v)), n or probes)))
+            covered = v.map(len).to_numpy() == length
+            out = [[0]] * len(v)
+            if covered.any():
+                found = Index(layers, probes).parts(unit(np.stack(v[covered])), n or probes)
+                for at, chosen in zip(np.flatnonzero(covered), found):
+                    out[at] = chosen
+            return pd.Series(out)
 
         return route
 
     indexed = store(rows.withColumn("part", routed(1)("v")[0]), "ann-index")  # every vector
     queries = rows.where(F.col("id") % every == 0).select(
-        F.col("id").alias("qid"), F.col("v").alias("qv"), F.explode(routed(None)("v")).alias("part"))
+        "d", F.col("id").alias("qid"), F.col("v").alias("qv"), F.explode(routed(None)("v")).alias("part"))
     queries = store(queries, "ann-queries")
     first = Window.partitionBy("part", "v").orderBy("id")
     offered = indexed.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1)
-    offered = store(offered.select("part", "id", "v"), "ann-offered")
+    offered = store(offered.select("d", "part", "id", "v"), "ann-offered")
 
     def largest(df: DataFrame) -> int:
-        return df.groupBy("part").count().agg(F.max("count")).first()[0] or 0
+        return df.groupBy("d", "part").count().agg(F.max("count")).first()[0] or 0
 
     blocks, turns = -(-largest(offered) // block) or 1, -(-largest(queries) // block) or 1
     every_turn = F.explode(F.sequence(F.lit(0), F.lit(turns - 1)))
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    dealt_c = offered.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")) \
+    dealt_c = offered.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")) \
         .withColumn("turn", every_turn)
-    dealt_q = queries.withColumn("turn", F.pmod(F.xxhash64("qid"), F.lit(turns)).cast("int")) \
-        .withColumn("block", every_block)
+    dealt_q = queries.withColumn("turn", F.pmod(F.xxhash64("qid", "qv"), F.lit(turns)).cast("int")) \
+        .withColumn("query_hash", F.xxhash64("qv")).withColumn("block", every_block)
 
     def nearest(q: pa.Table, c: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if q.num_rows and c.num_rows:
-            qi, ci = q["qid"].to_numpy(), c["id"].to_numpy()
-            qv, cv = (np.asarray(t.combine_chunks().flatten()).reshape(len(t), -1)
+            qi, ci, qh = q["qid"].to_numpy(), c["id"].to_numpy(), q["query_hash"].to_numpy()
+            qo, co = (np.asarray(t.combine_chunks().flatten()).reshape(len(t), -1)
                       for t in (q["qv"], c["v"]))
+            qv, cv = scaled(qo), scaled(co)
             qn, cn = np.linalg.norm(qv, axis=1), np.linalg.norm(cv, axis=1)
             cu = cv / cn[:, None]
             for at in range(0, len(qv), 256):
                 near = (qv[at:at + 256] / qn[at:at + 256, None]) @ cu.T
                 for r in range(len(near)):
-                    s, own = near[r], qi[at + r]
-                    s[ci == own] = -2
+                    s, own = near[r], np.flatnonzero(ci == qi[at + r])
+                    own = own[(co[own] == qo[at + r]).all(axis=1)]
+                    s[own] = -2
                     least = np.partition(s, -k)[-k] if len(s) > k else -1.5
-                    some = np.flatnonzero((s >= least - 1e-9) & (ci != own))
+                    some = np.flatnonzero(s >= max(least - 1e-9, -1.5))
                     exact = np.einsum("ij,j->i", cv[some], qv[at + r]) / (cn[some] * qn[at + r])
                     best = np.lexsort((ci[some], -exact))[:k]
-                    out += [(own, int(ci[some[b]]), float(exact[b])) for b in best]
-        cols = list(zip(*out)) or [[], [], []]
+                    out += [(qi[at + r], int(ci[some[b]]), float(exact[b]), qh[at + r]) for b in best]
+        cols = list(zip(*out)) or [[], [], [], []]
         return pa.table({"query_id": pa.array(cols[0], pa.int64()),
                          "vec_id": pa.array(cols[1], pa.int64()),
-                         "score": pa.array(cols[2], pa.float64())})
+                         "score": pa.array(cols[2], pa.float64()),
+                         "query_hash": pa.array(cols[3], pa.int64())})
 
-    keys = ["part", "block", "turn"]
+    keys = ["d", "part", "block", "turn"]
     found = dealt_q.groupBy(*keys).cogroup(dealt_c.groupBy(*keys)).applyInArrow(
-        nearest, "query_id bigint, vec_id bigint, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        nearest, "query_id bigint, vec_id bigint, score double, query_hash bigint")
+    order = Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", "score", "query_hash"))

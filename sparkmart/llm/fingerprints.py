@@ -3,9 +3,9 @@
 A fingerprint holds, for each of ``PERMUTATIONS`` universal hash functions h -> (a h + b) mod 2^64
 (a odd), the smallest value over the text's five-word shingles, mixed and cut to 16 bits.  The minimum
 of n hashes is about 2^64 / n, so its own upper bits are nearly all zero in long texts; those of the
-mixed minimum are even at any length.  ``near_edited`` and ``near_next`` are the shares of equal whole
-minima, which estimate the Jaccard similarity of the shingle sets.  In the fingerprints, components of
-unequal minima agree by chance once in 2^16.  ``similar_pairs`` joins bands of the signatures in Spark
+mixed minimum are even at any length.  ``near_edited`` and ``near_next`` are the shares of equal components
+of two fingerprints, which estimate the Jaccard similarity of the shingle sets; components of unequal minima
+agree by chance once in 2^16.  ``similar_pairs`` joins bands of the signatures in Spark
 and verifies the Jaccard similarity of what meets.
 
 Cases: null and empty texts are the empty text, whose fingerprint is all ones (as of any text without
@@ -89,12 +89,12 @@ def _digest(ids: list, texts: list[str], following: str) -> pa.RecordBatch:
     """Result rows of consecutive documents; ``following`` comes after the last."""
     after = texts[1:] + [following]
     changed = [edited(t, f) for t, f in zip(texts, after)]
-    own = text_signatures(pa.array([*texts, following], pa.large_string()))
-    other = text_signatures(pa.array(changed, pa.large_string()))
+    own = short(text_signatures(pa.array([*texts, following], pa.large_string())))
+    other = short(text_signatures(pa.array(changed, pa.large_string())))
     return pa.RecordBatch.from_arrays([
         pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
         pa.array([hashlib.sha256(c.encode("utf-8", "surrogatepass")).hexdigest() for c in changed]),
-        _hex(short(own[:-1])), _hex(short(other)), pa.array((own[:-1] == other).mean(axis=1)),
+        _hex(own[:-1]), _hex(other), pa.array((own[:-1] == other).mean(axis=1)),
         pa.array((own[:-1] == own[1:]).mean(axis=1))], names=_OUT.names)
 
 

@@ -1,6 +1,6 @@
 """Variable-capacity best-fit packing of documents into training sequences (operator 6).
 
-A document's length is its number of tokens, runs of characters other than white space; documents
+A document's length is its number of tokens, runs of characters other than Unicode white space; documents
 longer than the largest permitted sequence are cut into pieces of that length and a rest.  Pieces are
 dealt by hash into groups of about ``GROUP`` pieces, and each group is packed on its own:
 
@@ -13,9 +13,9 @@ Only the last bins of a group are badly filled, so the waste of grouping is abou
 ``GROUP`` pieces, whatever the number of documents.
 
 Cases: a null or empty text, or one without words, has one piece of length 0 in no bin (null bin);
-repeated rows (and rows with one id and as many tokens) are counted first and each copy gets its own
-pieces and bins; null ids are packed like
-others; no rows give no rows; further columns are ignored.
+repeated rows are counted first and each copy gets its own pieces and bins, in blocks of ``COPIES`` dealt
+to tasks; different texts with one id are told apart by ``text_hash``; null ids are packed like others; no
+rows give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,11 +33,14 @@ from .common import store
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 32  # cost of a sequence besides its tokens
 GROUP = 4096
+COPIES = 4096  # copies of a repeated row that one task writes out
+# Unicode's White_Space (\s holds U+0009 to U+000D and U+0020).
+_TOKEN = r"[^\s\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
 
 
 def n_tokens(text: Column) -> Column:
     """Tokens of a text, counted without building them."""
-    return F.regexp_count(text, F.lit(r"\S+"))
+    return F.regexp_count(text, F.lit(_TOKEN))
 
 
 def pack(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES,
@@ -74,25 +77,30 @@ def pack(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES,
 
 
 def pieces(docs: DataFrame, largest: int, *, id_col: str, text_col: str) -> DataFrame:
-    """``id, n_tokens, copy, piece, start, length``: documents cut at multiples of ``largest`` tokens.
-
-    Rows with one id and one number of tokens are told apart by ``copy``.
+    """``id, n_tokens, text_hash, copy, piece, start, length``: documents cut at multiples of ``largest``
+    tokens.  Rows with one id and one text are told apart by ``copy``, from 1.
     """
+    row = ["id", "n_tokens", "text_hash"]
     sized = docs.select(F.col(id_col).alias("id"),
-                        F.coalesce(n_tokens(F.col(text_col)), F.lit(0)).alias("n_tokens"))
-    counted = sized.groupBy("id", "n_tokens").agg(F.count("*").alias("copies"))
-    return (counted.select("id", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-            .select("id", "n_tokens", "copy", F.posexplode(F.sequence(
+                        F.coalesce(n_tokens(F.col(text_col)), F.lit(0)).alias("n_tokens"),
+                        F.xxhash64(text_col).alias("text_hash"))
+    counted = sized.groupBy(*row).agg(F.count("*").alias("copies"))
+    blocks = counted.select(*row, "copies", F.explode(F.sequence(
+        F.lit(1).cast("long"), F.col("copies"), F.lit(COPIES).cast("long"))).alias("first"))
+    return (blocks.repartition(*row, "first")
+            .select(*row, F.explode(F.sequence("first", F.least(
+                F.col("copies"), F.col("first") + COPIES - 1))).alias("copy"))
+            .select(*row, "copy", F.posexplode(F.sequence(
                 F.lit(0), F.greatest(F.col("n_tokens") - 1, F.lit(0)), F.lit(largest))).alias("piece", "start"))
-            .select("id", "n_tokens", "copy", "piece", "start",
+            .select(*row, "copy", "piece", "start",
                     F.least(F.col("n_tokens") - F.col("start"), F.lit(largest)).alias("length")))
 
 
 def pack_documents(docs: DataFrame, *, capacities: tuple[int, ...] = CAPACITIES,
                    overhead: int = OVERHEAD, group: int = GROUP, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """One row per piece: ``id_col, n_tokens, copy, piece, start, length, bin_group, bin, capacity,
-    offset``.
+    """One row per piece: ``id_col, n_tokens, text_hash, copy, piece, start, length, bin_group, bin,
+    capacity, offset``.
 
     A bin is named by (bin_group, bin); ``offset`` is the place of the piece in its sequence.
     """
@@ -100,14 +108,14 @@ def pack_documents(docs: DataFrame, *, capacities: tuple[int, ...] = CAPACITIES,
     total = cut.where("length > 0").count()
     groups = max(1, -(-total // group))
     dealt = cut.where("length > 0").withColumn(
-        "bin_group", F.pmod(F.xxhash64("id", "n_tokens", "copy", "piece"), F.lit(groups)))
+        "bin_group", F.pmod(F.xxhash64("id", "n_tokens", "text_hash", "copy", "piece"), F.lit(groups)))
     schema = T.StructType([*dealt.schema, T.StructField("bin", T.LongType()),
                            T.StructField("capacity", T.IntegerType()),
                            T.StructField("offset", T.LongType())])
 
     def place(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("id", "ascending"), ("n_tokens", "ascending"),
-                               ("copy", "ascending"), ("piece", "ascending")])
+                               ("text_hash", "ascending"), ("copy", "ascending"), ("piece", "ascending")])
         bins, starts, sizes = pack(table["length"].to_numpy(), capacities, overhead)
         return (table.append_column("bin", pa.array(bins))
                 .append_column("capacity", pa.array(np.array(sizes, np.int32)[bins]))

@@ -76,6 +76,51 @@ def test_edge_rows(spark):
     assert got[0][1][1] == 0.0 and abs(got[50][0][1] - 2 ** -0.5) < 1e-12
 
 
+def test_every_row_of_a_repeated_id_is_a_candidate(spark):
+    rows = [(0, [1.0, 0.0]), (7, [-5.0, 1.0]), (7, [1.0, 0.01]), (7, [1.0, 0.01]), (8, [1.0, 0.5]),
+            (50, [0.0, 1.0]), (50, [0.0, -1.0])]
+    got = ann.search(spark.createDataFrame([(i, v, 0, "") for i, v in rows], SCHEMA)).collect()
+    first = sorted((r["rank"], r.vec_id) for r in got if r.query_id == 0)
+    assert [i for _, i in first] == [7, 8, 50, 50, 7]
+    sets = {}
+    for r in got:
+        sets.setdefault((r.query_id, r.query_hash), []).append((r["rank"], r.vec_id, round(r.score, 3)))
+    assert len(sets) == 3  # two queries share the id 50, each sees the other
+    assert sorted(sorted(s)[-1] for (q, _), s in sets.items() if q == 50) == [(5, 50, -1.0)] * 2
+
+
+def test_lengths_are_searched_apart_and_large_components_keep_their_score(spark):
+    rng = np.random.default_rng(8)
+    v, w = rng.standard_normal((600, 4)), rng.standard_normal((90, 3)) * 1e200
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(1000 + i, x.tolist()) for i, x in enumerate(w)]
+    got = found(ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=64))
+    want = brute(np.arange(1000, 1090), w / 1e200)
+    assert {q for q in got if q >= 1000} == set(want) and {q for q in got if q < 1000} == set(range(0, 600, 50))
+    for q in want:
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
+        assert all(abs(a - b) < 1e-12 for (_, a), (_, b) in zip(got[q], want[q]))
+    assert recall({q: r for q, r in got.items() if q < 1000}, brute(np.arange(600), v)) >= 0.9
+
+
+def test_parts_grow_with_the_rows():
+    assert [ann.n_parts(n) for n in (0, 10_000, 65_535, 65_536, 300_000, 10 ** 9)] == [16, 16, 16, 32, 128, 256]
+
+
+def test_a_large_clustered_table_scores_few_candidates(spark):
+    rng = np.random.default_rng(10)
+    n = 70_000
+    v = (rng.standard_normal((400, 32))[np.arange(n) % 400] * 2 + rng.standard_normal((n, 32))).astype("f4")
+    index = ann.learn(v[rng.permutation(n)[:ann.SAMPLE]], parts=ann.n_parts(n))
+    home = np.bincount(index.parts(ann.unit(v.astype(float)), 1)[:, 0], minlength=32)
+    probed = index.parts(ann.unit(v[::50].astype(float)), index.probes)
+    share = home[probed].sum(axis=1).mean() / n
+    import pandas as pd
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": v.tolist()}))
+    rate = recall(found(ann.search(df)), brute(np.arange(n), v))
+    print(f"70,000 rows: {index.probes} of 32 parts, {share:.2f} of the rows scored, recall {rate:.3f}")
+    assert rate >= 0.9 and share <= 0.25
+
+
 def test_no_rows_and_a_single_row(spark):
     assert ann.search(spark.createDataFrame([], SCHEMA)).collect() == []
     assert ann.search(spark.createDataFrame([(0, [1.0], 0, "")], SCHEMA)).collect() == []

@@ -5,10 +5,13 @@ import itertools
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from sparkmart.llm.fingerprints import fingerprint, similar_pairs
+from sparkmart.llm.fingerprints import SHINGLE_WORDS, _A, _B, edited, fingerprint, similar_pairs
 from sparkmart.llm.queries import op8_fingerprints
+from sparkmart.llm.text import mix, shingles
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,6 +37,19 @@ def expected(rows):
     return out
 
 
+def alike(a, b):
+    return sum(a[k:k + 4] == b[k:k + 4] for k in range(0, 256, 4)) / 64
+
+
+def plain_fingerprint(text):
+    """All hashes of all shingles, their minima, 16 mixed bits of each."""
+    h, _ = shingles(pa.array([text]), SHINGLE_WORDS)
+    if not len(h):
+        return "f" * 256
+    least = [min((int(x) * int(a) + int(b)) % 2 ** 64 for x in h) for a, b in zip(_A, _B)]
+    return "".join(f"{int(x) >> 48:04x}" for x in mix(np.array(least, np.uint64)))
+
+
 def check(df, rows):
     got = sorted(df.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.n_chars, r.edited_sha256))
     want = sorted(expected(rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
@@ -41,6 +57,7 @@ def check(df, rows):
     for r, w in zip(got, want):
         assert abs(r.near_edited - w[3]) < 0.3 and abs(r.near_next - w[4]) < 0.3
         assert len(r.fingerprint) == len(r.edited_fingerprint) == 256
+        assert r.near_edited == alike(r.fingerprint, r.edited_fingerprint)
     if len(got) > 50:
         assert abs(sum(r.near_edited - w[3] for r, w in zip(got, want)) / len(got)) < 0.02
 
@@ -51,6 +68,18 @@ def test_query_over_the_whole_table(spark):
     check(op8_fingerprints(spark, SF), rows)
 
 
+def test_every_fingerprint_is_recomputed(spark):
+    rows = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    assert len({i for i, _ in rows}) == len(rows)
+    got = {r.doc_id: r for r in op8_fingerprints(spark, SF).collect()}
+    for k, (i, text) in enumerate(rows):
+        j, following = rows[(k + 1) % len(rows)]
+        assert got[i].near_next == alike(got[i].fingerprint, got[j].fingerprint)
+        if len(text) < 20_000:
+            assert got[i].fingerprint == plain_fingerprint(text)
+            assert got[i].edited_fingerprint == plain_fingerprint(edited(text, following))
+
+
 @pytest.mark.parametrize("rows", [
     [(1, "ab c"), (2, None), (3, ""), (None, "null id é日本"), (5, "x" * 7), (5, "x" * 7), (5, "y")],
     [(7, "only one document here to read")], [(None, "a b"), (None, "c d e")],

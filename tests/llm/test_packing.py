@@ -1,6 +1,7 @@
 """Operator 6: every token once, no overflow, least bins, tight fill."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from sparkmart.llm import packing
 from sparkmart.llm.queries import op6_packing
@@ -52,6 +53,24 @@ def test_edge_rows_and_groups(spark):
     check(packing.pack_documents(df, group=64).collect(), [(i, len((t or "").split())) for i, t in texts])
 
 
+def test_unicode_white_space_separates_tokens(spark):
+    text = "a\u00a0b\u3000c d\u2028e\u0085f\u200bg"  # U+200B is no white space
+    rows = packing.pack_documents(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [r.n_tokens for r in rows] == [6]
+
+
+def test_texts_of_one_id_are_told_apart_and_copies_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(packing, "COPIES", 3)
+    texts = [(4, "a b c")] * 10 + [(4, "d e f")] * 2 + [(None, "g h")] * 4 + [(5, None)] * 7
+    df = spark.createDataFrame(texts, "doc_id long, text string").withColumn("text_hash", F.lit("clash"))
+    rows = packing.pack_documents(df).collect()
+    copies = {}
+    for r in rows:
+        copies.setdefault((r.doc_id, r.n_tokens, r.text_hash), []).append(r.copy)
+    assert sorted(sorted(c) for c in copies.values()) == [
+        [1, 2], [1, 2, 3, 4], list(range(1, 8)), list(range(1, 11))]
+
+
 def test_no_rows(spark):
     assert packing.pack_documents(spark.createDataFrame([], SCHEMA)).collect() == []
 
