@@ -34,13 +34,14 @@ CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 32  # cost of a sequence besides its tokens
 GROUP = 4096
 COPIES = 4096  # copies of a repeated row that one task writes out
-# Unicode's White_Space (\s holds U+0009 to U+000D and U+0020).
-_TOKEN = r"[^\s\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
+# Unicode's White_Space beyond U+0009 to U+000D and U+0020, which \s holds.
+_SPACES = "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
+                            0x3000)))
 
 
 def n_tokens(text: Column) -> Column:
     """Tokens of a text, counted without building them."""
-    return F.regexp_count(text, F.lit(_TOKEN))
+    return F.regexp_count(F.translate(text, _SPACES, " " * len(_SPACES)), F.lit(r"\S+"))
 
 
 def pack(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES,
