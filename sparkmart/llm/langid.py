@@ -34,6 +34,7 @@ from .ngrams import FEATURES, counts
 MAX_PER_LANGUAGE, MAX_TRAIN_ROWS = 1000, 20_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
+TASKS_A_GROUP = 32  # tasks whose first rows of a language meet in one group
 CALIBRATION_SHARE = 5  # one sample row in so many fits the temperature
 UNKNOWN = "und"
 
@@ -91,8 +92,12 @@ def _frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 def _sample(rows: DataFrame, per_language: int, max_rows: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """(language, places, counts) of at most ``max_rows`` learnable rows, in the order of a hash."""
+    # The first rows of groups of tasks hold the first of all, so no task gets a whole language's candidates.
+    in_group = Window.partitionBy("lang", "tasks").orderBy("order", "id")
     in_turn = Window.partitionBy("lang").orderBy("order", "id")
-    chosen = (rows.select("id", "lang", F.xxhash64(F.col("id").cast("string"), "text").alias("order"))
+    chosen = (rows.select("id", "lang", F.xxhash64(F.col("id").cast("string"), "text").alias("order"),
+                          F.floor(F.spark_partition_id() / TASKS_A_GROUP).alias("tasks"))
+              .withColumn("nth", F.row_number().over(in_group)).where(F.col("nth") <= per_language)
               .withColumn("nth", F.row_number().over(in_turn)).where(F.col("nth") <= per_language)
               .orderBy("nth", "order", "lang").limit(max_rows))
     chosen = store(chosen.select("id", "lang", "order", "nth"), "langid-sample")

@@ -46,8 +46,10 @@ THRESHOLD = 0.8
 BANDS, BAND_ROWS = 20, 5
 COUNTER_BITS = 18
 _SLICES = 64  # rows in which a task hands on its counters
+TASKS_A_SUM = 256  # tasks whose counters are added first
 STAR_ROUNDS = 2
 SKETCH = 2048  # bits of the bitmaps of members of crowded buckets
+BLOCK = 2000  # members of a bucket that are compared with as many others in one task
 SMOOTH = 100.0  # added to and upper bound of N / df
 
 
@@ -78,16 +80,22 @@ def document_frequencies(texts: DataFrame, text_col: str) -> tuple[np.ndarray, i
                 pa.array([*(p.tobytes() for p in parts), np.int64(n).tobytes()], pa.binary())],
                 names=["slice", "counts"])
 
-    def total(key: tuple, table: pa.Table) -> pa.Table:
-        kind = "<i8" if key[0].as_py() < 0 else "<i4"
-        acc = sum(np.frombuffer(raw.as_py(), kind).astype(np.int64) for raw in table["counts"])
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()),
-                         "counts": pa.array([acc.tobytes()], pa.binary())})
+    def total(kind: str):
+        def add(key: tuple, table: pa.Table) -> pa.Table:
+            slice_ = key[0].as_py()
+            acc = sum(np.frombuffer(raw.as_py(), "<i8" if slice_ < 0 else kind).astype(np.int64)
+                      for raw in table["counts"])
+            return pa.table({"slice": pa.array([slice_], pa.int32()),
+                             "counts": pa.array([acc.tobytes()], pa.binary())})
+        return add
 
+    # Counters are added by groups of tasks, then over the groups: a group's size is bounded.
     schema = "slice int, counts binary"
     rows = {r.slice: np.frombuffer(r.counts, np.int64) for r in
             texts.select(text_col).mapInArrow(count, schema)
-            .groupBy("slice").applyInArrow(total, schema).collect()}
+            .withColumn("tasks", F.floor(F.spark_partition_id() / TASKS_A_SUM))
+            .groupBy("slice", "tasks").applyInArrow(total("<i4"), schema)
+            .groupBy("slice").applyInArrow(total("<i8"), schema).collect()}
     if not rows:
         return np.zeros(size, np.int64), 0
     return np.concatenate([rows[k] for k in range(_SLICES)]), int(rows[-1][0])
@@ -196,15 +204,24 @@ def _candidates(parted: DataFrame, sketches: DataFrame, threshold: float) -> Dat
     Bits in which two bitmaps differ stand for as many shingles, at least, that only one text has; each
     weighs ln(1 + ``SMOOTH``) or more.  A similarity of s needs a difference of at most (1 - s) / (1 + s)
     of both sizes together, and the sizes differ by no more.  A pair comes from the smallest of the keys
-    that it shares.
+    that it shares.  The members of a bucket are dealt to blocks of about ``BLOCK``, and every two blocks, or a
+    block and itself, meet in a cell of their own: a crowded bucket is compared by as many tasks as it has cells.
     """
     share = (1 - threshold) / (1 + threshold) + 1e-5  # more than the weights' rounding
     least = float(np.log(1 + SMOOTH))
     differ = "aggregate(zip_with(x.sketch, y.sketch, (p, q) -> p ^ q), 0, (n, z) -> n + bit_count(z))"
     keys = parted.groupBy("node").agg(F.collect_set("key").alias("keys"))  # one a band at most
-    rows = store(parted.join(sketches, "node").join(keys, "node"), "neardup-rest")
+    blocks = (parted.groupBy("key").agg(F.count("*").alias("n"))
+              .select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")))
+    dealt = (parted.join(blocks, "key")
+             .withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("key", "node", "root", "block", F.least("block", "other").alias("low"),
+                     F.greatest("block", "other").alias("high")))
+    rows = store(dealt.join(sketches, "node").join(keys, "node"), "neardup-rest")
     return (rows.alias("x").join(rows.alias("y"), F.expr(f"""
-        x.key = y.key and x.root < y.root
+        x.key = y.key and x.low = y.low and x.high = y.high and x.root < y.root
+        and (x.low = x.high or x.block != y.block)
         and (abs(x.n - y.n) <= {share!r}D * (x.n + y.n) or abs(x.w - y.w) <= {share!r}D * (x.w + y.w))
         and {differ} <= {share!r}D * greatest(x.n + y.n, (x.w + y.w) / {least!r}D)
         and array_min(array_intersect(x.keys, y.keys)) = x.key"""))

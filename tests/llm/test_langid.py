@@ -43,6 +43,19 @@ def test_null_labels_and_held_out_rows_teach_nothing(spark):
     assert all(got[i] == plain[i] for i in plain)
 
 
+def test_sample_is_that_of_one_task(spark, monkeypatch):
+    """The first rows of each language by the hash, however the rows lie in tasks."""
+    monkeypatch.setattr(langid, "TASKS_A_GROUP", 2)
+    df = spark.createDataFrame(corpus(), COLUMNS).select(F.col("doc_id").alias("id"), "text", "lang")
+    plain = lambda rows: [(g, at.tolist(), n.tolist()) for g, at, n in langid._sample(rows, 7, 12)]
+    assert plain(df.repartition(9)) == plain(df.coalesce(1))
+    first = (df.select("lang", F.xxhash64(F.col("id").cast("string"), "text").alias("o")).collect())
+    ranked = sorted((sorted(r.o for r in first if r.lang == g).index(x.o), x.o, g)
+                    for g in ("xx", "yy") for x in first if x.lang == g)
+    chosen = sorted((o, g) for _, o, g in ranked[:12])
+    assert [g for g, _, _ in plain(df)] == [g for _, g in chosen]
+
+
 def test_edge_rows(spark):
     rows = corpus() + [(500, None, "xx", 0.0, ""), (501, "", "xx", 0.0, ""), (502, "123 !?", "yy", 0.0, ""),
                        (None, "abra cada", None, 0.0, ""), (503, "abra " * 100_000, None, 0.0, ""),

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from sparkmart.llm import neardup
+from sparkmart.llm import graphs, neardup
 from sparkmart.llm.cws import WeightedSampler
 from sparkmart.llm.graphs import components
 from sparkmart.llm.queries import op7_neardup
@@ -86,7 +86,9 @@ def test_near_by_the_plain_rule_alone(spark):
     assert [got[i] for i, _ in rows] == brute(rows) == [i - i % 2 for i, _ in rows]
 
 
-def test_no_near_pair_of_a_bucket_is_pruned(spark):
+@pytest.mark.parametrize("block", [neardup.BLOCK, 4])
+def test_no_near_pair_of_a_bucket_is_pruned(spark, monkeypatch, block):
+    monkeypatch.setattr(neardup, "BLOCK", block)
     rng = random.Random(8)
     texts = []
     for n in (9, 40, 104, 400, 6000):
@@ -97,7 +99,9 @@ def test_no_near_pair_of_a_bucket_is_pruned(spark):
     idf = spark.sparkContext.broadcast(neardup.inverse_frequencies(np.ones(1 << neardup.COUNTER_BITS), 50))
     sketches = neardup._sketched(spark.createDataFrame(rows, "node binary, text string"), idf)
     parted = spark.createDataFrame([(1, node, node) for node, _ in rows], "key long, node binary, root binary")
-    kept = {(r.a[0], r.b[0]) for r in neardup._candidates(parted, sketches, 0.8).collect()}
+    found = [(r.a[0], r.b[0]) for r in neardup._candidates(parted, sketches, 0.8).collect()]
+    kept = set(found)
+    assert len(found) == len(kept)  # every two members meet in one cell
     import pyarrow as pa
     h, w, at = neardup.weighted_sets(pa.array(texts), idf.value)
     sets = [(h[a:b], w[a:b]) for a, b in zip(at[:-1], at[1:])]
@@ -142,17 +146,21 @@ def test_samples_agree_as_often_as_weighted_jaccard():
         assert abs((both[0] == both[1]).mean() - exact) < 0.07
 
 
-def test_document_frequencies(spark):
+@pytest.mark.parametrize("tasks", [neardup.TASKS_A_SUM, 1])
+def test_document_frequencies(spark, monkeypatch, tasks):
+    monkeypatch.setattr(neardup, "TASKS_A_SUM", tasks)
     texts = ["a b c d e f", "a b c d e f g", None, "x", "a b c d e f"]
     df = spark.createDataFrame([(t,) for t in texts if t is not None], "text string")
-    counted, n = neardup.document_frequencies(df, "text")
+    counted, n = neardup.document_frequencies(df.repartition(3), "text")
     assert n == 4 and counted.max() == 3 and counted.sum() == 2 + 3 + 1 + 2
 
 
 @pytest.mark.parametrize("edges", [
     [], [(1, 2), (2, 3), (5, 9), (9, 7)], [(i, i + 1) for i in range(200)], [(0, i) for i in range(1, 150)],
     [(i, (i * 7 + 3) % 61) for i in range(61)]])
-def test_components(spark, edges):
+@pytest.mark.parametrize("hubs", [graphs.HUBS, 4])
+def test_components(spark, monkeypatch, edges, hubs):
+    monkeypatch.setattr(graphs, "HUBS", hubs)
     got = dict(components(spark.createDataFrame(edges, "a int, b int")).collect())
     n = 1 + max((max(e) for e in edges), default=0)
     want = roots(n, edges)
