@@ -84,6 +84,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_alignment": op13_alignment,
 }
 
+
+def _licence_sql() -> str:
+    """Every word of every template against every word of the texts, counted by relative position."""
+    rows = ", ".join(f"({k}, '{t.label}', {t.base}, string_split('{t.text}', ' '), {licenses.key_place(t)}, "
+                     f"{len(t.key.split())})" for k, t in enumerate(licenses.TEMPLATES))
+    return f"""
+        with t(t, label, base, words, first, n_key) as (values {rows}),
+        postings as (select t, unnest(words) w, unnest(range(len(words))) k from t),
+        docs as (select row_number() over () id, doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '{licenses.WORD}') body from documents),
+        hits as (select id, unnest(body) w, unnest(range(len(body))) p from docs),
+        met as (select id, t, p - k start, count(*) same,
+                       count(*) filter (k >= first and k < first + n_key) in_key
+                from hits join postings using (w) join t using (t) group by id, t, p - k),
+        found as (select id, start, label, base, same / len(words) share from met join t using (t)
+                  where in_key = n_key and same >= 0.75 * len(words))
+        select doc_id, any_value(len(body)) n_words, count(*) filter (base) n_base,
+               min(start) filter (base) first_word, max(start) filter (base) last_word,
+               coalesce(string_agg(distinct label, ',' order by label) filter (base), '') base_labels,
+               coalesce(string_agg(distinct label, ',' order by label), '') labels,
+               coalesce(max(share), 0.0) score
+        from docs left join found using (id) group by id, doc_id"""
+
+
 def _pii_sql() -> str:
     """The kinds by their plain patterns: pieces and matches give the places, list functions the checks."""
     luhn = """list_sum(list_transform(range(1, length(d) + 1), lambda i:
@@ -136,6 +161,7 @@ def _pii_sql() -> str:
 
 #: Plain readings of the contracts over whole tables.
 ORACLES: dict[str, str] = {
+    "op1_licenses": _licence_sql(),
     "op12_pii": _pii_sql(),
     "op9_chat": """
         with c as (

@@ -71,6 +71,20 @@ def test_a_rare_word_outside_the_key_phrase_is_replaced(spark, frequent):
     assert "mit-release" in got[1] and "gpl-3.0" in got[3] and "mit-grant" in got[4] and "mpl" in got[5]
 
 
+def test_licences_in_other_words(spark):
+    mit = next(t.text for t in TEMPLATES if t.label == "mit-text")
+    rows = [(1, "distributed under the terms of the MIT licence"), (2, "// SPDX-License-Identifier: MIT"),
+            (3, "licensed under the BSD 3-Clause license"), (4, "# SPDX-License-Identifier: GPL-3.0-only"),
+            (5, f"word {mit} word"), (6, f"{mit} word " * 3), (7, "Permission to use, copy, modify, and/or "
+            "distribute this software for any purpose with or without fee is hereby granted"),
+            (8, "permission to deal"), (9, "mit " * 3000 + "license " * 3000), (10, "spdx license identifier")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check(scan_licenses(df), rows)
+    got = {r.doc_id: r.labels.split(",") for r in scan_licenses(df).collect()}
+    assert [got[i] for i in (1, 2, 3, 4, 8, 10)] == [["mit"], ["mit"], ["bsd-3-clause"], ["gpl-3.0"], [""], [""]]
+    assert {"mit-text", "mit-grant"} <= set(got[5]) and got[5] == got[6]
+
+
 def test_no_rows(spark):
     assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
