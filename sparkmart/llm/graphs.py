@@ -18,7 +18,7 @@ def components(edges: DataFrame) -> DataFrame:
     then its smaller ones, until every link leads to a root.  The number of rounds grows with the
     logarithm of the longest path, and one small table is written in each.  Fewer than ``HUBS`` nodes can
     have more than 1 / ``HUBS`` of all links, so those get their smallest neighbour by a broadcast, and the
-    links of a hub stay in the tasks that hold them.
+    links of a hub are dealt to all tasks.
     """
     def state(df: DataFrame):
         return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -26,10 +26,12 @@ def components(edges: DataFrame) -> DataFrame:
     def towards(links: DataFrame, n: int) -> DataFrame:
         least = links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         hubs = least.where(F.col("n") * HUBS > n).select("u", F.col("m").alias("hub"))
-        rows = links.join(F.broadcast(hubs), "u", "left")
-        rest = rows.where("hub is null").select("u", "v").join(least.select("u", "m"), "u")
-        return rows.where("hub is not null").select("u", "v", F.col("hub").alias("m")).union(
-            rest.select("u", "v", "m"))
+        # Links of hubs meet no row of the second join and are dealt by their other end.
+        rows = links.join(F.broadcast(hubs), "u", "left").withColumn(
+            "spread", F.when(F.col("hub").isNotNull(), F.xxhash64("v")))
+        rest = least.select("u", "m", F.lit(0).cast("long").alias("spread"))
+        return (rows.withColumn("spread", F.coalesce("spread", F.lit(0))).join(rest, ["u", "spread"], "left")
+                .select("u", "v", F.coalesce("hub", "m").alias("m")))
 
     links = store(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                   .where("u != v").distinct(), "graph-links")
