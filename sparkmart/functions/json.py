@@ -27,13 +27,11 @@ def payload_elements(payload: str | Column, what: str = "payload") -> Column:
     """Variant payload -> ``array<variant>``, raising unless it is a JSON array.
 
     The cast alone raises on objects and scalars, but turns a JSON ``null`` into SQL NULL, which
-    would silently explode to nothing; that case raises explicitly here.
+    would silently explode to nothing; that case raises explicitly here.  The payload is read once,
+    by the cast.
     """
-    p = _col(payload)
-    return F.when(
-        p.isNull() | (F.schema_of_variant(p) == F.lit("VOID")),
-        F.raise_error(F.lit(f"{what} is not a JSON array (null)")),
-    ).otherwise(p.cast("array<variant>"))
+    null = F.raise_error(F.lit(f"{what} is not a JSON array (null)"))
+    return F.coalesce(_col(payload).cast("array<variant>"), null.cast("array<variant>"))
 
 
 def payload_size(payload: str | Column) -> Column:

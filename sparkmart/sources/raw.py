@@ -78,9 +78,8 @@ def pack_batches(
               .join(big, [*scope_cols, "_salt"], "left")
               .withColumn("_chunk", F.coalesce(F.pmod(F.xxhash64("_h"), F.col("_chunks")), F.lit(0))))
     grouped = (rec.groupBy(*scope_cols, "_chunk")
-                  .agg(F.array_sort(F.collect_list(F.struct("_o", "_r"))).alias("_items"))
-                  .select(*scope_cols, "_chunk",
-                          F.to_json(F.transform("_items", lambda x: x["_r"])).alias("_text")))
+                  .agg(F.sort_array(F.collect_list(F.struct("_o", "_r"))).alias("_items"))
+                  .select(*scope_cols, "_chunk", F.to_json(F.col("_items._r")).alias("_text")))
     if scopes is not None:
         # scopes without records: anti join with the per-scope counts (one small row per scope),
         # not with the grouped payloads, which would be aggregated a second time
