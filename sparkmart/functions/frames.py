@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,12 @@ def to_ntz(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame that the optimizer knows to be empty, so that joins with it fall away."""
+    return spark.range(1).where(F.lit(False)).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def row_salt(df: DataFrame, salts: int | Column) -> Column:
     """A number from 0 to ``salts`` - 1 by the row's values (numbers, texts, times), the same in every run
     of a task."""

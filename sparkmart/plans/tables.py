@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas as S
+from ..functions.frames import no_rows
 
 # Run timestamps of the reproducible plans: two daily extraction runs.
 RUN1 = _dt.datetime(2024, 2, 1, tzinfo=_dt.timezone.utc)
@@ -25,4 +26,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def empty(spark: SparkSession, spec: S.TableSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.schema)
+    return no_rows(spark, spec.schema)

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -97,6 +99,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+@contextmanager
+def plain_variants(spark: SparkSession) -> Iterator[None]:
+    """Variant columns are written as they are.  Spark's default infers a schema for each file and takes every
+    value apart into typed columns, which a reader of whole payloads has to put together again."""
+    name = "spark.sql.variant.writeShredding.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def materialize(df):
     """Cut lineage: write ``df`` to the shared checkpoint folder and return the reloaded frame.
 

@@ -28,15 +28,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.frames import no_rows
 from ..operators.constraints import check_unique, default_columns, enforce_not_null
 from ..operators.dedup import latest_per_key
+from ..session import plain_variants
 
 FOLD_AFTER = 8  # change sets after which a table's state is written as a whole
 APPEND_ONLY = {S.RAW_REPOS.name, S.RAW_COMMITS.name}
 
 
 def empty_table(spark: SparkSession, spec: S.TableSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.schema)
+    return no_rows(spark, spec.schema)
 
 
 class Warehouse:
@@ -134,7 +136,7 @@ class Warehouse:
                   *[T.StructField(f"_old_{b}", spec.schema[b].dataType) for b in before]]
         sets = [c for c in self.change_versions(name) if c > after]
         if not sets:
-            return self.spark.createDataFrame([], T.StructType([*fields, T.StructField("c", T.IntegerType())]))
+            return no_rows(self.spark, T.StructType([*fields, T.StructField("c", T.IntegerType())]))
         return self._change_rows(name, sets, fields)
 
     def rows(self, name: str) -> int:
@@ -230,9 +232,10 @@ class Warehouse:
     def append(self, name: str, df: DataFrame, *, as_of=None) -> None:
         """Append rows to a raw (append-only) table, partitioned by ingest date."""
         df = self._checked(name, df, as_of)
-        (df.withColumn("ingest_date", F.to_date("ingested_at"))
-           .write.mode("append").partitionBy("ingest_date")
-           .parquet(f"{self._table_dir(name)}/data"))
+        with plain_variants(self.spark):
+            (df.withColumn("ingest_date", F.to_date("ingested_at"))
+               .write.mode("append").partitionBy("ingest_date")
+               .parquet(f"{self._table_dir(name)}/data"))
 
     def ensure_tables(self, names: Iterable[str] | None = None) -> None:
         """Create the folder of every table that does not exist yet.

@@ -1,9 +1,15 @@
 """Plans and files of the raw layer that a load of many records depends on."""
 
+import uuid
+
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from sparkmart import schemas as S
 from sparkmart.functions.json import payload_elements
+from sparkmart.session import checkpoint_root
 from sparkmart.sources.raw import pack_batches
+from sparkmart.sources.warehouse import Warehouse, empty_table
 from tests.helpers import ts
 
 
@@ -27,3 +33,25 @@ def test_records_are_ordered_without_a_lambda(spark):
 
 def test_an_array_is_told_by_the_cast_alone(spark):
     assert "schema_of" not in _plan(_raw(spark).select(F.posexplode(payload_elements("payload")))).lower()
+
+
+def test_raw_payloads_are_stored_whole(spark):
+    wh = Warehouse(spark, f"{checkpoint_root(spark)}/wh-{uuid.uuid4().hex}")
+    name = "spark.sql.variant.writeShredding.enabled"
+    before = spark.conf.get(name, None)
+    wh.append(S.RAW_COMMITS.name, _raw(spark))
+    assert spark.conf.get(name, None) == before
+    files = wh.read(S.RAW_COMMITS.name).inputFiles()
+    assert files
+    for f in files:
+        payload = pq.read_schema(f.removeprefix("file://")).field("payload").type
+        assert sorted(x.name for x in payload) == ["metadata", "value"]
+    assert wh.read(S.RAW_COMMITS.name).select(F.explode(payload_elements("payload"))).count() == 6
+
+
+def test_joins_with_an_empty_table_fall_away(spark):
+    empty = empty_table(spark, S.STG_COMMITS)
+    assert [(f.name, f.dataType) for f in empty.schema] == [(f.name, f.dataType) for f in S.STG_COMMITS.schema]
+    ids = spark.range(3).select(F.col("id").cast("string").alias("sha"))
+    assert "Join" not in _plan(ids.join(empty.select("sha"), "sha", "left_anti"))
+    assert empty.count() == 0
