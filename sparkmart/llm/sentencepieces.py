@@ -20,7 +20,9 @@ BPE file are merge ranks and no log probabilities.  A character in no piece beco
 A space is U+2581 in pieces, and a text starts with one more; U+2581 itself becomes bytes, so decoding
 gives back exactly the text.  No piece of the file holds a space after something else, a line end, or
 a mark or digit after a letter, so the parts of a text between such places are independent, and the
-pieces of a frequent part are kept (``CACHE`` parts a worker).  Files with such pieces have larger parts.
+pieces of a frequent part are kept (``CACHE`` parts a worker, and as many tokens, that is parts between two
+spaces).  Files with such pieces have larger parts.  New tokens of up to ``SHORT`` characters are decoded
+together, place by place, by the same recurrence as the others; their sums fit 64 bits.
 
 Cases: null and empty texts have no pieces; repeated rows and ids and null ids each keep their row;
 further columns are ignored; no rows give no rows.
@@ -48,6 +50,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 32768
 FAN = 64
 CACHE = 400_000
+SHORT = 64
+BATCH = 1 << 19  # characters of the texts whose new parts are decoded together
 _SHIFT = 40  # a step of the score is more than the tie-breaking terms of 256 pieces
 _PREFIX = 1  # instead of a score (at most 0): the start of longer pieces only
 _MARK, _LITERAL = "▁", "\udc81"  # a space; U+2581 in the text, a code that no text can hold
@@ -79,6 +83,33 @@ def _tie(place: int) -> int:
 _TIES = [_tie(place) for place in range(1 << 12)]
 
 
+_TOKENS = re.compile(f"{_MARK}+[^{_MARK}\n]*|\n[^{_MARK}\n]*")
+
+
+class Numbers(dict):
+    """Numbers of tokens, and the ids of their pieces; tokens asked for the first time wait in ``new``."""
+
+    def __init__(self):
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.new: list[str] = []
+        self.ids = np.zeros(0, np.int32)
+        self.n, self.start = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __missing__(self, token: str) -> int:
+        self.new.append(token)
+        got = self[token] = len(self)
+        return got
+
+    def learn(self, ids: np.ndarray, n: np.ndarray) -> None:
+        """The pieces of the tokens in ``new``, one token's after the other's."""
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(n) - n])
+        self.n, self.ids = np.concatenate([self.n, n]), np.concatenate([self.ids, ids.astype(np.int32)])
+        self.new = []
+
+
 class Lattice:
     def __init__(self, normal: list[tuple[str, int]], raw: list[int]):
         zipf = -np.rint(1024 * np.log(np.arange(1, len(normal) + 1))).astype(int)
@@ -101,7 +132,22 @@ class Lattice:
         first = f"[{kind}]*" if marks else ""
         self.words = re.compile(".+" if whole else f"\n|{_MARK}*{first}[^{_MARK}\n{kind}]+|"
                                 f"{_MARK}*[{kind or _MARK}]+|{_MARK}+", re.S)
+        self.apart = not whole  # parts begin at every run of spaces and at every line end
         self.cache: dict[str, tuple[int, tuple[int, ...]]] = {}
+        self.tokens = Numbers()
+
+        # the tree of pieces: moves (node, letter) -> node, sorted; score and id of each node's piece
+        number = {node: k for k, node in enumerate(["", *self.nodes])}
+        letters = sorted(set("".join(self.id)))
+        self.letter = np.zeros(0x110000, np.int32)  # 0: in no piece
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.n_letters = len(letters) + 1
+        moves = np.array([number[node[:-1]] * self.n_letters + int(self.letter[ord(node[-1])])
+                          for node in self.nodes], np.int64)
+        order = np.argsort(moves)
+        self.moves, self.reached = moves[order], order + 1
+        self.node_score = np.array([_PREFIX, *self.nodes.values()], np.int64)
+        self.node_id = np.array([-1, *[self.id.get(node, -1) for node in self.nodes]], np.int64)
 
     def reach(self, s: str, entry: int, stop: int, offset: int) -> tuple[list, list]:
         """Best scores and last cuts before all places of ``s``, from ``entry``, where pieces start
@@ -155,21 +201,117 @@ class Lattice:
             got = best[-1], tuple(self.path(s, back, 0, len(s)))
             if len(self.cache) >= CACHE:
                 self.cache.clear()
-            if len(s) <= 64:
+            if len(s) <= SHORT:
                 self.cache[s] = got
         return got
 
-    def whole(self, s: str) -> list[int]:
-        """Ids of the pieces of a whole marked text."""
-        parts, cache, long = self.words.findall(s), self.cache, {}
-        if len(cache) >= CACHE:
-            cache.clear()
-        for part in dict.fromkeys(parts):
-            if part not in cache:
-                best, back = self.reach(part, 0, len(part), 0)
-                (cache if len(part) <= 64 else long)[part] = best[-1], tuple(self.path(part, back, 0, len(part)))
-        known = cache | long if long else cache
-        return list(chain.from_iterable([known[part][1] for part in parts]))
+    def together(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many tokens of up to ``SHORT`` characters, and how many each has: what ``reach`` and ``path`` do
+        at a place of one part, for all tokens at once."""
+        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        first = np.concatenate([[0], np.cumsum(size + 1)[:-1]])  # of a token's places, one more than characters
+        text = "\n".join(tokens) + "\n"  # a line end is a part of its own
+        letter = self.letter[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int64)
+        part = np.fromiter(map(len, self.words.findall(text)), np.int64)
+        in_part = np.arange(len(text)) - np.repeat(np.cumsum(part) - part, part)
+        owner = np.repeat(np.arange(len(tokens)), size)
+        at = np.arange(len(owner)) + owner  # the place before each character
+
+        # all pieces from all places, a letter longer at a time; a single letter in no piece is one as well
+        node, start, end, found = np.zeros(len(at), np.int64), at, (first + size)[owner], []
+        for n in range(1, self.width + 1):
+            move = node * self.n_letters + letter[start + n - 1]
+            k = np.minimum(np.searchsorted(self.moves, move), len(self.moves) - 1)
+            node = np.where(self.moves[k] == move, self.reached[k], 0)  # 0, the root: no piece begins so
+            score, piece = self.node_score[node], self.node_id[node]
+            if n == 1:
+                found.append((start, np.full(len(start), n), np.where(piece < 0, self.fallback, score), piece))
+            else:
+                whole = piece >= 0
+                found.append((start[whole], np.full(whole.sum(), n), score[whole], piece[whole]))
+            on = (node != 0) & (start + n < end)
+            node, start, end = node[on], start[on], end[on]
+            if not len(start):
+                break
+        start, length, score, piece = (np.concatenate(c) for c in zip(*found))
+        score = score + np.array(_TIES[:SHORT + 1], np.int64)[in_part[start] + length]
+        place = start - first[np.repeat(np.arange(len(tokens)), size + 1)[start]]
+        group = (place * (self.width + 1) + length).astype(np.int32)  # the ends of a group's pieces differ
+        order = np.argsort(group, kind="stable")
+        start, length, score, piece, group = (c[order] for c in (start, length, score, piece, group))
+        best = np.full(len(letter), np.iinfo(np.int64).min)
+        best[first] = 0
+        back, last = np.zeros(len(letter), np.int64), np.full(len(letter), -1)
+        cuts = (np.flatnonzero(np.diff(group)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(group)]):
+            begin = start[a:b]
+            to, value = begin + length[a:b], best[begin] + score[a:b]
+            better = np.flatnonzero(value > best[to])
+            to = to[better]
+            best[to], back[to], last[to] = value[better], begin[better], piece[a:b][better]
+
+        # from the ends back to the starts
+        on_way, here, of = np.zeros(len(letter), bool), first + size, np.arange(len(tokens))
+        while len(here):
+            on_way[here] = True
+            here = back[here]
+            on = here > first[of]
+            here, of = here[on], of[on]
+        ends = np.flatnonzero(on_way)
+        ids, of = last[ends], np.repeat(np.arange(len(tokens)), size + 1)[ends]
+        bytes_at = np.flatnonzero(ids < 0)  # a character in no piece becomes its bytes
+        if len(bytes_at):
+            raw = [self.ids(text[k - 1]) for k in ends[bytes_at].tolist()]
+            times = np.ones(len(ids), np.int64)
+            times[bytes_at] = [len(r) for r in raw]
+            ids, of = np.repeat(ids, times), np.repeat(of, times)
+            ids[ids < 0] = list(chain.from_iterable(raw))
+        return ids, np.bincount(of, minlength=len(tokens))
+
+    def wholes(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of the pieces of whole marked texts."""
+        if not self.apart:
+            yield from (np.array([i for part in self.words.findall(s) for i in self.word(part)[1]], np.int32)
+                        for s in texts)
+            return
+        at = 0
+        while at < len(texts):
+            end, n = at, 0
+            while end < len(texts) and (end == at or n + len(texts[end]) <= BATCH):
+                n += len(texts[end])
+                end += 1
+            yield from self._wholes(texts[at:end])
+            at = end
+
+    def _wholes(self, texts: list[str]) -> list[np.ndarray]:
+        known = self.tokens
+        if len(known) >= CACHE:
+            known.forget()
+        rows = []
+        for s in texts:
+            # a token is a line end or a run of spaces with what follows it; its name lacks the first space
+            t = s.replace("\n", _MARK + "\n")
+            if _MARK + _MARK not in t:
+                names = t.split(_MARK)[1:]
+            else:
+                names = [k[1:] if k[0] == _MARK else k for k in _TOKENS.findall(s)]
+            rows.append(list(map(known.__getitem__, names)))
+        if known.new:
+            new = [k if k.startswith("\n") else _MARK + k for k in known.new]
+            short = [k for k in new if len(k) <= SHORT]
+            ids, n = self.together(short) if short else (np.zeros(0, int), np.zeros(0, int))
+            if len(short) < len(new):
+                held = iter(np.split(ids, np.cumsum(n)[:-1]) if short else ())
+                each = [next(held) if len(k) <= SHORT else
+                        [i for part in self.words.findall(k) for i in self.word(part)[1]] for k in new]
+                ids, n = np.concatenate(each), np.array([len(e) for e in each])
+            known.learn(ids, n)
+        took = np.fromiter(chain.from_iterable(rows), np.int64)
+        n, start = known.n[took], known.start[took]
+        ends = np.cumsum(n)
+        ids = known.ids[np.repeat(start - (ends - n), n) + np.arange(n.sum())]
+        size = np.cumsum([len(r) for r in rows])
+        return np.split(ids, np.concatenate([[0], ends])[size[:-1]])
 
     def chunk(self, body: str, n: int, offset: int) -> tuple[list[tuple[int, int]], int, int]:
         """Word spans of a chunk of ``n`` characters and a look ahead, and which of them, counted from
@@ -228,9 +370,9 @@ class Lattice:
             out += self.path(body[a:b], back, 0, n + leave - a)
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The characters of the pieces; a space is a space, also the one before the text."""
-        s = "".join(map(self.text_of.__getitem__, ids)).replace(_MARK, " ")
+        s = "".join(map(self.text_of.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids)).replace(_MARK, " ")
         return s if s.isascii() else s.encode("utf-8", "surrogateescape").decode("utf-8", "surrogateescape")
 
 
@@ -288,7 +430,7 @@ _RESULT = [T.StructField("n_pieces", T.LongType()), T.StructField("digest", T.Lo
            T.StructField("round_trip", T.BooleanType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]
 
 
-def _summary(lattice: Lattice, ids: list[int], source: str, start: int) -> tuple[int, int, bool]:
+def _summary(lattice: Lattice, ids: list[int] | np.ndarray, source: str, start: int) -> tuple[int, int, bool]:
     """Pieces, digest of (place, id) of all pieces, and whether decoding gives back the source."""
     at = np.array(ids, np.int64)
     if len(ids):
@@ -347,9 +489,8 @@ def encode(docs: DataFrame, model_path: str = MODEL, *, chunk: int = CHUNK, fan:
         made = lattice()
         for batch in batches:
             got, ids = [], []
-            for text in batch.column("text"):
-                s = marked(text.as_py())
-                found = made.whole(s)
+            texts = [marked(text.as_py()) for text in batch.column("text")]
+            for s, found in zip(texts, made.wholes(texts)):
                 got.append(_summary(made, found, s, 0))
                 ids.append(np.array(found, np.int32) if with_ids else None)
             n, digest, same = zip(*got) if got else ((), (), ())

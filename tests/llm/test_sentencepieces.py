@@ -38,6 +38,36 @@ def test_chunks_give_the_whole_texts_pieces(lattice):
             assert got == whole
 
 
+def test_new_words_of_a_batch_are_decoded_together(monkeypatch):
+    """The search place by place in Python is left to long tokens, and gives the same pieces."""
+    made, calls = S.Lattice(*S.load_pieces(S.MODEL)), []
+    search = S.Lattice.reach
+    given = [*texts(400, seed=9), "", " \n ", "\n", "  a  \n\n b ", "\u0301a \u0301", "y" * 500 + " z"]
+    want = [made.trace(s := S.marked(t), len(s), 0, 0, 0) for t in given]
+    made.cache.clear()
+    monkeypatch.setattr(S.Lattice, "reach", lambda self, *a: calls.append(a[0]) or search(self, *a))
+    for _ in range(2):  # new, then known
+        assert [ids.tolist() for ids in made.wholes([S.marked(t) for t in given])] == want
+    assert all(len(part) > S.SHORT or any(len(k) > S.SHORT and part in k for k in made.tokens) for part in calls)
+    assert len(calls) < len(made.tokens) / 10
+
+
+def test_tokens_are_forgotten_beyond_the_cache(monkeypatch, lattice):
+    monkeypatch.setattr(S, "CACHE", 50)
+    monkeypatch.setattr(S, "BATCH", 300)
+    made, given = S.Lattice(*S.load_pieces(S.MODEL)), list(texts(60, seed=4))
+    got = [ids.tolist() for ids in made.wholes([S.marked(t) for t in given])]
+    assert got == [lattice.trace(s := S.marked(t), len(s), 0, 0, 0) for t in given]
+
+
+def test_whole_texts_of_a_file_whose_pieces_hold_spaces():
+    pieces = ["▁", "a", "b", "a▁b", "\n", "▁a", "b\na"]
+    made = S.Lattice([(p, i + 256) for i, p in enumerate(pieces)], list(range(256)))
+    given = ["a b\na", "\na", "", "b", "a b a b"]
+    want = [made.trace(s := S.marked(t), len(s), 0, 0, 0) for t in given]
+    assert [ids.tolist() for ids in made.wholes([S.marked(t) for t in given])] == want
+
+
 def test_product_is_associative(lattice):
     rng = random.Random(2)
     m = [[[rng.choice([None, rng.randint(-99, 0)]) for _ in range(4)] for _ in range(4)] for _ in range(3)]
