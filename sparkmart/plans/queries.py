@@ -183,12 +183,22 @@ def q_fact_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "commit_message"))
 
 
+def commit_measures(lineitem: DataFrame) -> DataFrame:
+    """``(sha, additions, deletions, changed_files)`` of every order: its quantity, line items and parts.
+
+    Line items are first summed up per order and part under the numbers; the text of the order's number is
+    made once for each of these, and is what the second exchange and the join with staging go by."""
+    parts = lineitem.groupBy("l_orderkey", "l_partkey").agg(
+        F.sum("l_quantity").alias("_quantity"), F.count(F.lit(1)).alias("_n"))
+    return parts.groupBy(F.col("l_orderkey").cast("string").alias("sha")).agg(
+        F.sum("_quantity").cast("int").alias("additions"), F.sum("_n").cast("int").alias("deletions"),
+        F.count("l_partkey").cast("int").alias("changed_files"))
+
+
 def q_fact_left_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L7 + J5: the alternative loader (left lookups, ``coalesce`` of ids, measures from the line items)."""
     st = star(spark, sf_dir)
-    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("sha")).agg(
-        F.sum("l_quantity").cast("int").alias("additions"), F.count(F.lit(1)).cast("int").alias("deletions"),
-        F.count_distinct("l_partkey").cast("int").alias("changed_files"))
+    lines = commit_measures(table(spark, sf_dir, "lineitem"))
     staged = st.stg_commits.drop("additions", "deletions", "changed_files").join(lines, "sha", "left")
     f = load_fact_left_lookup(empty(spark, S.FACT_COMMITS), staged, st.stg_repos, st.dim, RUN1)
     return to_ntz(f.select("sha", "repo_id", "committed_at", "additions", "deletions",

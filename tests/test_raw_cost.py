@@ -1,5 +1,6 @@
 """Plans and files of the raw layer that a load of many records depends on."""
 
+import re
 import uuid
 
 import pyarrow.parquet as pq
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkmart import schemas as S
 from sparkmart.functions.json import payload_elements
+from sparkmart.plans.queries import commit_measures
 from sparkmart.session import checkpoint_root
 from sparkmart.sources.raw import pack_batches
 from sparkmart.sources.warehouse import Warehouse, empty_table
@@ -55,3 +57,11 @@ def test_joins_with_an_empty_table_fall_away(spark):
     ids = spark.range(3).select(F.col("id").cast("string").alias("sha"))
     assert "Join" not in _plan(ids.join(empty.select("sha"), "sha", "left_anti"))
     assert empty.count() == 0
+
+
+def test_line_items_are_summed_up_by_number_first(spark):
+    rows = [(1, 10, 2.5), (1, 10, 2.0), (1, 11, None), (1, None, 1.0), (2, None, None), (None, 3, 1.0)]
+    got = commit_measures(spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_quantity double"))
+    assert {r.sha: (r.additions, r.deletions, r.changed_files) for r in got.collect()} == {
+        "1": (5, 4, 2), "2": (None, 1, 0), None: (1, 1, 1)}
+    assert re.search(r"Aggregate \[l_orderkey#\d+L, l_partkey#\d+L\]", _plan(got))
