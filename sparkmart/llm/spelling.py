@@ -18,6 +18,9 @@ Two words are near if they differ by exactly one inserted, deleted or replaced c
    the run's first letter meets the shorter word, so each near word is counted once.
 6. The form of a word is its near word of smallest number if that word's count is ``ratio`` times its own.
    Counts grow by that ratio along forms, so pointer doubling ends after the logarithm of a logarithm.
+7. All tables of words are joined by sort and merge.  By the size of their files Spark takes them for small
+   enough to broadcast: packed numbers need many times that in memory, and salted rows ``SALTS`` times more,
+   all of it gathered on the driver.
 
 Cases: null and empty texts hold no runs; a null id counts as empty text in the checksum; repeated rows
 count each time; ties of count go to code-point order; no words give no rows; further columns are not read.
@@ -174,7 +177,7 @@ def _roots(forms: DataFrame, hops: int) -> DataFrame:
         onward = at.select(F.col("w").alias("root"), F.col("root").alias("next"),
                            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
         at = store(at.withColumn("salt", F.pmod("w", F.lit(SALTS)).cast("int"))
-                   .join(onward, ["root", "salt"], "left")
+                   .join(onward.hint("merge"), ["root", "salt"], "left")
                    .select("w", F.coalesce("next", "root").alias("root")), "spelling-roots")
     return at
 
@@ -190,7 +193,7 @@ def variants(docs: DataFrame, *, min_length: int = 6, min_count: int = 5, ratio:
     near = store(neighbours(vocabulary), "spelling-near")
     target = vocabulary.select(F.col("w").alias("best"), F.col("word").alias("form"),
                                F.col("n").alias("form_n"))
-    linked = (vocabulary.join(near, "w", "left").join(target, "best", "left")
+    linked = (vocabulary.join(near.hint("merge"), "w", "left").join(target.hint("merge"), "best", "left")
               .withColumn("ok", F.coalesce(F.col("form_n") >= ratio * F.col("n"), F.lit(False))))
     linked = store(linked.select(
         "w", "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -199,6 +202,6 @@ def variants(docs: DataFrame, *, min_length: int = 6, min_count: int = 5, ratio:
     hops = max(1, math.ceil(math.log(max(most / min_count, 1), ratio)) + 1)
     roots = _roots(linked.where("best is not null").select("w", F.col("best").alias("form")), hops)
     ends = vocabulary.select(F.col("w").alias("root"), F.col("word").alias("root_word"))
-    named = roots.join(ends, "root").select("w", "root_word")
-    return linked.join(named, "w", "left").select(
+    named = roots.join(ends.hint("merge"), "root").select("w", "root_word")
+    return linked.join(named.hint("merge"), "w", "left").select(
         "word", "form", F.coalesce("root_word", "word").alias("root"), "n", "n_near", "form_n")

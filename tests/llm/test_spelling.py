@@ -103,3 +103,25 @@ def test_no_pair_outgrows_the_alphabet(spark):
     entries = words.mapInArrow(spelling._entries, "p1 long, p2 long, s1 long, s2 long, w long, role tinyint")
     most = entries.groupBy(*spelling.PAIR).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
     assert most == 91
+
+
+def test_no_table_of_words_is_broadcast(spark, monkeypatch):
+    words = {"bbbbbb": 5, "bbbbbbb": 25, "bbbbbbbb": 125, "bbbbbbbbb": 625, "other words": 5}
+    docs = spark.createDataFrame([(i, f"{w} " * n) for i, (w, n) in enumerate(words.items())],
+                                 "doc_id long, text string")
+    plans, store = {}, spelling.store
+
+    def planned(df, name):
+        df.collect()  # the plan that ran, joins chosen on the way included
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+
+    def stored(df, name):
+        if name != "spelling-numbered":  # a row for each partition is broadcast there
+            planned(df, name)
+        return store(df, name)
+
+    monkeypatch.setattr(spelling, "store", stored)
+    planned(spelling.variants(docs), "result")
+    joins = {name: [p.count("SortMergeJoin") for p in found] for name, found in plans.items()}
+    assert all(n >= 1 for name in ("spelling-linked", "spelling-roots", "result") for n in joins[name])
+    assert not [name for name, found in plans.items() for p in found if "Broadcast" in p]
